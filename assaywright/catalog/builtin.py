@@ -67,7 +67,8 @@ TEMPLATES = {
                        "Ensure values contain valid phone numbers, following predefined formats."),
     "DQ_014": Template("Gender Value Validation", "validity", "Gender Check", _listed(V.GENDERS), "",
                        'Ensure values contain only "Male" or "Female".'),
-    "DQ_015": Template("English Alphabet Check", "validity", "English Character Check", _shape(V.ENGLISH_TEXT), "",
+    "DQ_015": Template("English Alphabet Check", "validity", "English Character Check",
+                       lambda column: Matches(column, V.ENGLISH_TEXT, True, V.ENGLISH_EVERY, V.ENGLISH_NONE), "",
                        "Ensure values contain only English alphabet characters (A-Z)."),
     "DQ_016": Template("Arabic Text Check", "validity", "Arabic Text Check", _shape(V.ARABIC_TEXT), "",
                        "Ensure values contain only Arabic characters."),

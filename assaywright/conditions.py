@@ -8,7 +8,7 @@ matched case-insensitively by Spark); a raw SQL expression is written as
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Union
 
 
@@ -31,11 +31,18 @@ Field = Union[str, Sql]
 
 @dataclass(frozen=True)
 class Matches:
-    """The trimmed text contains a match of ``pattern`` (find, not full match)."""
+    """The trimmed text contains a match of ``pattern`` (find, not full match).
+
+    A repeated group recurses once per repetition in Java's matcher and can
+    overflow the stack on a long text.  ``every`` and ``none`` then say the same
+    without one: all of ``every`` match and none of ``none`` does.
+    """
 
     field: Field
     pattern: str
     negate: bool = False
+    every: tuple = ()
+    none: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -112,7 +119,7 @@ def any_of(*conditions) -> Chain:
 
 def if_then(premise, conclusion) -> Chain:
     """Business rule "if premise then conclusion": violated when premise and not conclusion."""
-    return Chain((premise, "and", Chain((conclusion,), negate=True)))
+    return Chain((premise, "and", replace(conclusion, negate=not conclusion.negate)))
 
 
 def _interleave(conditions, word) -> tuple:

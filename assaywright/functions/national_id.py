@@ -29,7 +29,7 @@ def national_id_messages(column: str, current_year: int, dob_column: str | None
         F.when(F.length(number) != DIGITS, F.lit(BAD_LENGTH)),
         F.when((year <= OLDEST_YEAR) | (year >= current_year), F.lit(BAD_YEAR.format(year=current_year))),
         F.when(~number.rlike("^[0-9]*$"), F.lit(NOT_NUMERIC)).when(
-            (F.length(number) != DIGITS) | ~F.luhn_check(number), F.lit(BAD_CHECKSUM)
+            (F.length(number) != DIGITS) | ~F.call_function("luhn_check", number), F.lit(BAD_CHECKSUM)
         ),
     ]
     if dob_column:

@@ -96,7 +96,10 @@ def _chain(chain: Chain, thresholds: Mapping) -> Column:
 def _leaf(leaf, thresholds: Mapping) -> Column:
     raw = F.expr(leaf.field.text) if isinstance(leaf.field, Sql) else named(leaf.field)
     if isinstance(leaf, Matches):
-        return F.trim(raw).rlike(leaf.pattern)
+        if not leaf.every and not leaf.none:
+            return F.trim(raw).rlike(leaf.pattern)
+        tests = [F.trim(raw).rlike(p) for p in leaf.every] + [~F.trim(raw).rlike(p) for p in leaf.none]
+        return reduce(operator.and_, tests)
     if isinstance(leaf, IsNull):
         return raw.isNull()
     if isinstance(leaf, CastsTo):
