@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import bindings as B
+from ..conditions import plain_fields
 from ..operators.joins import SizeLimit
 from ..rules import Rule
 from ..sinks import writers
@@ -55,6 +56,18 @@ class RuleStatus:
     error: str = ""
 
 
+def unknown_columns(rule: Rule, columns: Sequence[str]) -> list[str]:
+    """Columns a rule names that the table lacks; a rule that joins first is left to the analyser."""
+    if rule.enrich is not None:
+        return []
+    known = {c.lower() for c in columns} | {"*"}
+    made = {c.alias.lower() for spec in rule.aggregations for c in spec.calculations}
+    named = [*rule.columns, *(rule.composite_columns or ())]
+    named += [c for spec in rule.aggregations for c in spec.group_by]
+    named += sorted((plain_fields(rule.violation) or set()) | ((plain_fields(rule.having) or set()) - made))
+    return [c for c in dict.fromkeys(named) if c.lower() not in known]
+
+
 def usable_rules(df: DataFrame, rules: Sequence[Rule], settings: RunSettings, tables=None):
     """Rules whose plan analyses against the table, and a status for each of the others.
 
@@ -63,6 +76,11 @@ def usable_rules(df: DataFrame, rules: Sequence[Rule], settings: RunSettings, ta
     """
     kept, statuses = [], []
     for rule in rules:
+        unknown = unknown_columns(rule, df.columns)
+        if unknown:
+            message = f"columns not in the table: {', '.join(unknown)}"
+            statuses.append(RuleStatus(rule.object, rule.rule_id, False, message))
+            continue
         try:
             TableCheck(df.limit(0), [rule], settings.run_date, settings.load_date, tables).flags(rule).schema
             kept.append(rule)

@@ -15,10 +15,18 @@ from ..plans.table_check import TableCheck
 from ..rules import Rule
 
 
-def parquet_stream(spark: SparkSession, folder: str, pattern: str, schema: StructType) -> DataFrame:
-    """New parquet files of a folder whose names match ``pattern``, as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-    return reader.option("recursiveFileLookup", True).parquet(folder)
+def parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """New parquet files at a path (a folder, or a file standing alone) as a stream."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    reader = spark.readStream.schema(schema)
+    return reader.parquet(f"{folder}/[{name[0]}]{name[1:]}")
+
+
+def watched(stream: DataFrame, time_column: str, delay: str) -> DataFrame:
+    """The stream with a watermark; times without a zone are read in the session's zone."""
+    if dict(stream.dtypes)[time_column] == "timestamp_ntz":
+        stream = stream.withColumn(time_column, F.col(time_column).cast("timestamp"))
+    return stream.withWatermark(time_column, delay)
 
 
 def row_failures(stream: DataFrame, rules: Sequence[Rule], run_date: str, batch_id: int) -> DataFrame:
@@ -36,10 +44,8 @@ def windowed_summary(
 
     All rules share one stateful aggregate with one state row per window.
     """
-    watched = stream.withWatermark(time_column, delay)
-    timed = watched.withColumn("__time", F.col(time_column))
-    text = as_text(timed.drop("__time"))
-    kept = timed.select("__time", *[F.col(c).cast("string").alias(c) for c in text.columns])
+    kept = as_text(stream).withColumn("__time", F.col(time_column).try_cast("timestamp"))
+    kept = kept.withWatermark("__time", delay)
     check = TableCheck(stream, rules, "1970-01-01 00:00:00")
     aggregates, entries = check.local_aggregates(list(enumerate(check.rules)))
     ids = F.array(*[F.lit(rule.rule_id) for rule in check.rules])
@@ -60,15 +66,14 @@ def windowed_summary(
 
 def first_seen(stream: DataFrame, keys: Sequence[str], time_column: str, delay: str) -> DataFrame:
     """Each key once, as long as its copies arrive within the watermark."""
-    return stream.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(list(keys))
+    return watched(stream, time_column, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def windowed_duplicates(
     stream: DataFrame, keys: Sequence[str], time_column: str, window: str, delay: str
 ) -> DataFrame:
     """Keys seen more than once in a tumbling window; state ends with the watermark."""
-    watched = stream.withWatermark(time_column, delay)
-    counted = watched.groupBy(F.window(time_column, window), *keys).agg(F.count(F.lit(1)).alias("duplicate_count"))
+    counted = watched(stream, time_column, delay).groupBy(F.window(time_column, window), *keys).agg(F.count(F.lit(1)).alias("duplicate_count"))
     return counted.where(F.col("duplicate_count") > 1).select(
         F.col("window.start").alias("window_start"), *keys, "duplicate_count"
     )

@@ -1,6 +1,6 @@
 """All queries and their checking SQL."""
 
-from . import key_checks, results, row_checks  # noqa: F401
+from . import configuration, key_checks, profiles, results, row_checks, streams  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
