@@ -100,14 +100,21 @@ def failing_groups(
 ) -> DataFrame:
     """Groups whose aggregates satisfy ``having``: keys, slices, ``__n`` and the aggregates.
 
-    Counting rules need one pass: the per-slice counts are summed per key over
-    already aggregated groups, whose number per key is the number of slices.
+    Without slices one aggregate per key settles it.  With them, counting rules
+    still need one pass: per-slice counts are summed per key over already
+    aggregated groups, whose number per key is the number of slices.
     """
     counts = counted_groups(rows, keys, slices)
+    if only_counts_rows(calculations) and not slices:
+        facts = counts.withColumns({c.alias: F.col(ROWS) for c in calculations})
+        return facts.where(holds_or_false(having, thresholds))
     if only_counts_rows(calculations):
         total = F.sum(ROWS).over(Window.partitionBy(*keys))
         facts = counts.withColumns({c.alias: total for c in calculations})
         return facts.where(holds_or_false(having, thresholds))
+    if not slices:
+        facts = group_facts(rows, keys, calculations, thresholds)
+        return facts.where(_all_present(keys) & holds_or_false(having, thresholds))
     facts = group_facts(rows, keys, calculations, thresholds).drop(ROWS)
     return counts.join(facts.where(holds_or_false(having, thresholds)), list(keys), "inner")
 

@@ -19,10 +19,10 @@ class SizeLimit:
 
     rows: int = 1_000_000
     bytes: int = 128 * 1024 * 1024
-    hot_rows: int = 1_000_000
+    hot_rows: int = 100_000
 
-    def admits(self, keyed: DataFrame, keys: Sequence[str]) -> bool:
-        """Measured size, not an estimate: one count over an already small or stored frame."""
+    def admits(self, keyed: DataFrame) -> bool:
+        """Measured size, not an estimate: one aggregate over a stored or source frame."""
         width = F.length(F.concat_ws("", *[named(c).cast("string") for c in keyed.columns]))
         rows, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
         return rows <= self.rows and size + 16 * rows * len(keyed.columns) <= self.bytes
@@ -70,11 +70,9 @@ def join_keyed(
         raise ValueError("join_keyed supports inner and left")
     wide = rows.withColumns(dict(zip(keys, key_values)))
     on = list(keys)
-    if limit.admits(keyed, keys):
+    if limit.admits(keyed):
         return wide.join(F.broadcast(keyed), on, how)
-    hot_rows = limit.hot_rows
-    while not limit.admits(keyed.where(F.col(ROWS) >= hot_rows), keys):
-        hot_rows *= 10
+    hot_rows = _hot_from(keyed, limit)
     hot = keyed.where(F.col(ROWS) >= hot_rows)
     cold = keyed.where(F.col(ROWS) < hot_rows)
     of_hot = wide.join(F.broadcast(hot), on, "inner")
@@ -82,31 +80,76 @@ def join_keyed(
     return of_hot.unionByName(of_cold)
 
 
-def null_safe_anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left rows whose key (NULL equals NULL) is not on the right; a hash join, not a nested loop."""
-    other = right.select(*[named(k).alias(f"__other_{i}") for i, k in enumerate(keys)]).distinct()
+def _hot_from(keyed: DataFrame, limit: SizeLimit) -> int:
+    """Smallest tried row count from which on keys are hot and yet few enough to broadcast."""
+    hot_rows = limit.hot_rows
+    while not limit.admits(keyed.where(F.col(ROWS) >= hot_rows)):
+        hot_rows *= 10
+    return hot_rows
+
+
+def without_keys(
+    rows: DataFrame, keyed: DataFrame, keys: Sequence[str], null_safe: bool, limit: SizeLimit | None = None
+) -> DataFrame:
+    """Rows whose key is not in ``keyed``; with ``null_safe`` a NULL key part equals a NULL.
+
+    Few keys are broadcast, so the rows stay where they are.  Beyond the limit
+    rows of hot keys are settled against a broadcast of just those keys and the
+    others by a hash join.
+    """
+    limit = limit or SizeLimit()
+    marks = [f"__other_{i}" for i in range(len(keys))]
+    other = keyed.select(*[named(k).alias(m) for k, m in zip(keys, marks)]).distinct()
+    if limit.admits(other):
+        return rows.join(F.broadcast(other), _same(keys, marks, null_safe), "left_anti")
+    counted = rows.groupBy(*[named(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
+    counted = counted.agg(F.count(F.lit(1)).alias(ROWS))
+    hot_rows = _hot_from(counted, limit)
+    hot = counted.where(F.col(ROWS) >= hot_rows).drop(ROWS)
+    heads = hot.columns
+    taken = hot.join(other, _same(heads, marks, null_safe), "left_semi")
+    cold_rows = rows.join(F.broadcast(hot), _same(keys, heads, True), "left_anti")
+    hot_rows_kept = rows.join(F.broadcast(hot), _same(keys, heads, True), "left_semi")
+    hot_rows_kept = hot_rows_kept.join(F.broadcast(taken), _same(keys, heads, True), "left_anti")
+    return hot_rows_kept.unionByName(cold_rows.join(other, _same(keys, marks, null_safe), "left_anti"))
+
+
+def _same(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
     test = None
-    for i, key in enumerate(keys):
-        pair = named(key).eqNullSafe(F.col(f"__other_{i}"))
+    for a, b in zip(left, right):
+        pair = named(a).eqNullSafe(F.col(b)) if null_safe else named(a) == F.col(b)
         test = pair if test is None else test & pair
-    return left.join(other, test, "left_anti")
+    return test
+
+
+def null_safe_anti(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], limit: SizeLimit | None = None
+) -> DataFrame:
+    """Left rows whose key (NULL equals NULL) is not on the right; a hash join, not a nested loop."""
+    return without_keys(left, right, keys, True, limit)
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_if_absent(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], limit: SizeLimit | None = None
+) -> DataFrame:
     """The source rows to append: one per key, and only keys the target does not hold."""
-    return null_safe_anti(one_per_key(source, keys), target, keys).select(*target.columns)
+    return null_safe_anti(one_per_key(source, keys), target, keys, limit).select(*target.columns)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], limit: SizeLimit | None = None
+) -> DataFrame:
     """Target with matched rows replaced and the rest of the source added; NULL keys always insert."""
     fresh = one_per_key(source, keys)
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
+    kept = without_keys(target, fresh, keys, False, limit)
     return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
 
 
-def delete_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_insert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], limit: SizeLimit | None = None
+) -> DataFrame:
     """Drop every target row whose (null-safe) key is in the source, then add the whole source."""
-    return null_safe_anti(target, source, keys).unionByName(source.select(*target.columns))
+    return null_safe_anti(target, source, keys, limit).unionByName(source.select(*target.columns))
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -82,7 +82,9 @@ def usable_rules(df: DataFrame, rules: Sequence[Rule], settings: RunSettings, ta
             statuses.append(RuleStatus(rule.object, rule.rule_id, False, message))
             continue
         try:
-            TableCheck(df.limit(0), [rule], settings.run_date, settings.load_date, tables).flags(rule).schema
+            trial = TableCheck(df.limit(0), [rule], settings.run_date, settings.load_date, tables=tables)
+            trial.flags(rule)
+            trial.release()
             kept.append(rule)
         except (PySparkException, ValueError, AttributeError, KeyError) as error:
             statuses.append(RuleStatus(rule.object, rule.rule_id, False, str(error).splitlines()[0]))
@@ -112,9 +114,12 @@ def run_table(
         return [RuleStatus(place["object"], "DQ_000", True)]
     kept, statuses = usable_rules(sliced, rules, settings, tables)
     if kept:
-        check = TableCheck(sliced, kept, settings.run_date, settings.load_date, tables, settings.limit)
+        check = TableCheck(
+            sliced, kept, settings.run_date, settings.load_date or None, settings.year_id or None, tables, settings.limit
+        )
         writers.append_log(check.summary(settings.layer), settings.summary_target)
         writers.append_log(check.detail(settings.layer), settings.detail_target)
+        check.release()
     return statuses + [RuleStatus(rule.object, rule.rule_id, True) for rule in kept]
 
 

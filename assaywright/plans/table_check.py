@@ -23,7 +23,7 @@ from ..functions.predicates import holds_or_false, messages
 from ..functions.text import any_missing, as_text, lookup_key, missing_message, named
 from ..operators import groups, references, reshape
 from ..operators.joins import ROWS, SizeLimit, join_keyed
-from ..operators.storage import stored
+from ..operators.storage import release, stored
 from ..rules import Rule
 
 YEAR, BATCH = "__year", "__batch"
@@ -55,6 +55,7 @@ class TableCheck:
         rules: Sequence[Rule],
         run_date: str,
         batch_id: int | None = None,
+        year_id: int | None = None,
         tables: Mapping[str, DataFrame] | Callable[[str], DataFrame] | None = None,
         limit: SizeLimit | None = None,
         rules_per_pass: int = 60,
@@ -68,7 +69,9 @@ class TableCheck:
         self.lower_key_values = lower_key_values
         self._tables = tables
         self._failing: dict = {}
-        self.rows = self._with_slices(as_text(df), batch_id)
+        self._paths: list[str] = []
+        self._fixed: dict[str, Column] = {}
+        self.rows = self._with_slices(as_text(df), batch_id, year_id)
         self.rules = [self._resolved(rule) for rule in rules]
 
     # -- results ---------------------------------------------------------------
@@ -130,14 +133,26 @@ class TableCheck:
         )
         return self._finished(shaped, DETAIL_COLUMNS, lakehouse_layer)
 
+    def release(self) -> None:
+        """Delete the stored key sets, once every result of this check has been written."""
+        release(self.spark, self._paths)
+        self._failing.clear()
+
     # -- shared pieces -----------------------------------------------------------
 
-    def _with_slices(self, text: DataFrame, batch_id: int | None) -> DataFrame:
+    def _with_slices(self, text: DataFrame, batch_id: int | None, year_id: int | None) -> DataFrame:
+        """Adds year and batch: given ones hold for all rows, else they come from the table's columns."""
         names = {c.lower() for c in text.columns}
-        whole = F.lit(None).cast("int")
-        year = named("year_id").try_cast("int") if "year_id" in names else whole
-        batch = named("load_date").try_cast("int") if "load_date" in names else F.lit(batch_id).cast("int")
-        return text.withColumns({YEAR: year, BATCH: batch})
+        for slot, given, column in ((YEAR, year_id, "year_id"), (BATCH, batch_id, "load_date")):
+            if given is not None or column not in names:
+                self._fixed[slot] = F.lit(given).cast("int")
+        year = self._fixed.get(YEAR, named("year_id").try_cast("int"))
+        return text.withColumns({YEAR: year, BATCH: self._fixed.get(BATCH, named("load_date").try_cast("int"))})
+
+    @property
+    def _varying(self) -> list[str]:
+        """Slices that differ between rows; fixed ones stay out of grouping keys."""
+        return [name for name in SLICES if name not in self._fixed]
 
     def _resolved(self, rule: Rule) -> Rule:
         return rule.bind(columns=tuple(self.columns)) if "*" in rule.columns else rule
@@ -221,8 +236,10 @@ class TableCheck:
 
     def _local_counts(self, chunk) -> DataFrame:
         aggregates, entries = self.local_aggregates(chunk)
-        wide = self.rows.groupBy(*SLICES).agg(F.count(F.lit(1)).alias("total"), *aggregates)
-        return wide.select(*SLICES, "total", F.inline(F.array(*entries))).select(
+        wide = self.rows.groupBy(*self._varying).agg(F.count(F.lit(1)).alias("total"), *aggregates)
+        if not self._varying:
+            wide = wide.where(F.col("total") > 0)
+        return wide.withColumns(self._fixed).select(*SLICES, "total", F.inline(F.array(*entries))).select(
             RULE, *SLICES, "total", "missing", "failed"
         )
 
@@ -296,17 +313,17 @@ class TableCheck:
         if memo in self._failing:
             return self._failing[memo]
         found = []
-        applicable = self._applicable(rows, rule)
+        applicable, varying = self._applicable(rows, rule), self._varying
         for spec in rule.aggregations:
             keys = self._group_keys(spec.group_by, spec.digest)
             failing = groups.failing_groups(
-                applicable, keys, SLICES, spec.calculations, rule.having, dict(rule.thresholds)
+                applicable, keys, varying, spec.calculations, rule.having, dict(rule.thresholds)
             )
-            found.append((keys, stored(failing), [c.alias for c in spec.calculations]))
+            found.append((keys, stored(failing.withColumns(self._fixed), self._paths), [c.alias for c in spec.calculations]))
         for reference in rule.references:
             keys = self._reference_keys(rule, reference)
-            failing = references.failing_groups(applicable, keys, SLICES, self.table(reference.table), reference)
-            found.append((keys, stored(failing), []))
+            failing = references.failing_groups(applicable, keys, varying, self.table(reference.table), reference)
+            found.append((keys, stored(failing.withColumns(self._fixed), self._paths), []))
         if memo is not None:
             self._failing[memo] = found
         return found
@@ -411,7 +428,7 @@ class TableCheck:
                 {c.alias: whole.select(named(c.alias)).scalar() for c in spec.calculations}
             )
         keys = self._group_keys(spec.group_by, spec.digest)
-        facts = stored(groups.group_facts(applicable, keys, spec.calculations, thresholds))
+        facts = stored(groups.group_facts(applicable, keys, spec.calculations, thresholds), self._paths)
         return join_keyed(rows, list(keys.values()), facts, list(keys), self.limit, "left").drop(ROWS, *keys)
 
     def _flag_counts(self, index: int, rule: Rule) -> DataFrame:

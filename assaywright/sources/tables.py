@@ -16,13 +16,13 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def slice_table(
     df: DataFrame, load_date: int | str = 0, year_id: int = 0, sub_source: str | None = None
 ) -> DataFrame:
-    """The part of a table one run looks at; 0 means no filter.
+    """The part of a table one run looks at; 0 means no filter, as does a table without the column.
 
     Filters compare in the column's own type, so they reach the file scan and
     prune partitions.  ``year_id`` is added as NULL where the table has none.
     """
     names = {c.lower() for c in df.columns}
-    if str(load_date) != "0":
+    if str(load_date) != "0" and "load_date" in names:
         df = df.where(named("load_date") == _typed(df, "load_date", load_date))
     if "year_id" not in names:
         df = df.withColumn("year_id", F.lit(None).cast("string"))

@@ -21,7 +21,7 @@ YEAR = 2026
 
 
 def flagged(df: DataFrame, rule: Rule, key: str, shown: str, tables=None) -> DataFrame:
-    flags = TableCheck(df, [rule], S.RUN_DATE, S.BATCH, tables).flags(rule)
+    flags = TableCheck(df, [rule], S.RUN_DATE, S.BATCH, tables=tables).flags(rule)
     return flags.select(
         F.col(key).alias("row_key"),
         F.col(shown).alias("checked_value"),
