@@ -68,14 +68,24 @@ def replace_batches(df: DataFrame, target: str, rows_per_file: int = 2_000_000)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer = writer.option("maxRecordsPerFile", rows_per_file).format("parquet")
     if not _is_path(target) and exists(df.sparkSession, target):
-        shaped = df.select(*df.sparkSession.table(target).columns).write.mode("overwrite")
-        shaped.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+        _insert_dynamic(df.select(*df.sparkSession.table(target).columns), target)
     elif _is_path(target):
         writer.partitionBy(*LOG_PARTITIONS).save(target)
     else:
         writer.partitionBy(*LOG_PARTITIONS).saveAsTable(target)
 
 
+def _insert_dynamic(df: DataFrame, target: str) -> None:
+    """Catalog inserts take the overwrite mode from the session only; it is put back afterwards."""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(target, overwrite=True)
+    finally:
+        conf.set(key, before)
+
+
 def overwrite(df: DataFrame, target: str) -> None:
     _save(df, target, "overwrite")
 
