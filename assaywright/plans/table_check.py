@@ -58,7 +58,7 @@ class TableCheck:
         year_id: int | None = None,
         tables: Mapping[str, DataFrame] | Callable[[str], DataFrame] | None = None,
         limit: SizeLimit | None = None,
-        rules_per_pass: int = 60,
+        rules_per_pass: int = 30,
         lower_key_values: bool = False,
     ):
         self.spark = df.sparkSession
@@ -258,6 +258,15 @@ class TableCheck:
         )
 
     def _local_failures(self, chunk) -> DataFrame:
+        """Failures of row-local rules: failing rows list the rules they fail, then the list is unrolled.
+
+        Clean rows are dropped by compiled code.  For the others the list is built
+        by a higher-order function: it is evaluated expression by expression,
+        where one compiled method for it would be too large for the JIT compiler
+        and several times slower.  Both steps unroll with ``explode_outer``
+        because the optimizer would push a plain filter below the text view and
+        cast every column again for each test.
+        """
         tests, entries = [], []
         for index, rule in chunk:
             missing, violated = any_missing(rule.columns), self._local_violation(rule)
@@ -265,11 +274,13 @@ class TableCheck:
             details = self._details(rule, missing, violated, self._local_messages(rule))
             tests.append(fails)
             entries.append(F.when(fails, self._failure(index, rule, self._flag(missing, violated), details)))
-        image = K.record_image(self.columns).alias("source_table_attributes")
-        failing = self.rows.where(reduce(lambda a, b: a | b, tests))
-        imaged = failing.select(*SLICES, image, F.array(*entries).alias("__hits"))
-        listed = imaged.select(*SLICES, "source_table_attributes", F.explode("__hits").alias("__hit"))
-        return listed.where(F.col("__hit").isNotNull()).select(*SLICES, "source_table_attributes", "__hit.*")
+        any_fails = reduce(lambda a, b: a | b, tests)
+        marked = self.rows.select("*", F.explode_outer(F.when(any_fails, F.array(F.lit(True)))).alias("__fails"))
+        failing = marked.where(F.col("__fails").isNotNull())
+        hits = F.filter(F.array(*entries), lambda hit: hit.isNotNull())
+        imaged = failing.select(*SLICES, K.record_image(self.columns).alias("source_table_attributes"), hits.alias("__hits"))
+        unrolled = imaged.select(*SLICES, "source_table_attributes", F.explode_outer("__hits").alias("__hit"))
+        return unrolled.where(F.col("__hit").isNotNull()).select(*SLICES, "source_table_attributes", "__hit.*")
 
     # -- groups and references ---------------------------------------------------
 
