@@ -165,8 +165,12 @@ class TableCheck:
         return self.spark.table(name)
 
     def _chunks(self) -> list[list[tuple[int, Rule]]]:
-        """Rules that share a pass: everything but the row-changing ones, in bounded groups."""
+        """Rules that share a pass: everything but the row-changing ones, in bounded groups.
+
+        Ordered by column, so that further passes mostly read other columns.
+        """
         shared = [(i, r) for i, r in enumerate(self.rules) if not r.reshapes_rows]
+        shared.sort(key=lambda pair: [c.lower() for c in pair[1].columns])
         return [shared[i : i + self.rules_per_pass] for i in range(0, len(shared), self.rules_per_pass)]
 
     def _selected(self, rule: Rule) -> Column | None:
