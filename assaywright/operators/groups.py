@@ -17,7 +17,7 @@ from ..functions.text import named
 from ..rules import Calculation
 from .joins import ROWS
 
-MEMBER_FUNCTIONS = ("collect_list", "collect_set")
+MEMBER_FUNCTIONS = ("collect_list", "collect_set", "array_agg", "listagg", "string_agg")
 
 
 def aggregate_column(calc: Calculation, thresholds: Mapping | None = None) -> Column:

@@ -88,6 +88,37 @@ def _hot_from(keyed: DataFrame, limit: SizeLimit) -> int:
     return hot_rows
 
 
+def spread_join(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], how: str, limit: SizeLimit, shares: int = 64
+) -> DataFrame:
+    """``join_by_name`` for tables of any size, with the left side's hot keys spread over many tasks.
+
+    A right side within the limit is broadcast.  Otherwise the left rows of a hot
+    key are dealt into shares (by row content and source partition, so a rerun
+    deals alike) and the right rows of that key are repeated once per share.
+    Right and full outer joins would repeat unmatched rows and are joined plainly.
+    """
+    names = {c.lower(): c for c in left.columns}
+    theirs = {c.lower(): c for c in right.columns}
+    on = [c.strip().lower() for c in columns] or [c for c in names if c in theirs]
+    if not on or how not in ("inner", "left", "left_outer"):
+        return join_by_name(left, right, how, on)
+    if limit.admits(right):
+        return join_by_name(left, F.broadcast(right), how, on)
+    counted = left.groupBy(*[named(names[c]).alias(f"__hot_{i}") for i, c in enumerate(on)])
+    counted = counted.agg(F.count(F.lit(1)).alias(ROWS))
+    hot_rows = _hot_from(counted, limit)
+    hot = counted.where(F.col(ROWS) >= hot_rows).withColumn("__is_hot", F.lit(True)).drop(ROWS)
+    marks = [f"__hot_{i}" for i in range(len(on))]
+    share = F.pmod(F.xxhash64(*[named(c) for c in left.columns], F.spark_partition_id()), F.lit(shares)).cast("int")
+    dealt = left.join(F.broadcast(hot), _same([names[c] for c in on], marks, False), "left")
+    dealt = dealt.withColumn("__share", F.when(F.col("__is_hot"), share).otherwise(F.lit(0))).drop("__is_hot", *marks)
+    repeated = right.join(F.broadcast(hot), _same([theirs[c] for c in on], marks, False), "left")
+    copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array(F.lit(0)))
+    repeated = repeated.withColumn("__share", F.explode(copies)).drop("__is_hot", *marks)
+    return join_by_name(dealt, repeated, how, [*on, "__share"]).drop("__share")
+
+
 def without_keys(
     rows: DataFrame, keyed: DataFrame, keys: Sequence[str], null_safe: bool, limit: SizeLimit | None = None
 ) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 
 from ..functions.text import as_text
 from ..rules import Enrich
-from .joins import join_by_name, one_per_key
+from .joins import SizeLimit, one_per_key, spread_join
 
 
-def enrich(rows: DataFrame, table: DataFrame, spec: Enrich) -> DataFrame:
+def enrich(rows: DataFrame, table: DataFrame, spec: Enrich, limit: SizeLimit | None = None) -> DataFrame:
     """Join a side table, compared as text like the rows themselves."""
-    return join_by_name(rows, as_text(table), spec.how, spec.columns)
+    return spread_join(rows, as_text(table), spec.columns, spec.how, limit or SizeLimit())
 
 
 def distinct_rows(rows: DataFrame, columns: Sequence[str] = ()) -> DataFrame:

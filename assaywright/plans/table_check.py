@@ -388,7 +388,7 @@ class TableCheck:
         """Every row with its flag, details and aggregates: the general path for any mix of stages."""
         rows = self.rows
         if rule.enrich is not None:
-            rows = reshape.enrich(rows, self.table(rule.enrich.table), rule.enrich)
+            rows = reshape.enrich(rows, self.table(rule.enrich.table), rule.enrich, self.limit)
         if rule.distinct:
             rows = reshape.distinct_rows(rows, rule.distinct_columns)
         found = self._local_messages(rule)

@@ -49,15 +49,22 @@ def create_if_absent(df: DataFrame, target: str, partitions: Sequence[str] = ())
     return True
 
 
-def append_log(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> None:
-    """Append to a result log, partitioned by organisation, batch and year.
+def sized_files(df: DataFrame) -> DataFrame:
+    """Rows regrouped by log partition into files of the session's advisory size.
 
-    Each task writes the partitions it holds; large tasks roll over to new files.
+    A scan of many tasks finds a few failures in each; written as they are, every
+    task would leave a tiny file.  Adaptive execution joins small groups and
+    splits a batch that holds most rows.
     """
+    return df.hint("rebalance", *[F.col(c) for c in LOG_PARTITIONS])
+
+
+def append_log(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> None:
+    """Append to a result log, partitioned by organisation, batch and year."""
     spark = df.sparkSession
-    shaped = df
+    shaped = sized_files(df)
     if not _is_path(target) and exists(spark, target):
-        shaped = df.select(*spark.table(target).columns)
+        shaped = shaped.select(*spark.table(target).columns)
     writer = shaped.write.mode("append").format("parquet").partitionBy(*LOG_PARTITIONS)
     writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.save(target) if _is_path(target) else writer.saveAsTable(target)
@@ -65,6 +72,7 @@ def append_log(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> No
 
 def replace_batches(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> None:
     """Rerun-safe write: only the log partitions present in the frame are replaced."""
+    df = sized_files(df)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer = writer.option("maxRecordsPerFile", rows_per_file).format("parquet")
     if not _is_path(target) and exists(df.sparkSession, target):

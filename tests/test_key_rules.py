@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from assaywright import Calculation, Compare, Enrich, GroupAggregate, Reference, Rule, Sql
 from assaywright.catalog.builtin import build
 from assaywright.operators.groups import aggregate_column, group_members
-from assaywright.operators.joins import SizeLimit, delete_insert, insert_if_absent, join_by_name, upsert, without_keys
+from assaywright.operators.joins import SizeLimit, delete_insert, insert_if_absent, join_by_name, spread_join, upsert, without_keys
 from assaywright.operators.reshape import distinct_rows
 from assaywright.plans.table_check import TableCheck
 
@@ -195,3 +195,14 @@ def test_only_failing_keys_are_broadcast_and_rows_are_not_shuffled(spark):
     physical = check.detail()._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
     assert F is not None
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("limit", [SizeLimit(), SizeLimit(rows=3, bytes=10**6, hot_rows=20), NONE])
+def test_spread_join_equals_a_plain_join(frame, how, limit):
+    left = frame("k string, n int", *[("hot", i % 3) for i in range(60)], ("a", 1), ("b", 2), (None, 3))
+    right = frame("K string, v int", ("hot", 1), ("hot", 2), ("a", 3), ("c", 4), (None, 5))
+    plain = join_by_name(left, right, how, ["k"])
+    spread = spread_join(left, right, ["k"], how, limit)
+    assert spread.columns == plain.columns
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
