@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +22,19 @@ class SizeLimit:
     hot_rows: int = 100_000
 
     def admits(self, keyed: DataFrame) -> bool:
-        """Measured size, not an estimate: one aggregate over a stored or source frame."""
+        return self.after(keyed) is not None
+
+    def after(self, keyed: DataFrame) -> SizeLimit | None:
+        """What is left once the frame is broadcast; None when it does not fit.
+
+        Measured, not estimated: one aggregate over a stored or source frame.
+        """
         width = F.length(F.concat_ws("", *[named(c).cast("string") for c in keyed.columns]))
         rows, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-        return rows <= self.rows and size + 16 * rows * len(keyed.columns) <= self.bytes
+        size += 16 * rows * len(keyed.columns)
+        if rows > self.rows or size > self.bytes:
+            return None
+        return replace(self, rows=self.rows - rows, bytes=self.bytes - size)
 
 
 def join_by_name(left: DataFrame, right: DataFrame, how: str = "inner", columns: Sequence[str] = ()) -> DataFrame:

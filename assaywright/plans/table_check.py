@@ -111,24 +111,34 @@ class TableCheck:
 
     def detail(self, lakehouse_layer: str | None = None) -> DataFrame:
         """One row per record and rule it fails, with the record's image and keys."""
-        parts = [self._local_failures(chunk) for chunk in self._chunks()]
-        for index, rule in enumerate(self.rules):
-            if self._one_lookup(rule):
-                parts.append(self._group_failures(index, rule))
-            elif not rule.is_row_local:
-                parts.append(self._flag_failures(index, rule))
+        parts, left = [], self.limit
+        for chunk in self._chunks():
+            rows, settled = self.rows, {}
+            for index, rule in chunk:
+                if self._one_lookup(rule):
+                    keys, verdicts = self._verdicts(rule)
+                    rest = left.after(verdicts)
+                    if rest is None:
+                        parts.append(self._group_failures(index, rule, keys, verdicts))
+                    else:
+                        left = rest
+                        rows = self._with_verdict(rows, index, keys, verdicts)
+                        settled[index] = F.col(f"__n{index}").isNotNull()
+                elif not rule.is_row_local:
+                    parts.append(self._flag_failures(index, rule))
+            parts.append(self._shared_failures(chunk, rows, settled))
+        parts += [self._flag_failures(i, rule) for i, rule in enumerate(self.rules) if rule.reshapes_rows]
         failures = reduce(DataFrame.unionByName, parts)
         joined = failures.join(F.broadcast(self._about_rules()), RULE)
+        image, extra = F.col("source_table_attributes"), F.col("extra")
         body = F.expr("left(source_table_attributes, length(source_table_attributes) - 1)")
-        suffix = F.when(F.col("result") == MISSING, F.col("missing_suffix")).otherwise(F.lit(""))
+        whole = F.when(extra.isNull(), image).otherwise(F.concat(body, F.lit(","), extra, F.lit("}")))
         shaped = joined.withColumns(
             {
                 "year_id": F.col(YEAR),
                 "batch_id": F.col(BATCH),
                 "rule_run_date": F.lit(self.run_date),
-                "source_table_attributes": F.when(suffix == "", F.col("source_table_attributes")).otherwise(
-                    F.concat(body, suffix, F.lit("}"))
-                ),
+                "source_table_attributes": whole,
             }
         )
         return self._finished(shaped, DETAIL_COLUMNS, lakehouse_layer)
@@ -247,7 +257,8 @@ class TableCheck:
             RULE, *SLICES, "total", "missing", "failed"
         )
 
-    def _failure(self, index: int, rule: Rule, result: Column, details: Column) -> Column:
+    def _failure(self, index: int, rule: Rule, result: Column, details: Column, extra: Column) -> Column:
+        """One failed rule of a row; ``extra`` is JSON text of aggregates to append to the record image."""
         values = [
             K.key_value_at(rule.composite_columns, i, self.lower_key_values).alias(f"value{i + 1}")
             for i in range(K.UNPACKED_KEYS)
@@ -259,10 +270,14 @@ class TableCheck:
             K.attribute_values(rule.columns).alias("value"),
             K.key_values(rule.composite_columns).alias("values_of_key_columns"),
             *values,
+            extra.cast("string").alias("extra"),
         )
 
-    def _local_failures(self, chunk) -> DataFrame:
-        """Failures of row-local rules: failing rows list the rules they fail, then the list is unrolled.
+    def _shared_failures(self, chunk, rows: DataFrame, settled: dict[int, Column]) -> DataFrame:
+        """One pass for many rules: failing rows list the rules they fail, then the list is unrolled.
+
+        ``settled`` holds, per rule decided by keys, the column that tells whether
+        the row's key fails; its missing values are found here in any case.
 
         Clean rows are dropped by compiled code.  For the others the list is built
         by a higher-order function: it is evaluated expression by expression,
@@ -274,15 +289,24 @@ class TableCheck:
         tests, entries = [], []
         for index, rule in chunk:
             missing, violated = any_missing(rule.columns), self._local_violation(rule)
+            found, extra = self._local_messages(rule) if rule.is_row_local else [], F.lit(None)
+            if index in settled:
+                selected = self._selected(rule)
+                violated = settled[index] if selected is None else settled[index] & selected
+                found = messages(rule.violation, dict(rule.thresholds)) + [F.col(f"__text{index}")]
+                extra = F.col(f"__extra{index}")
+            if rule.having is not None and rule.aggregations:
+                extra = F.when(missing, F.lit(zero_aggregates(rule))).otherwise(extra)
             fails = missing if violated is None else missing | violated
-            details = self._details(rule, missing, violated, self._local_messages(rule))
+            details = self._details(rule, missing, violated, found)
             tests.append(fails)
-            entries.append(F.when(fails, self._failure(index, rule, self._flag(missing, violated), details)))
+            failure = self._failure(index, rule, self._flag(missing, violated), details, extra)
+            entries.append(F.when(fails, failure))
         any_fails = reduce(lambda a, b: a | b, tests)
-        marked = self.rows.select("*", F.explode_outer(F.when(any_fails, F.array(F.lit(True)))).alias("__fails"))
+        marked = rows.select("*", F.explode_outer(F.when(any_fails, F.array(F.lit(True)))).alias("__fails"))
         failing = marked.where(F.col("__fails").isNotNull())
-        hits = F.filter(F.array(*entries), lambda hit: hit.isNotNull())
-        imaged = failing.select(*SLICES, K.record_image(self.columns).alias("source_table_attributes"), hits.alias("__hits"))
+        hits = F.filter(F.array(*entries), lambda hit: hit.isNotNull()).alias("__hits")
+        imaged = failing.select(*SLICES, K.record_image(self.columns).alias("source_table_attributes"), hits)
         unrolled = imaged.select(*SLICES, "source_table_attributes", F.explode_outer("__hits").alias("__hit"))
         return unrolled.where(F.col("__hit").isNotNull()).select(*SLICES, "source_table_attributes", "__hit.*")
 
@@ -369,16 +393,30 @@ class TableCheck:
         facts = [F.first(named(n)).alias(n) for n in names]
         return failing.groupBy(*keys).agg(F.sum(ROWS).alias(ROWS), *facts)
 
-    def _group_failures(self, index: int, rule: Rule) -> DataFrame:
+    def _verdicts(self, rule: Rule) -> tuple[dict[str, Column], DataFrame]:
+        """Failing keys, one row each, with ``__n``, the message and the aggregates as JSON text."""
         ((keys, failing, names),) = self._lookups(self.rows, rule)
         keyed = self._one_row_per_key(failing, keys, names)
+        text = messages(rule.having, dict(rule.thresholds)) or [F.lit(reference_message(rule))]
+        extra = aggregates_text(names)
+        facts = (F.concat_ws(", ", *text).alias("__text"), extra.alias("__extra"))
+        return keys, keyed.select(*keys, ROWS, *facts)
+
+    @staticmethod
+    def _with_verdict(rows: DataFrame, index: int, keys: dict[str, Column], verdicts: DataFrame) -> DataFrame:
+        """Rows with one rule's broadcast verdict beside them, under names of its own."""
+        renamed = verdicts.select(*[F.col(c).alias(f"{c}{'_' if c in keys else ''}{index}") for c in verdicts.columns])
+        wide = rows.withColumns({f"{k}_{index}": value for k, value in keys.items()})
+        on = [f"{k}_{index}" for k in keys]
+        return wide.join(F.broadcast(renamed), on, "left").drop(*on)
+
+    def _group_failures(self, index: int, rule: Rule, keys: dict[str, Column], verdicts: DataFrame) -> DataFrame:
+        """Violations of a rule whose failing keys are too many to broadcast."""
         applicable = self._applicable(self.rows, rule)
-        hit = join_keyed(applicable, list(keys.values()), keyed, list(keys), self.limit, "inner")
-        found = messages(rule.violation, dict(rule.thresholds)) + messages(rule.having, dict(rule.thresholds))
-        if rule.references:
-            found.append(F.lit(reference_message(rule)))
-        image = K.record_image(self.columns, [named(n) for n in names]).alias("source_table_attributes")
-        failure = self._failure(index, rule, F.lit(VIOLATION), F.concat_ws(", ", *found))
+        hit = join_keyed(applicable, list(keys.values()), verdicts, list(keys), self.limit, "inner")
+        found = messages(rule.violation, dict(rule.thresholds)) + [F.col("__text")]
+        image = K.record_image(self.columns).alias("source_table_attributes")
+        failure = self._failure(index, rule, F.lit(VIOLATION), F.concat_ws(", ", *found), F.col("__extra"))
         listed = hit.select(*SLICES, image, failure.alias("__hit"))
         return listed.select(*SLICES, "source_table_attributes", "__hit.*")
 
@@ -464,9 +502,10 @@ class TableCheck:
         if not rule.reshapes_rows:
             wanted = F.col("rule_violation_flag") == VIOLATION  # missing rows come from the shared pass
         failing = self._flagged(rule).where(wanted)
-        extra = [named(c.alias) for spec in rule.aggregations for c in spec.calculations]
-        image = K.record_image(self.columns, extra).alias("source_table_attributes")
-        failure = self._failure(index, rule, F.col("rule_violation_flag"), F.col("rule_violation_details"))
+        names = [c.alias for spec in rule.aggregations for c in spec.calculations]
+        image = K.record_image(self.columns).alias("source_table_attributes")
+        flag, details = F.col("rule_violation_flag"), F.col("rule_violation_details")
+        failure = self._failure(index, rule, flag, details, aggregates_text(names))
         listed = failing.select(*SLICES, image, failure.alias("__hit"))
         return listed.select(*SLICES, "source_table_attributes", "__hit.*")
 
@@ -478,23 +517,19 @@ class TableCheck:
         for index, rule in enumerate(self.rules):
             keys = list(rule.composite_columns or ())
             listed = [keys[i] if i < len(keys) else None for i in range(K.UNPACKED_KEYS)]
-            suffix = ""
-            if rule.having is not None and rule.aggregations and not rule.reshapes_rows:
-                aliases = [c.alias for spec in rule.aggregations for c in spec.calculations]
-                suffix = "".join(f',"{alias}":0' for alias in aliases)
             rows.append(
                 (
                     index, rule.rule_id, rule.dimension, rule.object, ",".join(rule.columns), rule.system,
                     rule.sub_system, rule.domain, rule.rule_type, rule.name, rule.description, rule.to_json(),
                     rule.category, rule.critical_attribute, rule.model_integrity,
-                    K.key_names(rule.composite_columns), suffix, *listed,
+                    K.key_names(rule.composite_columns), *listed,
                 )
             )
         schema = (
             f"{RULE} int, rule_id string, dimension string, object string, attribute_name string, system string,"
             " sub_system string, domain string, rule_type string, applied_rule string, rule_description string,"
             " rule_json string, category string, critical_attribute string, model_integrity string,"
-            " key_columns string, missing_suffix string, key1 string, key2 string, key3 string, key4 string"
+            " key_columns string, key1 string, key2 string, key3 string, key4 string"
         )
         return self.spark.createDataFrame(rows, schema)
 
@@ -505,5 +540,18 @@ class TableCheck:
         return result if layer is None else result.withColumn("lakehouse_layer", F.lit(layer))
 
 
+def aggregates_text(names: Sequence[str]) -> Column:
+    """Aggregates as the inside of a JSON object; NULL when there are none."""
+    if not names:
+        return F.lit(None).cast("string")
+    whole = F.to_json(F.struct(*[named(n) for n in names]), {"ignoreNullFields": "false"})
+    return F.regexp_replace(whole, r"^\{|\}$", "")
+
+
+def zero_aggregates(rule: Rule) -> str:
+    """Missing rows are outside every group; their image shows the aggregates as 0."""
+    return ",".join(f'"{c.alias}":0' for spec in rule.aggregations for c in spec.calculations)
+
+
 def reference_message(rule: Rule) -> str:
     return f"Consistency check failed for columns: {', '.join(rule.columns)}"
