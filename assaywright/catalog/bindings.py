@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,7 +102,8 @@ def bound_rules(rules: DataFrame, bindings: DataFrame) -> DataFrame:
     own = ("system", "sub_system", "domain")
     kept_rules = rules.drop(*own)
     kept_bindings = bindings.drop(*[c for c in theirs if c not in own])
-    return kept_rules.join(kept_bindings, "rule_id", "inner").distinct()
+    joined = kept_rules.join(kept_bindings, "rule_id", "inner")
+    return joined.dropDuplicates([name for name, kind in joined.dtypes if not kind.startswith("map")])
 
 
 def expanded(bindings: DataFrame) -> DataFrame:
@@ -143,14 +144,18 @@ def target_tables(bindings: DataFrame) -> DataFrame:
     return bindings.groupBy("database_name", "table_name").agg(*[F.min(c).alias(c) for c in about])
 
 
-def to_rules(rows: Sequence, current_year: int) -> list[Rule]:
-    """Typed rules from expanded binding rows (bounded by the configuration's size)."""
-    return [_to_rule(row.asDict(), current_year) for row in rows]
+def to_rules(rows: Sequence, current_year: int, custom: Mapping[str, Callable[..., Rule]] | None = None) -> list[Rule]:
+    """Typed rules from expanded binding rows (bounded by the configuration's size).
+
+    ``custom`` maps the ids of a user's own rules to functions that take the
+    bound columns and the descriptive fields and return a ``Rule``.
+    """
+    return [_to_rule(row.asDict(), current_year, custom or {}) for row in rows]
 
 
-def _to_rule(row: dict, current_year: int) -> Rule:
+def _to_rule(row: dict, current_year: int, custom: Mapping[str, Callable[..., Rule]]) -> Rule:
     rule_id = row["rule_id"]
-    if rule_id not in TEMPLATES:
+    if rule_id not in TEMPLATES and rule_id not in custom:
         raise ValueError(f"unknown rule {rule_id}")
     about = {
         "object": row["table_name"], "system": row["system"], "sub_system": row["sub_system"],
@@ -165,6 +170,8 @@ def _to_rule(row: dict, current_year: int) -> Rule:
     if isinstance(thresholds, str):
         thresholds = json.loads(thresholds)
     about["thresholds"] = tuple(sorted(thresholds.items()))
+    if rule_id in custom:
+        return custom[rule_id]((row["column"],), **about)
     reference = None
     if rule_id in REFERENCE_RULES:
         table = ".".join(p for p in (row["reference_database"], row["reference_table_name"]) if p)

@@ -24,11 +24,14 @@ class SizeLimit:
     def admits(self, keyed: DataFrame) -> bool:
         return self.after(keyed) is not None
 
-    def after(self, keyed: DataFrame) -> SizeLimit | None:
+    def after(self, keyed: DataFrame, of_table: bool = False) -> SizeLimit | None:
         """What is left once the frame is broadcast; None when it does not fit.
 
-        Measured, not estimated: one aggregate over a stored or source frame.
+        Measured, not estimated: one aggregate over a stored or source frame.  A
+        whole table's rows are counted first, which file footers answer.
         """
+        if of_table and keyed.count() > self.rows:
+            return None
         width = F.length(F.concat_ws("", *[named(c).cast("string") for c in keyed.columns]))
         rows, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
         size += 16 * rows * len(keyed.columns)
@@ -112,7 +115,7 @@ def spread_join(
     on = [c.strip().lower() for c in columns] or [c for c in names if c in theirs]
     if not on or how not in ("inner", "left", "left_outer"):
         return join_by_name(left, right, how, on)
-    if limit.admits(right):
+    if limit.after(right, of_table=True) is not None:
         return join_by_name(left, F.broadcast(right), how, on)
     counted = left.groupBy(*[named(names[c]).alias(f"__hot_{i}") for i, c in enumerate(on)])
     counted = counted.agg(F.count(F.lit(1)).alias(ROWS))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -129,9 +129,13 @@ def run_bindings(
     bindings: DataFrame,
     settings: RunSettings,
     tables: Mapping[str, DataFrame] | None = None,
+    thresholds: DataFrame | None = None,
+    custom: Mapping[str, Callable[..., Rule]] | None = None,
 ) -> list[RuleStatus]:
     """Check every table the (selected) bindings name; a failing table does not stop the others."""
     chosen = B.accepted(bindings)
+    if thresholds is not None:
+        rules = B.with_thresholds(rules, thresholds)
     bound = B.expanded(B.bound_rules(rules, chosen))
     by_table: dict = {}
     for row in bound.collect():
@@ -146,7 +150,7 @@ def run_bindings(
         }
         keys = [c.strip() for c in (target["composite_columns"] or "").split(",") if c.strip()]
         try:
-            typed = B.to_rules(rows, settings.year)
+            typed = B.to_rules(rows, settings.year, custom)
             df = tables[full] if tables and full in tables else source_tables.read_table(spark, full)
             statuses += run_table(df, typed, settings, place, keys, tables)
         except Exception as error:  # a table's failure is recorded, the run goes on
@@ -193,13 +197,14 @@ def run_job(
     job: Mapping[str, str],
     tables: Mapping[str, DataFrame] | None = None,
     now=datetime.now,
+    **configuration,
 ) -> list[RuleStatus]:
     """A whole logged run: Running, then Success, Failed or Failed with the error."""
     started = now()
     about = {**job, "Run_Date": settings.run_date, "Layer": settings.layer}
     log_job(spark, job_target, about, "Running", "Execution started.", started)
     try:
-        statuses = run_bindings(spark, rules, bindings, settings, tables)
+        statuses = run_bindings(spark, rules, bindings, settings, tables, **configuration)
     except Exception as error:
         log_job(spark, job_target, about, "Failed", "Execution failed.", started, now(), str(error))
         raise

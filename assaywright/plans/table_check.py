@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..conditions import plain_fields
+from ..conditions import leaves, plain_fields
 from ..functions import keys as K
 from ..functions.national_id import national_id_messages
 from ..functions.predicates import holds_or_false, messages
@@ -295,7 +295,7 @@ class TableCheck:
                 violated = settled[index] if selected is None else settled[index] & selected
                 found = messages(rule.violation, dict(rule.thresholds)) + [F.col(f"__text{index}")]
                 extra = F.col(f"__extra{index}")
-            if rule.having is not None and rule.aggregations:
+            if rule.aggregations:
                 extra = F.when(missing, F.lit(zero_aggregates(rule))).otherwise(extra)
             fails = missing if violated is None else missing | violated
             details = self._details(rule, missing, violated, found)
@@ -505,7 +505,8 @@ class TableCheck:
         names = [c.alias for spec in rule.aggregations for c in spec.calculations]
         image = K.record_image(self.columns).alias("source_table_attributes")
         flag, details = F.col("rule_violation_flag"), F.col("rule_violation_details")
-        failure = self._failure(index, rule, flag, details, aggregates_text(names))
+        extra = F.when(flag == MISSING, F.lit(zero_aggregates(rule))).otherwise(aggregates_text(names))
+        failure = self._failure(index, rule, flag, details, extra)
         listed = failing.select(*SLICES, image, failure.alias("__hit"))
         return listed.select(*SLICES, "source_table_attributes", "__hit.*")
 
@@ -548,9 +549,11 @@ def aggregates_text(names: Sequence[str]) -> Column:
     return F.regexp_replace(whole, r"^\{|\}$", "")
 
 
-def zero_aggregates(rule: Rule) -> str:
-    """Missing rows are outside every group; their image shows the aggregates as 0."""
-    return ",".join(f'"{c.alias}":0' for spec in rule.aggregations for c in spec.calculations)
+def zero_aggregates(rule: Rule) -> str | None:
+    """Missing rows are outside every group; their image shows the aggregates of the condition as 0."""
+    made = {c.alias for spec in rule.aggregations for c in spec.calculations}
+    shown = dict.fromkeys(leaf.field for leaf in leaves(rule.having) if leaf.field in made)
+    return ",".join(f'"{name}":0' for name in shown) or None
 
 
 def reference_message(rule: Rule) -> str:

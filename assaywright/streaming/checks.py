@@ -70,12 +70,12 @@ def first_seen(
     """Each key once, as long as its copies arrive within the watermark.
 
     Copies of a key are first thinned in ``spread`` separate shares (by a hash of
-    the record), so a key that floods the stream does not fall to one task whole;
+    the record and its source partition), so a key that floods the stream does not fall to one task whole;
     at most ``spread`` copies reach the second step.  ``spread=1`` skips the first.
     """
     rows = watched(stream, time_column, delay)
     if spread > 1:
-        share = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]), F.lit(spread))
+        share = F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns], F.spark_partition_id()), F.lit(spread))
         rows = rows.withColumn("__share", share).dropDuplicatesWithinWatermark([*keys, "__share"]).drop("__share")
     return rows.dropDuplicatesWithinWatermark(list(keys))
 

@@ -10,8 +10,7 @@ from assaywright.operators.storage import new_path
 from assaywright.sinks import writers
 from assaywright.sources import config
 
-from . import sql as S
-from .fixtures import BINDINGS, RULES, THRESHOLDS, duck, from_sql, table
+from .fixtures import BINDINGS, RULES, THRESHOLDS, duck, from_sql
 from .registry import query
 
 BOUND = duck(BINDINGS)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaywright import Compare, Reference, Rule
@@ -17,6 +14,7 @@ from assaywright.plans import run as R
 from assaywright.plans.empty_table import empty_detail, empty_summary
 from assaywright.plans.table_check import TableCheck
 from assaywright.sinks import writers
+from assaywright.sources import config
 from assaywright.sources.tables import slice_sub_source, text_table
 
 from . import sql as S
@@ -293,3 +291,57 @@ def anomalies_only(spark, sf_dir):
         F.col("o_orderkey").alias("row_key"), F.col("number_raw").alias("checked_value"), "rule_violation_flag",
         "rule_violation_details",
     )
+
+
+# Two tables, three rules each way a binding can be read, and one table that does not exist.
+BOUND = (
+    ("DQ_001", "customer_dirty", "segment_raw, email_raw", "c_custkey"),
+    ("DQ_012", "customer_dirty", "email_raw", "c_custkey"),
+    ("DQ_006", "orders_dirty", "number_raw", "o_orderkey"),
+    ("DQ_009", "orders_dirty", "date_raw", "o_orderkey"),
+    ("DQ_001", "no_such_table", "a", ""),
+)
+RUN_BASES = {
+    "customer_dirty": CUSTOMER_BASE,
+    "orders_dirty": f"select *, cast(null as int) as year_id, {S.BATCH} as batch_id from ({duck(ORDERS_DIRTY)}) o",
+}
+RUN_TESTS = {
+    "DQ_001": lambda c: "false",
+    "DQ_012": lambda c: S.no_match(c, V.EMAIL),
+    "DQ_006": lambda c: S.no_match(c, V.DECIMAL_NUMBER),
+    "DQ_009": lambda c: S.no_match(c, V.DATE_SIMPLE),
+}
+
+
+def run_parts():
+    for rule_id, name, columns, _ in BOUND:
+        for column in columns.split(","):
+            if name in RUN_BASES:
+                place = {"object": name, "system": "services", "sub_system": "NQC", "domain": "All"}
+                rule = build(rule_id, column.strip(), **place)
+                yield S.summary_row(RUN_BASES[name], rule, S.flag_case(rule.columns, RUN_TESTS[rule_id](column.strip())))
+
+
+@query("multi_table_run", LAYERED.format(" union all ".join(f"({part})" for part in run_parts())))
+def multi_table_run(spark, sf_dir):
+    """Configuration tables to logs over several tables; the absent one does not stop the others."""
+    rules = spark.createDataFrame(
+        [(rule_id, "Data Quality", "ALL", "ALL", "ALL") for rule_id in sorted({b[0] for b in BOUND})],
+        "rule_id string, rule_type string, system string, sub_system string, domain string",
+    )
+    rows = [
+        (rule_id, "Data Quality", "services", "NQC", "All", "lake", name, columns, keys, None, None, None, None, None, 1, 1)
+        for rule_id, name, columns, keys in BOUND
+    ]
+    settings = R.RunSettings(
+        S.RUN_DATE, new_path(spark, "summary"), new_path(spark, "detail"), load_date=S.BATCH, layer="bronze"
+    )
+    tables = {
+        "lake.customer_dirty": from_sql(spark, sf_dir, CUSTOMER_DIRTY),
+        "lake.orders_dirty": from_sql(spark, sf_dir, ORDERS_DIRTY),
+    }
+    bindings = spark.createDataFrame(rows, config.BINDINGS)
+    statuses = R.run_bindings(spark, rules, bindings, settings, tables)
+    if {s.object for s in statuses if not s.passed} != {"no_such_table"}:
+        raise ValueError(f"unexpected statuses: {statuses}")
+    return spark.read.parquet(settings.summary_target)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from assaywright import Compare, Rule
 from assaywright.catalog.builtin import build
 from assaywright.operators.storage import new_path

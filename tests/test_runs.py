@@ -1,8 +1,8 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
+from assaywright import Compare, Param, Rule
 from assaywright.catalog import bindings as B
 from assaywright.catalog.builtin import build
 from assaywright.plans import run as R
@@ -181,4 +181,19 @@ def test_selection_by_lists_and_layer(frame):
     assert B.select_bindings(df, layer="silver", excluded="SILVER_B").count() == 0
     assert B.select_bindings(df, "AUDIT").count() == 0
     assert B.target_tables(df).count() == 2
-    assert F is not None
+
+
+def test_own_rules_and_thresholds_in_a_run(spark, frame, rules, tables, settings):
+    own = frame(RULE, ("BR_1", "Own", "text", "Business", "S", "X", "D", 1))
+    limits = frame(config.THRESHOLDS, ("BR_1", "S", "X", "D", 1, 1, '{"least": "2"}', "Business"))
+    bindings = frame(BINDING, ("BR_1", "Business", "S", "X", "D", "lake", "people", "id", "id", *[None] * 5, 1, 1))
+
+    def at_least(columns, **about):
+        return Rule("BR_1", columns, violation=Compare(columns[0], "<", Param("least")), **about)
+
+    statuses = R.run_bindings(spark, own, bindings, settings, tables, limits, {"BR_1": at_least})
+    assert [(s.rule_id, s.passed) for s in statuses] == [("BR_1", True)]
+    detail = spark.read.parquet(settings.detail_target).collect()
+    assert [r["rule_violation_details"] for r in detail] == ["Condition violated: id < 2"] * 2
+    row = spark.read.parquet(settings.summary_target).first()
+    assert (row["rule_type"], row["applied_rule"], row["no_of_failures"]) == ("Business", "Own", 2)
