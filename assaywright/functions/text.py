@@ -13,14 +13,16 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def text_columns(df: DataFrame) -> list[Column]:
+    """Every column of the frame as a string column of the same name."""
+    return [
+        named(name) if kind == "string" else named(name).cast("string").alias(name) for name, kind in df.dtypes
+    ]
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Every non-string column cast to string, once, in one projection."""
-    return df.select(
-        *[
-            named(name) if kind == "string" else named(name).cast("string").alias(name)
-            for name, kind in df.dtypes
-        ]
-    )
+    return df.select(*text_columns(df))
 
 
 def is_missing(value: Column) -> Column:
@@ -29,13 +31,6 @@ def is_missing(value: Column) -> Column:
     return F.coalesce((trimmed == "") | (F.upper(trimmed) == "NULL"), F.lit(True))
 
 
-def any_missing(columns: Sequence[str]) -> Column:
-    test = is_missing(named(columns[0]))
-    for name in columns[1:]:
-        test = test | is_missing(named(name))
-    return test
-
-
 def missing_message(columns: Sequence[str]) -> Column:
     names = F.concat_ws(",", *[F.when(is_missing(named(c)), F.lit(c)) for c in columns])
     return F.concat(F.lit("missing value for fields: "), names)

@@ -20,7 +20,7 @@ from ..conditions import leaves, plain_fields
 from ..functions import keys as K
 from ..functions.national_id import national_id_messages
 from ..functions.predicates import holds_or_false, messages
-from ..functions.text import any_missing, as_text, lookup_key, missing_message, named
+from ..functions.text import is_missing, lookup_key, missing_message, named, text_columns
 from ..operators import groups, references, reshape
 from ..operators.joins import ROWS, SizeLimit, join_keyed
 from ..operators.storage import release, stored
@@ -30,6 +30,9 @@ YEAR, BATCH = "__year", "__batch"
 SLICES = [YEAR, BATCH]
 RULE = "__rule"
 
+# Types whose text is never blank and never the word NULL.
+NEVER_BLANK = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "boolean", "date", "timestamp")
+
 # The flag codes (-2 is reserved and never produced).
 MISSING, PASS, VIOLATION = -1, 0, 1
 
@@ -71,7 +74,10 @@ class TableCheck:
         self._failing: dict = {}
         self._paths: list[str] = []
         self._fixed: dict[str, Column] = {}
-        self.rows = self._with_slices(as_text(df), batch_id, year_id)
+        self._nulls = {
+            name.lower(): f"__null_{i}" for i, (name, kind) in enumerate(df.dtypes) if kind.startswith(NEVER_BLANK)
+        }
+        self.rows = self._with_slices(self._text_view(df), batch_id, year_id)
         self.rules = [self._resolved(rule) for rule in rules]
 
     # -- results ---------------------------------------------------------------
@@ -150,6 +156,19 @@ class TableCheck:
 
     # -- shared pieces -----------------------------------------------------------
 
+    def _text_view(self, df: DataFrame) -> DataFrame:
+        """The table as text, with the NULL test of typed columns beside it: their text is never blank."""
+        tests = [named(name).isNull().alias(hidden) for name, hidden in self._nulls.items()]
+        return df.select(*text_columns(df), *tests)
+
+    def _missing(self, columns: Sequence[str]) -> Column:
+        """Any of the columns is missing; typed columns need no look at their text."""
+        tests = []
+        for name in columns:
+            hidden = self._nulls.get(name.lower())
+            tests.append(is_missing(named(name)) if hidden is None else F.coalesce(F.col(hidden), F.lit(True)))
+        return reduce(lambda a, b: a | b, tests)
+
     def _with_slices(self, text: DataFrame, batch_id: int | None, year_id: int | None) -> DataFrame:
         """Adds year and batch: given ones hold for all rows, else they come from the table's columns."""
         names = {c.lower() for c in text.columns}
@@ -238,7 +257,7 @@ class TableCheck:
         """Aggregates of the rules' missing and failed rows, and the structs that list them per rule."""
         aggregates, entries = [], []
         for index, rule in chunk:
-            missing, violated = any_missing(rule.columns), self._local_violation(rule)
+            missing, violated = self._missing(rule.columns), self._local_violation(rule)
             aggregates.append(F.count_if(missing).alias(f"m{index}"))
             failed = F.lit(0).cast("long")
             if violated is not None:
@@ -288,7 +307,7 @@ class TableCheck:
         """
         tests, entries = [], []
         for index, rule in chunk:
-            missing, violated = any_missing(rule.columns), self._local_violation(rule)
+            missing, violated = self._missing(rule.columns), self._local_violation(rule)
             found, extra = self._local_messages(rule) if rule.is_row_local else [], F.lit(None)
             if index in settled:
                 selected = self._selected(rule)
@@ -330,7 +349,7 @@ class TableCheck:
         return len(rule.aggregations) + len(rule.references) == 1
 
     def _applicable(self, rows: DataFrame, rule: Rule) -> DataFrame:
-        rows = rows.where(~any_missing(rule.columns))
+        rows = rows.where(~self._missing(rule.columns))
         return rows if rule.violation is None else rows.where(self._selected(rule))
 
     @staticmethod
@@ -437,7 +456,7 @@ class TableCheck:
         violated = self._combined(rule, having, absent)
         if absent is not None:
             found.append(F.when(absent, F.lit(reference_message(rule))))
-        missing = any_missing(rule.columns)
+        missing = self._missing(rule.columns)
         return rows.withColumns(
             {
                 "rule_violation_flag": self._flag(missing, violated),

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.text import as_text
 from ..operators.storage import new_path
 from ..plans.table_check import TableCheck
 from ..rules import Rule
@@ -44,9 +43,9 @@ def windowed_summary(
 
     All rules share one stateful aggregate with one state row per window.
     """
-    kept = as_text(stream).withColumn("__time", F.col(time_column).try_cast("timestamp"))
-    kept = kept.withWatermark("__time", delay)
     check = TableCheck(stream, rules, "1970-01-01 00:00:00")
+    kept = check.rows.withColumn("__time", F.col(time_column).try_cast("timestamp"))
+    kept = kept.withWatermark("__time", delay)
     aggregates, entries = check.local_aggregates(list(enumerate(check.rules)))
     ids = F.array(*[F.lit(rule.rule_id) for rule in check.rules])
     wide = kept.groupBy(F.window("__time", window)).agg(F.count(F.lit(1)).alias("total"), *aggregates)
