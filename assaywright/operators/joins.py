@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import named
+from .storage import stored
 
 ROWS = "__n"
 
@@ -70,6 +71,7 @@ def join_keyed(
     keys: Sequence[str],
     limit: SizeLimit,
     how: str = "inner",
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """Join rows to a stored frame holding one row per key and ``__n``, the rows behind that key.
 
@@ -84,24 +86,34 @@ def join_keyed(
     on = list(keys)
     if limit.admits(keyed):
         return wide.join(F.broadcast(keyed), on, how)
-    hot_rows = _hot_from(keyed, limit)
-    hot = keyed.where(F.col(ROWS) >= hot_rows)
+    hot, hot_rows = _hot_keys(keyed, limit, paths)
     cold = keyed.where(F.col(ROWS) < hot_rows)
     of_hot = wide.join(F.broadcast(hot), on, "inner")
     of_cold = wide.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how)
     return of_hot.unionByName(of_cold)
 
 
-def _hot_from(keyed: DataFrame, limit: SizeLimit) -> int:
-    """Smallest tried row count from which on keys are hot and yet few enough to broadcast."""
+def _hot_keys(counted: DataFrame, limit: SizeLimit, paths: list[str] | None) -> tuple[DataFrame, int]:
+    """Keys with many rows, few enough to broadcast, and the row count that makes a key hot.
+
+    At most all rows / hot_rows keys qualify; they are stored, so that raising
+    the bound until they fit re-reads only them.
+    """
+    kept = stored(counted.where(F.col(ROWS) >= limit.hot_rows), [] if paths is None else paths)
     hot_rows = limit.hot_rows
-    while not limit.admits(keyed.where(F.col(ROWS) >= hot_rows)):
+    while not limit.admits(kept.where(F.col(ROWS) >= hot_rows)):
         hot_rows *= 10
-    return hot_rows
+    return kept.where(F.col(ROWS) >= hot_rows), hot_rows
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, columns: Sequence[str], how: str, limit: SizeLimit, shares: int = 64
+    left: DataFrame,
+    right: DataFrame,
+    columns: Sequence[str],
+    how: str,
+    limit: SizeLimit,
+    shares: int = 64,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """``join_by_name`` for tables of any size, with the left side's hot keys spread over many tasks.
 
@@ -119,8 +131,8 @@ def spread_join(
         return join_by_name(left, F.broadcast(right), how, on)
     counted = left.groupBy(*[named(names[c]).alias(f"__hot_{i}") for i, c in enumerate(on)])
     counted = counted.agg(F.count(F.lit(1)).alias(ROWS))
-    hot_rows = _hot_from(counted, limit)
-    hot = counted.where(F.col(ROWS) >= hot_rows).withColumn("__is_hot", F.lit(True)).drop(ROWS)
+    hot, _ = _hot_keys(counted, limit, paths)
+    hot = hot.withColumn("__is_hot", F.lit(True)).drop(ROWS)
     marks = [f"__hot_{i}" for i in range(len(on))]
     share = F.pmod(F.xxhash64(*[named(c) for c in left.columns], F.spark_partition_id()), F.lit(shares)).cast("int")
     dealt = left.join(F.broadcast(hot), _same([names[c] for c in on], marks, False), "left")
@@ -132,7 +144,12 @@ def spread_join(
 
 
 def without_keys(
-    rows: DataFrame, keyed: DataFrame, keys: Sequence[str], null_safe: bool, limit: SizeLimit | None = None
+    rows: DataFrame,
+    keyed: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool,
+    limit: SizeLimit | None = None,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """Rows whose key is not in ``keyed``; with ``null_safe`` a NULL key part equals a NULL.
 
@@ -147,8 +164,8 @@ def without_keys(
         return rows.join(F.broadcast(other), _same(keys, marks, null_safe), "left_anti")
     counted = rows.groupBy(*[named(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
     counted = counted.agg(F.count(F.lit(1)).alias(ROWS))
-    hot_rows = _hot_from(counted, limit)
-    hot = counted.where(F.col(ROWS) >= hot_rows).drop(ROWS)
+    hot, _ = _hot_keys(counted, limit, paths)
+    hot = hot.drop(ROWS)
     heads = hot.columns
     taken = hot.join(other, _same(heads, marks, null_safe), "left_semi")
     cold_rows = rows.join(F.broadcast(hot), _same(keys, heads, True), "left_anti")

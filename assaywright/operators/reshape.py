@@ -11,9 +11,9 @@ from ..rules import Enrich
 from .joins import SizeLimit, one_per_key, spread_join
 
 
-def enrich(rows: DataFrame, table: DataFrame, spec: Enrich, limit: SizeLimit | None = None) -> DataFrame:
+def enrich(rows: DataFrame, table: DataFrame, spec: Enrich, limit: SizeLimit, paths: list[str]) -> DataFrame:
     """Join a side table, compared as text like the rows themselves."""
-    return spread_join(rows, as_text(table), spec.columns, spec.how, limit or SizeLimit())
+    return spread_join(rows, as_text(table), spec.columns, spec.how, limit, paths=paths)
 
 
 def distinct_rows(rows: DataFrame, columns: Sequence[str] = ()) -> DataFrame:

@@ -114,9 +114,8 @@ def run_table(
         return [RuleStatus(place["object"], "DQ_000", True)]
     kept, statuses = usable_rules(sliced, rules, settings, tables)
     if kept:
-        check = TableCheck(
-            sliced, kept, settings.run_date, settings.load_date or None, settings.year_id or None, tables, settings.limit
-        )
+        slices = (settings.load_date or None, settings.year_id or None)
+        check = TableCheck(sliced, kept, settings.run_date, *slices, tables, settings.limit)
         writers.append_log(check.summary(settings.layer), settings.summary_target)
         writers.append_log(check.detail(settings.layer), settings.detail_target)
         check.release()

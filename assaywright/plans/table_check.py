@@ -367,7 +367,10 @@ class TableCheck:
 
     def _lookups(self, rows: DataFrame, rule: Rule):
         """(keys, stored failing groups, aggregate names) of every later stage."""
-        memo = None if rule.reshapes_rows else repr(rule.bind(rule_id="", name="", composite_columns=None))
+        memo = None
+        if not rule.reshapes_rows:
+            stages = (rule.columns, rule.violation, rule.national_id, rule.aggregations, rule.having)
+            memo = repr((*stages, rule.references, rule.thresholds))
         if memo in self._failing:
             return self._failing[memo]
         found = []
@@ -377,7 +380,8 @@ class TableCheck:
             failing = groups.failing_groups(
                 applicable, keys, varying, spec.calculations, rule.having, dict(rule.thresholds)
             )
-            found.append((keys, stored(failing.withColumns(self._fixed), self._paths), [c.alias for c in spec.calculations]))
+            kept = stored(failing.withColumns(self._fixed), self._paths)
+            found.append((keys, kept, [c.alias for c in spec.calculations]))
         for reference in rule.references:
             keys = self._reference_keys(rule, reference)
             failing = references.failing_groups(applicable, keys, varying, self.table(reference.table), reference)
@@ -403,7 +407,7 @@ class TableCheck:
         """Left joins of each lookup's failing keys; ``__hit{i}`` tells whether the row's key fails."""
         for i, (keys, failing, names) in enumerate(lookups):
             keyed = self._one_row_per_key(failing, keys, names)
-            rows = join_keyed(rows, list(keys.values()), keyed, list(keys), self.limit, "left")
+            rows = join_keyed(rows, list(keys.values()), keyed, list(keys), self.limit, "left", self._paths)
             rows = rows.withColumn(f"__hit{i}", F.col(ROWS).isNotNull()).drop(ROWS, *keys)
         return rows
 
@@ -432,7 +436,7 @@ class TableCheck:
     def _group_failures(self, index: int, rule: Rule, keys: dict[str, Column], verdicts: DataFrame) -> DataFrame:
         """Violations of a rule whose failing keys are too many to broadcast."""
         applicable = self._applicable(self.rows, rule)
-        hit = join_keyed(applicable, list(keys.values()), verdicts, list(keys), self.limit, "inner")
+        hit = join_keyed(applicable, list(keys.values()), verdicts, list(keys), self.limit, "inner", self._paths)
         found = messages(rule.violation, dict(rule.thresholds)) + [F.col("__text")]
         image = K.record_image(self.columns).alias("source_table_attributes")
         failure = self._failure(index, rule, F.lit(VIOLATION), F.concat_ws(", ", *found), F.col("__extra"))
@@ -445,7 +449,7 @@ class TableCheck:
         """Every row with its flag, details and aggregates: the general path for any mix of stages."""
         rows = self.rows
         if rule.enrich is not None:
-            rows = reshape.enrich(rows, self.table(rule.enrich.table), rule.enrich, self.limit)
+            rows = reshape.enrich(rows, self.table(rule.enrich.table), rule.enrich, self.limit, self._paths)
         if rule.distinct:
             rows = reshape.distinct_rows(rows, rule.distinct_columns)
         found = self._local_messages(rule)
@@ -501,7 +505,8 @@ class TableCheck:
             )
         keys = self._group_keys(spec.group_by, spec.digest)
         facts = stored(groups.group_facts(applicable, keys, spec.calculations, thresholds), self._paths)
-        return join_keyed(rows, list(keys.values()), facts, list(keys), self.limit, "left").drop(ROWS, *keys)
+        wide = join_keyed(rows, list(keys.values()), facts, list(keys), self.limit, "left", self._paths)
+        return wide.drop(ROWS, *keys)
 
     def _flag_counts(self, index: int, rule: Rule) -> DataFrame:
         flag = F.col("rule_violation_flag")

@@ -83,14 +83,23 @@ def windowed_duplicates(
     stream: DataFrame, keys: Sequence[str], time_column: str, window: str, delay: str
 ) -> DataFrame:
     """Keys seen more than once in a tumbling window; state ends with the watermark."""
-    counted = watched(stream, time_column, delay).groupBy(F.window(time_column, window), *keys).agg(F.count(F.lit(1)).alias("duplicate_count"))
+    grouped = watched(stream, time_column, delay).groupBy(F.window(time_column, window), *keys)
+    counted = grouped.agg(F.count(F.lit(1)).alias("duplicate_count"))
     return counted.where(F.col("duplicate_count") > 1).select(
         F.col("window.start").alias("window_start"), *keys, "duplicate_count"
     )
 
 
-def write_available(stream: DataFrame, target: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Process what is there now into a parquet folder (exactly once per checkpoint), then stop."""
+def write_available(
+    stream: DataFrame, target: str, checkpoint: str | None = None, partitions: Sequence[str] = ()
+) -> StreamingQuery:
+    """Process what is there now into a parquet folder (exactly once per checkpoint), then stop.
+
+    Detail rows go to a log partitioned like the batch logs with
+    ``partitions=LOG_PARTITIONS``; the file sink keeps that exactly-once as well.
+    """
     checkpoint = checkpoint or new_path(stream.sparkSession, "stream-state")
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
     return writer.outputMode("append").trigger(availableNow=True).start(target)

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from assaywright import Compare, Rule
 from assaywright.catalog.builtin import build
+from assaywright.sinks.writers import LOG_PARTITIONS
 from assaywright.streaming import checks as C
 
 import pytest
@@ -42,6 +43,20 @@ def test_row_rules_resume_where_they_stopped(feed):
     assert len(run(failures, "out")) == 3
 
 
+def test_detail_stream_fills_a_partitioned_log(feed, spark, tmp_path):
+    add, _ = feed
+    add(("a", at(1), 9), (None, at(1), 1))
+    rule = build("DQ_001", "k", system="S", sub_system="X", object="events")
+    kind = spark.createDataFrame([], "k string, ts timestamp, v int").schema
+    stream = C.parquet_stream(spark, str(tmp_path / "feed" / "events"), kind)
+    target = str(tmp_path / "log")
+    failures = C.row_failures(stream, [rule], "2026-01-01 00:00:00", 20240101)
+    C.write_available(failures, target, str(tmp_path / "state"), LOG_PARTITIONS).awaitTermination()
+    assert (tmp_path / "log" / "system=S" / "sub_system=X" / "batch_id=20240101").is_dir()
+    row = spark.read.parquet(target).first()
+    assert (row["rule_id"], row["result"], row["object"]) == ("DQ_001", -1, "events")
+
+
 def test_key_rules_are_refused(feed):
     add, run = feed
     add(("a", at(1), 9))
