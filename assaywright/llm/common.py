@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from ..operators.joins import SizeLimit
 #: What separates words: space, tab, newline, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 GAP_CHARACTERS = "\x20\t\n\x0b\f\r"
+_GAP_BYTES = re.compile(rb"[\x20\x09-\x0D]+")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What these operators broadcast at most: measured, see SizeLimit.
 BROADCAST = SizeLimit(rows=200_000, bytes=16 * 1024 * 1024, hot_rows=50_000)
@@ -57,3 +59,15 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Ite
         size += n
     if start < len(lengths):
         yield batch.slice(start)
+
+
+def word_blocks(raw: bytes, most: int = 1 << 22) -> Iterator[list[bytes]]:
+    """The words of a text in lists of bounded size."""
+    start = 0
+    while len(raw) - start > most:
+        cut = _GAP_BYTES.search(raw, start + most)
+        if cut is None:
+            break
+        yield raw[start : cut.start()].split()
+        start = cut.end()
+    yield (raw[start:] if start else raw).split()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +27,13 @@ def query(name: str, oracle: str | None = None):
 @query("op5_source_mix", mixing.REPORT_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_simhash_groups")
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
