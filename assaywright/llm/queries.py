@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, simhash
+from . import decontaminate, mixing, quality, simhash, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(name: str, oracle: str | None = None):
@@ -37,3 +45,13 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_frames")
+def token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
+
+
+@query("op9_decontamination", decontaminate.REPORT_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
