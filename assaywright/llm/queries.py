@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, simhash, tokens
+from . import chat, decontaminate, language, mixing, quality, secrets, simhash, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,23 @@ def token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination", decontaminate.REPORT_SQL)
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_language_centroids")
+def language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_chat_format")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    said = r"\### Assistant: </turn> ok"
+    kinds = dict(conversations.dtypes)
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], ["conv_id", "turn", "role", "text"])
+    added = added.withColumns({c: added[c].cast(kinds[c]) for c in added.columns})
+    return chat.report(conversations, added)
+
+
+@query("op8_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))

@@ -20,9 +20,11 @@ text; an empty table gives an empty manifest.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,48 +49,52 @@ SKIPPABLE_SEEK, SEEK_MAGIC, CHECKSUM_FLAG = 0x184D2A5E, 0x8F92EAB1, 0x80
 SKIPPABLE_INDEX = 0x184D2A50
 FRAME_TOKENS = 1 << 16
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
+#: Printable ASCII and Latin letters: never white space by any version of Unicode.
+PLAIN = frozenset(c for c in map(chr, range(0x250)) if "!" <= c <= "~" or c.isalpha())
+_LETTERS = frozenset(c for c in PLAIN if c.isalpha())
+_LINE_END = re.compile(r"(?<=[!-~])\n(?=[!-~])")
+_STOPS = ".,;:!?"
 _EMPTY = np.zeros(0, dtype="<u4")
 
 
 class PieceEncoder:
     """The tokenizer's ids of texts, encoding each distinct piece once.
 
-    A text is cut before a space that follows a printable character and precedes
-    a letter: byte-level pre-tokenisation always starts a piece there, so the
-    pieces' ids, one after another, are the text's ids.  The memory of pieces is
-    emptied when it holds ``most`` of them.
+    A text is cut before a single space between two plain characters: byte-level pre-tokenisation always starts a piece there, so the
+    pieces' ids, one after another, are the text's ids.  So it does at a single line
+    end between plain characters and between a letter and closing punctuation.
+    The memory of pieces is emptied when it holds ``most`` of them.
     """
 
-    JOINED = 256
-
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.most = most
         self.known: dict[str, bytes] = {}
-        names = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(names.values()) + 1, dtype=bool)
-        self.spaced[[i for name, i in names.items() if name.startswith("Ġ")]] = True
-
-    def _each(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str], joinable: list[str]) -> None:
-        """Joinable pieces begin with their only space, so their ids can be told apart in a longer text."""
-        if len(self.known) + len(pieces) + len(joinable) > self.most:
+    @staticmethod
+    def _parts(piece: str) -> list[str]:
+        out = []
+        for i, line in enumerate(_LINE_END.split(piece)):
+            if i:
+                out.append("\n")
+            head = line.rstrip(_STOPS)
+            out += [head, line[len(head) :]] if len(head) < len(line) and head[-1:] in _LETTERS else [line]
+        return out
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        cut = [(p,) if p in self.known else self._parts(p) for p in pieces]
+        new = list({p for parts in cut for p in parts if p not in self.known})
+        if len(self.known) + len(new) > self.most:
             self.known.clear()
-        self.known.update(zip(pieces, self._each(pieces)))
-        groups = [joinable[i : i + self.JOINED] for i in range(0, len(joinable), self.JOINED)]
-        for group, all_ids in zip(groups, self._each(["".join(g) for g in groups])):
-            ids = np.frombuffer(all_ids, dtype="<u4")
-            starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) != len(group):
-                self.known.update(zip(group, self._each(group)))
-                continue
-            cuts = [*(4 * starts).tolist(), len(all_ids)]
-            self.known.update((p, all_ids[a:b]) for p, a, b in zip(group, cuts, cuts[1:]))
+            new = list({p for parts in cut for p in parts})
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
+        known = self.known
+        return [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in cut]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and the number of each text's ids."""
@@ -99,34 +105,29 @@ class PieceEncoder:
         code = coded.indices.to_numpy()
         names = coded.dictionary.to_pylist()
         offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        starts_ok = np.fromiter((n[:1].isalpha() and n[0] < "ɐ" for n in names), dtype=bool, count=len(names))
-        ends_ok = np.fromiter(
-            (n[-1:] > " " and (n[-1] < "\x7f" or n[-1] < "ɐ" and n[-1].isalpha()) for n in names), dtype=bool, count=len(names)
-        )
+        starts_ok = np.fromiter((n[:1] in PLAIN for n in names), dtype=bool, count=len(names))
+        ends_ok = np.fromiter((n[-1:] in PLAIN for n in names), dtype=bool, count=len(names))
         first = np.zeros(len(code), dtype=bool)
         first[offsets[:-1]] = True
         cut = first.copy()
         cut[1:] |= ends_ok[code[:-1]] & starts_ok[code[1:]]
         begins = np.flatnonzero(cut)
         ends = np.append(begins[1:], len(code))
-        key = np.where(ends - begins == 1, 2 * code[begins].astype(np.int64) + ~first[begins], -1)
-        alone, place = np.unique(key, return_inverse=True)
-        pieces = [(" " if k & 1 else "") + names[k >> 1] if k >= 0 else "" for k in alone.tolist()]
-        joins = [k >= 0 and k & 1 and ends_ok[k >> 1] for k in alone.tolist()]
-        several = np.flatnonzero(key < 0)
+        several = np.flatnonzero(ends - begins > 1)
+        key = 2 * code[begins] + ~first[begins]
+        key[several] = 0
+        present = np.zeros(2 * len(names), dtype=bool)
+        present[key] = True
+        alone = np.flatnonzero(present)
+        place = (np.cumsum(present) - 1)[key]
+        pieces = [(" " if k & 1 else "") + names[k >> 1] for k in alone.tolist()]
         if len(several):
             text_of = {}
-            for at in several.tolist():
-                a, b = int(begins[at]), int(ends[at])
-                text = ("" if first[a] else " ") + " ".join(names[c] for c in code[a:b])
+            for at, a, b in zip(several.tolist(), begins[several].tolist(), ends[several].tolist()):
+                text = ("" if first[a] else " ") + " ".join([names[c] for c in code[a:b].tolist()])
                 place[at] = text_of.setdefault(text, len(pieces) + len(text_of))
             pieces += text_of
-            joins += [False] * len(text_of)
-        new = [(p, j) for p, j in zip(pieces, joins) if p not in self.known]
-        if len(self.known) + len(new) > self.most:
-            new = list(zip(pieces, joins))
-        self._learn([p for p, j in new if not j], [p for p, j in new if j])
-        ids = [self.known[p] for p in pieces]
+        ids = self._ids(pieces)
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         heads = np.cumsum(sizes) - sizes
