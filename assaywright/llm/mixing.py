@@ -76,9 +76,9 @@ def source_targets(per_source: DataFrame, curriculum: Curriculum) -> DataFrame:
     )
     rows = rows.withColumn("__mix_words", F.sum("__mix_size").over(whole) * F.lit(float(curriculum.share)))
     level = (F.col("__mix_words") - F.col("__mix_full")) / F.col("__mix_rest_weight")
-    # the level of the first source that is not full holds for all after it
+    # the first source that is not full sets the level; counting it as full would only lower it
     rows = rows.withColumn("__mix_level", F.when(level <= F.col("__mix_ratio"), level))
-    rows = rows.withColumn("__mix_level", F.min("__mix_level").over(whole))
+    rows = rows.withColumn("__mix_level", F.max("__mix_level").over(whole))
     target = F.least(F.col("__mix_cap"), F.coalesce(F.col("__mix_level") * F.col("__mix_weight"), F.col("__mix_cap")))
     return rows.select("__mix_none", "__mix_source", "__mix_size", "__mix_slope", target.alias("__mix_target"))
 
@@ -171,7 +171,7 @@ weighed as (select *, case turn % 3 when 0 then 3.0 when 1 then 1.0 else 2.0 end
 filled as (select *, coalesce(sum(cap) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0.0) as full_,
     sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following) as rest,
     sum(source_size) over () * 1.5::double as words from weighed),
-levels as (select *, min(case when (words - full_) / rest <= cap / weight then (words - full_) / rest end) over () as level from filled),
+levels as (select *, max(case when (words - full_) / rest <= cap / weight then (words - full_) / rest end) over () as level from filled),
 targets as (select source, source_size, slope, least(cap, coalesce(level * weight, cap)) as target from levels),
 started as (select s.*, t.source_size, t.target, t.slope,
     cast(sum(size) over (partition by s.source order by draw, s.doc_id, size rows between unbounded preceding and current row) as bigint) - size as start
