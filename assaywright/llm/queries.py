@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, mixing, quality, secrets, simhash, tokens
+from . import chat, decontaminate, language, mixing, quality, repeats, secrets, simhash, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,8 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_scan")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_repeat_removal")
+def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
