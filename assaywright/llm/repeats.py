@@ -48,8 +48,8 @@ LENGTH = 50
 CORE = 20  # bytes of an anchor
 SIDE = LENGTH - CORE
 SPLIT = 16  # strings with so many bytes before the anchor are found by their left context
-BUCKET_ANCHORS = 1 << 20
-INDEX_SYMBOLS = 1 << 20
+BUCKET_ANCHORS = 1 << 18
+INDEX_SYMBOLS = 1 << 19
 CROWD = 4096
 DOC = ["doc", "print"]
 _P = [np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -224,41 +224,56 @@ def _repeat_starts(groups: list[list[tuple[int, int, bytes]]]) -> dict[tuple[int
     the full length stay within a group.
     """
     found: dict[tuple[int, int], np.ndarray] = {}
-    ranks = [np.unique([doc for doc, _, _ in g], return_inverse=True)[1] for g in groups]
-    for bit in range(int(max(r[-1] for r in ranks)).bit_length()):
+    ranks = []
+    for group in groups:
+        nth = {doc: r for r, doc in enumerate(sorted({doc for doc, _, _ in group}))}
+        ranks.append([nth[doc] for doc, _, _ in group])
+    for bit in range(max(map(max, ranks)).bit_length()):
         texts, asked, symbols = [], [], 0
         for g, (group, rank) in enumerate(zip(groups, ranks)):
-            half, part = (rank >> bit) & 1, rank >> (bit + 1)
-            for p in np.unique(part[half == 1]).tolist():
-                left = np.flatnonzero((part == p) & (half == 0))
-                symbols += 1
-                for i in left.tolist():
-                    texts.append((symbols, *group[i][1:]))
-                asked += [(symbols, g, i) for i in np.flatnonzero((part == p) & (half == 1)).tolist()]
-        low = len(texts) + 1
-
-        def coded(symbol, mark, piece, low=low):
-            b = np.frombuffer(piece, dtype=np.uint8).astype(np.int64) + low
-            return np.concatenate([b[:mark], [low + 255 + symbol], b[mark:]])
-
-        text = np.concatenate([x for k, t in enumerate(texts) for x in (coded(*t), [len(texts) - k])] + [[0]])
-        index = RunIndex(text.astype(np.int64))
+            if rank[-1] >> bit == 0:
+                continue
+            parts: dict[int, tuple[list[int], list[int]]] = {}
+            for i, r in enumerate(rank):
+                parts.setdefault(r >> (bit + 1), ([], []))[(r >> bit) & 1].append(i)
+            for earlier, later in parts.values():
+                if earlier and later:
+                    symbols += 1
+                    texts += [(symbols, *group[i][1:]) for i in earlier]
+                    asked += [(symbols, *group[i][1:], g, i) for i in later]
+        if not asked:
+            continue
+        low = len(texts) + 1  # below: the ends of texts, each a symbol of its own
+        index = RunIndex(_coded(texts, low))
         width = LENGTH + SIDE + 1
         for start in range(0, len(asked), 1 << 14):
             part = asked[start : start + (1 << 14)]
-            rows = np.full((len(part), width), -1, dtype=np.int64)
-            for row, (symbol, g, i) in zip(rows, part):
-                code = coded(symbol, *groups[g][i][1:])
-                row[width - len(code) :] = code
+            flat = b"".join([(piece[:mark] + b"\0" + piece[mark:]).rjust(width) for _, mark, piece, _, _ in part])
+            rows = np.frombuffer(flat, dtype=np.uint8).reshape(len(part), width).astype(np.int64) + low
+            sizes = np.array([len(x[2]) for x in part])
+            rows[np.arange(width) < (width - 1 - sizes)[:, None]] = -1
+            rows[np.arange(len(part)), width - 1 - sizes + [x[1] for x in part]] = low + 255 + np.array([x[0] for x in part])
             long = index.stream(rows) > LENGTH
-            for (symbol, g, i), row in zip(part, long):
-                mark, piece = groups[g][i][1:]
-                starts = np.flatnonzero(row[width - len(piece) - 1 :][: mark + 1])
+            for k in np.flatnonzero(long.any(axis=1)).tolist():
+                _, mark, piece, g, i = part[k]
+                starts = np.flatnonzero(long[k, width - len(piece) - 1 :][: mark + 1])
                 if len(starts):
                     found[g, i] = np.union1d(found[g, i], starts) if (g, i) in found else starts
     return found
 
 
+def _coded(texts: list[tuple[int, int, bytes]], low: int) -> np.ndarray:
+    """Texts one after another: bytes from ``low`` on, each text's mark before its anchor, its own end behind it."""
+    text = np.frombuffer(b"".join([piece[:mark] + b"\0" + piece[mark:] + b"\0" for _, mark, piece in texts]) + b"\0", dtype=np.uint8)
+    text = text.astype(np.int64) + low
+    sizes = np.array([len(piece) + 2 for _, _, piece in texts])
+    heads = np.cumsum(sizes) - sizes
+    text[heads + [mark for _, mark, _ in texts]] = low + 255 + np.array([symbol for symbol, _, _ in texts])
+    text[heads + sizes - 1] = len(texts) - np.arange(len(texts))
+    text[-1] = 0
+    return text
+
+
 def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces sorted by key and document to marks."""
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import numpy as np
 
+STEP = 8
+
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix order by prefix doubling; the last symbol must be unique and the least."""
@@ -23,7 +25,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         after = np.zeros(n, dtype=np.int64)
         after[: n - width] = rank[width:] + 1 if width < n else 0
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.cumsum(np.append(0, key[order[1:]] != key[order[:-1]]))
         rank = np.empty(n, dtype=np.int64)
         rank[order] = new
@@ -34,7 +36,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 class RunIndex:
     def __init__(self, text: np.ndarray):
-        self.text, n = text, len(text)
+        n = self.n = len(text)
+        self.padded = np.append(text, -np.arange(2, 2 + STEP))
         order = suffix_array(text)
         last = text[order - 1]
         starts = np.flatnonzero(np.append(True, last[1:] != last[:-1]))
@@ -52,15 +55,14 @@ class RunIndex:
         """Length of the common extension of text positions, up to ``most``."""
         found = np.zeros(len(a), dtype=np.int64)
         live = np.flatnonzero(most > 0)
-        n = len(self.text)
+        steps = np.arange(STEP)
         while len(live):
             x, y = a[live] + found[live], b[live] + found[live]
-            ok = (x < n) & (y < n)
-            ok[ok] = self.text[x[ok]] == self.text[y[ok]]
-            live = live[ok]
-            found[live] += 1
-            live = live[found[live] < most[live]]
-        return found
+            differ = self.padded[x[:, None] + steps] != self.padded[y[:, None] + steps]
+            same = np.where(differ.any(axis=1), differ.argmax(axis=1), STEP)
+            found[live] += same
+            live = live[(same == STEP) & (found[live] < most[live])]
+        return np.minimum(found, most)
 
     def stream(self, patterns: np.ndarray) -> np.ndarray:
         """Matching statistics of right-aligned patterns, one a row, filled with -1 on the left."""
@@ -69,7 +71,7 @@ class RunIndex:
         at = np.full(count, self.home, dtype=np.int64)
         length = np.zeros(count, dtype=np.int64)
         out = np.zeros(patterns.shape, dtype=np.int64)
-        n, runs = len(self.text), len(self.key)
+        n, runs = self.n, len(self.key)
         for s in range(width - 1, -1, -1):
             c = patterns[:, s]
             j = np.searchsorted(self.key, c * (n + 1) + row, side="right") - 1
