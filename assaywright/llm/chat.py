@@ -113,13 +113,17 @@ def field_paths(schema: T.StructType, prefix: str = "") -> dict[str, tuple[str,
     return found
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def fingerprint(schema: T.StructType, layouts: Sequence[Layout]) -> Column:
     """Hash of a record's paths that are not NULL, among those some layout names."""
     named = set().union(*[x.paths for x in layouts])
     parts = []
     for path, (column, inner) in sorted(field_paths(schema).items()):
         if path in named:
-            there = F.exists(F.col(column), lambda x, f=inner: x[f].isNotNull()) if inner else F.col(column).isNotNull()
+            there = F.exists(F.transform(column, _field(inner)), lambda x: x.isNotNull()) if inner else F.col(column).isNotNull()
             parts.append(F.when(there, F.lit(path)))
     return F.xxhash64(F.concat_ws("\n", *parts))
 

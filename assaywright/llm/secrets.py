@@ -53,7 +53,7 @@ class Scan:
     classes: Sequence[CharacterClass] = (
         CharacterClass(r"^[0-9+/_=-]+$", math.inf),
         CharacterClass(r"^[0-9a-fA-F]+$", 3.0),
-        CharacterClass(r"^[0-9a-z]+$|^[0-9A-Z]+$", 3.7),
+        CharacterClass(r"^(?=(?:[^0-9]*[0-9]){4})(?:[0-9a-z]+|[0-9A-Z]+)$", 3.7),
         CharacterClass(r"^(?=.*[a-z])(?=.*[A-Z])", 3.9),
     )
     allowed: Sequence[str] = (
