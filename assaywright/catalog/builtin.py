@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
 
 from ..conditions import Compare, Matches, OneOf
 from ..rules import Calculation, GroupAggregate, NationalId, Reference, Rule
@@ -13,7 +12,6 @@ from . import values as V
 
 DUPLICATE_RULE = "DQ_005"
 REFERENCE_RULES = ("DQ_003", "DQ_004")
-NATIONALITY_RULE = "DQ_019"
 
 
 @dataclass(frozen=True)
@@ -78,8 +76,8 @@ TEMPLATES = {
                        " HH:MM:SS,yyymmdd,yyyy-mm-dd"),
     "DQ_018": Template("Curriculum Value Validation", "validity", "Curriculum Check", _listed(V.CURRICULA), "",
                        "Ensure values contain only Valid Curriculum."),
-    "DQ_019": Template("Nationality Value Validation", "validity", "Nationality Check",
-                       description="Ensure values contain only Valid Nationality."),
+    "DQ_019": Template("Nationality Value Validation", "validity", "Nationality Check", _listed(V.NATIONALITIES), "",
+                       "Ensure values contain only Valid Nationality."),
     "DQ_020": Template("Marital Status Value Validation", "validity", "Marital Status Check",
                        _listed(V.MARITAL_STATUSES), "", "Ensure values contain only Valid Marital."),
     "DQ_021": Template("Grade Value Validation", "validity", "Grade Check", _listed(V.GRADES), "",
@@ -94,7 +92,6 @@ def build(
     rule_id: str,
     columns: Sequence[str] | str,
     *,
-    spark: SparkSession | None = None,
     current_year: int | None = None,
     dob_column: str | None = None,
     reference: Reference | None = None,
@@ -117,9 +114,6 @@ def build(
         if current_year is None:
             raise ValueError("DQ_007 needs current_year")
         parts["national_id"] = NationalId(current_year, dob_column)
-    elif rule_id == NATIONALITY_RULE:
-        spark = spark or SparkSession.getActiveSession()
-        parts["violation"] = OneOf(columns[0], V.nationality_codes(spark), negate=True)
     elif template.condition is not None:
         parts["violation"] = template.condition(columns[0])
     fields = {

@@ -87,7 +87,7 @@ def usable_rules(df: DataFrame, rules: Sequence[Rule], settings: RunSettings, ta
             trial.release()
             kept.append(rule)
         except (PySparkException, ValueError, AttributeError, KeyError) as error:
-            statuses.append(RuleStatus(rule.object, rule.rule_id, False, str(error).splitlines()[0]))
+            statuses.append(RuleStatus(rule.object, rule.rule_id, False, str(error)))
     return kept, statuses
 
 
@@ -149,11 +149,16 @@ def run_bindings(
         }
         keys = [c.strip() for c in (target["composite_columns"] or "").split(",") if c.strip()]
         try:
-            typed = B.to_rules(rows, settings.year, custom)
+            typed = []
+            for row in rows:  # one unusable binding costs only itself
+                try:
+                    typed += B.to_rules([row], settings.year, custom)
+                except Exception as error:
+                    statuses.append(RuleStatus(name, row["rule_id"], False, str(error) or type(error).__name__))
             df = tables[full] if tables and full in tables else source_tables.read_table(spark, full)
             statuses += run_table(df, typed, settings, place, keys, tables)
         except Exception as error:  # a table's failure is recorded, the run goes on
-            message = str(error).splitlines()[0] if str(error) else type(error).__name__
+            message = str(error) or type(error).__name__
             statuses += [RuleStatus(name, row["rule_id"], False, message) for row in rows] or [
                 RuleStatus(name, "", False, message)
             ]

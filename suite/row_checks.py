@@ -60,6 +60,7 @@ for _name, ((_base, _key), _column, _rule, _pattern) in PATTERN_CHECKS.items():
 LIST_CHECKS = {
     "gender_in": (CUSTOMER, "gender_raw", "DQ_014", V.GENDERS),
     "curriculum_in": (PART, "curriculum_raw", "DQ_018", V.CURRICULA),
+    "nationality_in": (PART, "nationality_raw", "DQ_019", V.NATIONALITIES),
     "marital_in": (PART, "marital_raw", "DQ_020", V.MARITAL_STATUSES),
     "grade_in": (PART, "grade_raw", "DQ_021", V.GRADES),
     "emirate_in": (PART, "emirate_raw", "emirate", V.EMIRATES),
@@ -69,23 +70,6 @@ for _name, ((_base, _key), _column, _rule, _values) in LIST_CHECKS.items():
               S.in_text(_column, _values))
 
 
-# Of the values the projection makes, these are accepted (the part types start with EC, LA, ME, PR, SM, ST).
-ACCEPTED_HERE = ("ae", "in", "unknown", "c", "yu", "ec", "me")
-
-
-@query(
-    "nationality_in",
-    f"""select cast(p_partkey as varchar) as row_key, nationality_raw as checked_value,
- {S.flag_case(("nationality_raw",), S.not_in("nationality_raw", ACCEPTED_HERE))} as rule_violation_flag
-from ({duck(PART_DIRTY)}) base""",
-)
-def nationality(spark, sf_dir):
-    return flagged(
-        from_sql(spark, sf_dir, PART_DIRTY), build("DQ_019", "nationality_raw", spark=spark), "p_partkey",
-        "nationality_raw",
-    ).drop("rule_violation_details")
-
-
 @query(
     "english_text_documents",
     f"""select cast(doc_id as varchar) as row_key, cast(n_chars as varchar) as checked_value,
