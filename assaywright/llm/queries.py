@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, mixing, quality, repeats, secrets, simhash, tokens
+from . import chat, decontaminate, language, mixing, quality, repeats, secrets, simhash, templates, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_repeat_removal")
 def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_line_templates")
+def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.report(table(spark, sf_dir, "documents"))
