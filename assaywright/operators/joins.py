@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,9 +78,9 @@ def join_keyed(
     """Join rows to a stored frame holding one row per key and ``__n``, the rows behind that key.
 
     A frame within the limit is broadcast, so the rows are not shuffled at all.
-    Beyond it, keys with many rows (at most all rows / hot_rows of them) are
-    broadcast on their own and only the rows of the other keys are shuffled, so
-    no task receives more than a hot_rows share of one key.
+    Beyond it, the keys that carry many of the rows, whether the frame holds them
+    or not, are counted and broadcast on their own, rows with a NULL key match
+    nothing and stay where they are, and only the rest is shuffled.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_keyed supports inner and left")
@@ -86,11 +88,18 @@ def join_keyed(
     on = list(keys)
     if limit.admits(keyed):
         return wide.join(F.broadcast(keyed), on, how)
-    hot, hot_rows = _hot_keys(keyed, limit, paths)
-    cold = keyed.where(F.col(ROWS) < hot_rows)
-    of_hot = wide.join(F.broadcast(hot), on, "inner")
-    of_cold = wide.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how)
-    return of_hot.unionByName(of_cold)
+    whole = reduce(and_, [F.col(k).isNotNull() for k in on])
+    named_rows = wide.where(whole)
+    counted = named_rows.groupBy(*on).agg(F.count(F.lit(1)).alias(ROWS))
+    hot = _hot_keys(counted, limit, paths)[0].select(*on)
+    facts = stored(keyed.join(F.broadcast(hot), on, "left_semi"), [] if paths is None else paths)
+    of_hot = named_rows.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(facts), on, how)
+    of_cold = named_rows.join(F.broadcast(hot), on, "left_anti").join(keyed, on, how)
+    joined = of_hot.unionByName(of_cold)
+    if how == "inner":
+        return joined
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in keyed.schema if f.name not in on}
+    return joined.unionByName(wide.where(~whole).withColumns(nothing))
 
 
 def _hot_keys(counted: DataFrame, limit: SizeLimit, paths: list[str] | None) -> tuple[DataFrame, int]:
@@ -118,7 +127,7 @@ def spread_join(
     """``join_by_name`` for tables of any size, with the left side's hot keys spread over many tasks.
 
     A right side within the limit is broadcast.  Otherwise the left rows of a hot
-    key are dealt into shares (by row content and source partition, so a rerun
+    key, and those with a NULL key, are dealt into shares (by row content and source partition, so a rerun
     deals alike) and the right rows of that key are repeated once per share.
     Right and full outer joins would repeat unmatched rows and are joined plainly.
     """
@@ -136,7 +145,9 @@ def spread_join(
     marks = [f"__hot_{i}" for i in range(len(on))]
     share = F.pmod(F.xxhash64(*[named(c) for c in left.columns], F.spark_partition_id()), F.lit(shares)).cast("int")
     dealt = left.join(F.broadcast(hot), _same([names[c] for c in on], marks, False), "left")
-    dealt = dealt.withColumn("__share", F.when(F.col("__is_hot"), share).otherwise(F.lit(0))).drop("__is_hot", *marks)
+    unnamed = reduce(or_, [named(names[c]).isNull() for c in on])  # match nothing, so any share will do
+    dealt = dealt.withColumn("__share", F.when(F.col("__is_hot") | unnamed, share).otherwise(F.lit(0)))
+    dealt = dealt.drop("__is_hot", *marks)
     repeated = right.join(F.broadcast(hot), _same([theirs[c] for c in on], marks, False), "left")
     copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array(F.lit(0)))
     repeated = repeated.withColumn("__share", F.explode(copies)).drop("__is_hot", *marks)

@@ -39,7 +39,6 @@ class RunSettings:
     year_id: int = 0
     sub_source: str | None = None
     layer: str = ""
-    only_anomalies: bool = True
     current_year: int = 0
     limit: SizeLimit = field(default_factory=SizeLimit)
 
@@ -116,9 +115,11 @@ def run_table(
     if kept:
         slices = (settings.load_date or None, settings.year_id or None)
         check = TableCheck(sliced, kept, settings.run_date, *slices, tables, settings.limit)
-        writers.append_log(check.summary(settings.layer), settings.summary_target)
-        writers.append_log(check.detail(settings.layer), settings.detail_target)
-        check.release()
+        try:  # detail first: a summary in the log says that the details are there
+            writers.append_log(check.detail(settings.layer), settings.detail_target)
+            writers.append_log(check.summary(settings.layer), settings.summary_target)
+        finally:
+            check.release()
     return statuses + [RuleStatus(rule.object, rule.rule_id, True) for rule in kept]
 
 
@@ -186,9 +187,12 @@ def log_job(
     ended: datetime | None = None,
     error: str | None = None,
 ) -> None:
-    """Upsert one job-log row; the start time is the caller's, so later writes keep it."""
+    """Upsert one job-log row; the start time is the caller's, so later writes keep it.
+
+    A key the job does not name is empty, not NULL, which would match no earlier row.
+    """
     names = ("Notebook_Name", "Pipeline_Name", "Layer", "System", "Sub_System", "Run_Date")
-    row = tuple(job.get(n) for n in names) + (started, ended, status, details, error)
+    row = tuple(job.get(n) or ("" if n in JOB_KEYS else None) for n in names) + (started, ended, status, details, error)
     writers.merge_upsert(spark.createDataFrame([row], JOB_LOG), target, JOB_KEYS)
 
 

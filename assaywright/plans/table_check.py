@@ -267,6 +267,16 @@ class TableCheck:
             entries.append(F.struct(*entry))
         return aggregates, entries
 
+    def local_counts_of_row(self, chunk) -> list[Column]:
+        """The structs of ``local_aggregates`` for a single row."""
+        entries = []
+        for index, rule in chunk:
+            missing, violated = self._missing(rule.columns), self._local_violation(rule)
+            failed = F.lit(False) if violated is None else F.coalesce(~missing & violated, F.lit(False))
+            entry = (missing.cast("long").alias("missing"), failed.cast("long").alias("failed"))
+            entries.append(F.struct(F.lit(index).alias(RULE), *entry))
+        return entries
+
     def _local_counts(self, chunk) -> DataFrame:
         aggregates, entries = self.local_aggregates(chunk)
         wide = self.rows.groupBy(*self._varying).agg(F.count(F.lit(1)).alias("total"), *aggregates)

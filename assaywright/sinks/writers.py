@@ -8,12 +8,13 @@ writes the new content beside the old, then swaps it in.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import delete_insert, insert_if_absent, upsert
-from ..operators.storage import new_path
+from ..operators.storage import new_path, release
 
 # The partitioning of both result logs.
 LOG_PARTITIONS = ("system", "sub_system", "batch_id", "year_id")
@@ -59,9 +60,31 @@ def sized_files(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in LOG_PARTITIONS])
 
 
+def streamed(spark: SparkSession, target: str) -> bool:
+    """Whether a stream's file sink keeps a file list in the folder; readers then see no other files."""
+    return _is_path(target) and exists(spark, f"{target.rstrip('/')}/_spark_metadata")
+
+
+def holds_files(spark: SparkSession, target: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(path) and len(system.listStatus(path)) > 0
+
+
+def _refuse_streamed(spark: SparkSession, target: str) -> None:
+    if streamed(spark, target):
+        raise ValueError(f"{target} belongs to a stream's file sink, which would hide what is added")
+
+
+def read_log(spark: SparkSession, *targets: str) -> DataFrame:
+    """All rows of a log that batch runs and streams write, each to a target of its own."""
+    return reduce(DataFrame.unionByName, [read(spark, target) for target in targets])
+
+
 def append_log(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> None:
     """Append to a result log, partitioned by organisation, batch and year."""
     spark = df.sparkSession
+    _refuse_streamed(spark, target)
     shaped = sized_files(df)
     if not _is_path(target) and exists(spark, target):
         shaped = shaped.select(*spark.table(target).columns)
@@ -72,6 +95,7 @@ def append_log(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> No
 
 def replace_batches(df: DataFrame, target: str, rows_per_file: int = 2_000_000) -> None:
     """Rerun-safe write: only the log partitions present in the frame are replaced."""
+    _refuse_streamed(df.sparkSession, target)
     df = sized_files(df)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer = writer.option("maxRecordsPerFile", rows_per_file).format("parquet")
@@ -123,6 +147,7 @@ def _rewrite(source: DataFrame, target: str, change: Callable[[DataFrame], DataF
     _save(spark.read.parquet(staged), target, "overwrite")
     if not _is_path(target):
         spark.catalog.refreshTable(target)
+    release(spark, [staged])
 
 
 def anomalies_only(flagged: DataFrame, only: bool, flag: str = "rule_violation_flag") -> DataFrame:

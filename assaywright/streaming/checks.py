@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from ..operators.storage import new_path
 from ..plans.table_check import TableCheck
 from ..rules import Rule
+from ..sinks import writers
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -41,15 +42,22 @@ def windowed_summary(
 ) -> DataFrame:
     """Counts and pass rate per rule and tumbling window; rows later than ``delay`` are dropped.
 
-    All rules share one stateful aggregate with one state row per window.
+    All rules share one stateful aggregate with one state row per window.  Rows
+    without a readable time belong to no window that could close: each is passed
+    on as it comes, a row per rule with a NULL window; ``merged_windows`` adds them up.
     """
     check = TableCheck(stream, rules, "1970-01-01 00:00:00")
-    kept = check.rows.withColumn("__time", F.col(time_column).try_cast("timestamp"))
-    kept = kept.withWatermark("__time", delay)
-    aggregates, entries = check.local_aggregates(list(enumerate(check.rules)))
+    chunk = list(enumerate(check.rules))
+    rows = check.rows.withColumn("__time", F.col(time_column).try_cast("timestamp"))
+    aggregates, entries = check.local_aggregates(chunk)
     ids = F.array(*[F.lit(rule.rule_id) for rule in check.rules])
-    wide = kept.groupBy(F.window("__time", window)).agg(F.count(F.lit(1)).alias("total"), *aggregates)
+    wide = rows.withWatermark("__time", delay).groupBy(F.window("__time", window))
+    wide = wide.agg(F.count(F.lit(1)).alias("total"), *aggregates)
     long = wide.select("window", "total", F.inline(F.array(*entries)))
+    no_window = F.lit(None).cast("struct<start:timestamp,end:timestamp>").alias("window")
+    untimed = rows.where(F.col("__time").isNull())
+    untimed = untimed.select(no_window, F.lit(1).cast("long").alias("total"), F.inline(F.array(*check.local_counts_of_row(chunk))))
+    long = long.unionByName(untimed)
     passed = F.col("total") - F.col("missing") - F.col("failed")
     return long.select(
         F.col("window.start").alias("window_start"),
@@ -63,6 +71,13 @@ def windowed_summary(
     )
 
 
+def merged_windows(written: DataFrame) -> DataFrame:
+    """What ``windowed_summary`` wrote so far, one row per rule and window, the NULL window included."""
+    counts = ("total_record_count", "no_of_complete_records", "total_passed_count", "no_of_failures")
+    merged = written.groupBy("window_start", "window_end", "rule_id").agg(*[F.sum(c).alias(c) for c in counts])
+    return merged.withColumn("value", F.col("total_passed_count") / F.col("total_record_count"))
+
+
 def first_seen(
     stream: DataFrame, keys: Sequence[str], time_column: str, delay: str, spread: int = 16
 ) -> DataFrame:
@@ -97,7 +112,12 @@ def write_available(
 
     Detail rows go to a log partitioned like the batch logs with
     ``partitions=LOG_PARTITIONS``; the file sink keeps that exactly-once as well.
+    The sink keeps a list of its files, beside which readers see no others, so a
+    folder that holds batch results is refused: give the stream a folder of its
+    own and read both with ``writers.read_log``.
     """
+    if writers.holds_files(stream.sparkSession, target) and not writers.streamed(stream.sparkSession, target):
+        raise ValueError(f"{target} holds results of batch runs, which a stream's file list would hide")
     checkpoint = checkpoint or new_path(stream.sparkSession, "stream-state")
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
     if partitions:

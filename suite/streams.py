@@ -5,14 +5,18 @@ from __future__ import annotations
 from assaywright import Compare, Rule
 from assaywright.catalog.builtin import build
 from assaywright.operators.storage import new_path
+from assaywright.plans.table_check import TableCheck
+from assaywright.sinks import writers
 from assaywright.streaming import checks as C
+from pyspark.sql import functions as F
 
 from . import sql as S
 from .fixtures import table
-from .registry import query
+from .registry import ORACLES, query
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
-LATE = "ts > (select max(ts) from events) - interval 1 day"
+#: The events with the times of some users lost.
+UNTIMED = "(select * replace (case when user_id % 7 = 0 then null else ts end as ts) from events)"
 ERRORS = Rule(
     "R_errors", ("event_type",), object="events", composite_columns=("event_id",),
     violation=Compare("event_type", "=", "error"),
@@ -51,13 +55,28 @@ def stream_row_rules(spark, sf_dir):
     return finished(failures.select("rule_id", "result", "rule_violation_details", "value", "value1"))
 
 
-def daily(rule_id: str, column: str, violated: str) -> str:
+@query(
+    "stream_into_batch_log",
+    ORACLES["stream_row_rules"],
+)
+def stream_into_batch_log(spark, sf_dir):
+    """One rule checked by a batch run, the other by a stream; every row is read back."""
+    batch, streamed = new_path(spark, "log"), new_path(spark, "stream-log")
+    events = table(spark, sf_dir, "events")
+    writers.append_log(TableCheck(events, [VALUES], S.RUN_DATE, S.BATCH).detail(), batch)
+    failures = C.row_failures(events_stream(spark, sf_dir), [ERRORS], S.RUN_DATE, S.BATCH)
+    C.write_available(failures, streamed, partitions=writers.LOG_PARTITIONS).awaitTermination()
+    log = writers.read_log(spark, batch, streamed)
+    return log.select("rule_id", "result", "rule_violation_details", "value", "value1")
+
+
+def daily(rule_id: str, column: str, violated: str, events: str = "events") -> str:
     return f"""select '{rule_id}' as rule_id, day as window_start, day + interval 1 day as window_end,
  count(*) as total_record_count, count(*) filter (where flag <> -1) as no_of_complete_records,
  count(*) filter (where flag = 0) as total_passed_count, count(*) filter (where flag <> 0) as no_of_failures,
  count(*) filter (where flag = 0) / count(*) as value
- from (select date_trunc('day', ts)::timestamp as day, {S.flag_case((column,), violated)} as flag from events) e
- where day + interval 1 day <= (select max(ts) from events) - interval 1 day group by day"""
+ from (select date_trunc('day', ts)::timestamp as day, {S.flag_case((column,), violated)} as flag from {events} x) e
+ where day + interval 1 day <= (select max(ts) from {events} y) - interval 1 day or day is null group by day"""
 
 
 @query(
@@ -75,6 +94,18 @@ def stream_daily_summary(spark, sf_dir):
     return finished(C.windowed_summary(events_stream(spark, sf_dir), [ERRORS, VALUES, SHAPES], "ts"))
 
 
+@query(
+    "stream_null_time",
+    " union all ".join(
+        f"({daily(*part, UNTIMED)})" for part in (("R_errors", "event_type", IS_ERROR), ("R_value", "value", "value > 50"))
+    ),
+)
+def stream_null_time(spark, sf_dir):
+    events = events_stream(spark, sf_dir)
+    events = events.withColumn("ts", F.when(F.col("user_id") % 7 != 0, F.col("ts")))
+    return C.merged_windows(finished(C.windowed_summary(events, [ERRORS, VALUES], "ts")))
+
+
 @query("stream_dedup", "select distinct user_id, event_type from events")
 def stream_dedup(spark, sf_dir):
     kept = C.first_seen(events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "60 days")

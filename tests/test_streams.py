@@ -2,6 +2,7 @@ from datetime import datetime
 
 from assaywright import Compare, Rule
 from assaywright.catalog.builtin import build
+from assaywright.sinks import writers
 from assaywright.sinks.writers import LOG_PARTITIONS
 from assaywright.streaming import checks as C
 
@@ -103,3 +104,33 @@ def test_windowed_duplicates(feed):
         return C.windowed_duplicates(stream, ["k"], "ts", "1 day", "1 hour")
 
     assert [(r["k"], r["duplicate_count"]) for r in run(repeated, "dups")] == [("a", 2)]
+
+
+def test_rows_without_a_time_are_counted(feed, spark):
+    add, run = feed
+    rules = [build("DQ_001", "k"), Rule("R", ("v",), violation=Compare("v", ">", 5))]
+
+    def daily(stream):
+        return C.windowed_summary(stream, rules, "ts", "1 day", "1 day")
+
+    def merged(written):
+        rows = C.merged_windows(spark.createDataFrame(written)).collect()
+        return {(r["rule_id"], r["window_start"]): (r["total_record_count"], r["no_of_failures"]) for r in rows}
+
+    add(("a", at(1), 1), ("a", None, 9), (None, None, None), ("a", at(5), 1))
+    first = {("DQ_001", None): (2, 1), ("R", None): (2, 2), ("DQ_001", at(1)): (1, 0), ("R", at(1)): (1, 0)}
+    assert merged(run(daily, "daily")) == first  # the first day closed behind the watermark
+    add(("b", None, 1), ("a", at(9), 1))
+    found = merged(run(daily, "daily"))
+    assert found["DQ_001", None] == (3, 1) and found["R", None] == (3, 2) and found["R", at(1)] == (1, 0)
+
+
+def test_batch_and_stream_do_not_share_a_folder(feed, spark, tmp_path):
+    add, run = feed
+    add(("a", at(1), 9))
+    spark.range(1).write.parquet(str(tmp_path / "batch"))
+    with pytest.raises(ValueError, match="batch runs"):
+        run(lambda s: s.select("k"), "batch")
+    run(lambda s: s.select("k"), "streamed")
+    with pytest.raises(ValueError, match="file sink"):
+        writers.append_log(spark.createDataFrame([("a",)], "k string"), str(tmp_path / "streamed"))
