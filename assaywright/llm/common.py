@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def small(keyed: DataFrame, limit: SizeLimit = BROADCAST) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about ``most_bytes`` (one longer text is a part of its own)."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
         if i > start and size + n > most_bytes:

@@ -41,16 +41,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.storage import stored
-from .common import small, text_or_empty
+from .common import slices, small, text_or_empty
 from .runindex import RunIndex
 
 LENGTH = 50
 CORE = 20  # bytes of an anchor
 SIDE = LENGTH - CORE
 SPLIT = 16  # strings with so many bytes before the anchor are found by their left context
-BUCKET_ANCHORS = 1 << 18
+BUCKET_ANCHORS = 1 << 17
 INDEX_SYMBOLS = 1 << 19
 CROWD = 4096
+ROWS_AT_ONCE = 1 << 15  # of a Python task's output
 DOC = ["doc", "print"]
 _P = [np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
@@ -127,9 +128,7 @@ def _anchored(buckets: int):
     shift = np.uint64(64 - max(1, buckets.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
             ids, prints = batch.column("doc").to_numpy(), batch.column("print").to_numpy()
             found = [anchors(t.encode()) for t in batch.column("text").to_pylist()]
             sizes = [len(f[0]) for f in found]
@@ -179,12 +178,12 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     now, blobs = None, []
     for batch in batches:
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed")):
             if bucket != now and blobs:
                 yield judge(blobs)
                 blobs = []
             now = bucket
-            blobs.append(blob)
+            blobs.append(blob.as_py())
     if blobs:
         yield judge(blobs)
 
@@ -198,13 +197,17 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _table_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text around each anchor asked about, keyed by the anchor with its left or its right context."""
+    rows = []
     for batch in batches:
-        rows = []
-        for doc, mark, text, asked in zip(*(batch.column(c).to_pylist() for c in ("doc", "print", "text", "asked"))):
-            raw = text.encode()
-            for p in asked:
+        for doc, mark, text, asked in zip(*(batch.column(c) for c in ("doc", "print", "text", "asked"))):
+            doc, mark, raw = doc.as_py(), mark.as_py(), text.as_py().encode()
+            for p in asked.as_py():
                 if p >= SPLIT:
                     key = _signed(xxhash.xxh64_intdigest(raw[p - SPLIT : p + CORE], 1))
                     a = max(0, p - SIDE)
@@ -213,8 +216,11 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = _signed(xxhash.xxh64_intdigest(raw[p : p + LENGTH - SPLIT + 1], 2))
                     a = max(0, p - SPLIT + 1)
                     rows.append((key, doc, mark, a, p - a, raw[a : p + LENGTH]))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TEXTS.types)], schema=_TEXTS)
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield _table_of(rows, _TEXTS)
+                    rows = []
+    if rows:
+        yield _table_of(rows, _TEXTS)
 
 
 def _repeat_starts(groups: list[list[tuple[int, int, bytes]]]) -> dict[tuple[int, int], np.ndarray]:
@@ -319,14 +325,18 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every string of the full length in a piece that holds its anchor, as two hashes."""
+    kinds = pa.schema([(c, pa.int64()) for c in ("h1", "h2", "doc", "print", "start")])
+    rows = []
     for batch in batches:
-        rows = []
         for doc, mark_of, base, mark, piece in zip(*(batch.column(c).to_pylist() for c in ("doc", "print", "base", "mark", "piece"))):
             for s in range(min(mark, len(piece) - LENGTH) + 1):
                 string = piece[s : s + LENGTH]
                 rows.append((_signed(xxhash.xxh64_intdigest(string, 3)), _signed(xxhash.xxh64_intdigest(string, 4)), doc, mark_of, base + s))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["h1", "h2", "doc", "print", "start"])
+            if len(rows) >= ROWS_AT_ONCE:
+                yield _table_of(rows, kinds)
+                rows = []
+    if rows:
+        yield _table_of(rows, kinds)
 
 
 def _crowded(pieces: DataFrame, paths: list[str]) -> DataFrame:
@@ -368,7 +378,7 @@ def _repeated(rows: DataFrame) -> bool:
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
         starts, ends = [], []
         for spans in batch.column("spans").to_pylist():
             a, b = [], []
@@ -394,7 +404,7 @@ def kept_bytes(text: str, starts: list[int] | None, ends: list[int] | None) -> t
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
         rows = []
         for doc, text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "starts", "ends"))):
             raw, left = kept_bytes(text, starts, ends)
