@@ -7,6 +7,12 @@ constant at its place if it stands there in enough documents, and variable
 Lines are dropped if their template recurs in enough documents and most of it is
 constant.
 
+What is enough for a constant is tried at several levels, each ``widening`` times
+the one before, while most of the line stays constant.  The values of a field
+grow with the table as its fixed tokens do, and some level lies between the two,
+whatever the size of the table and whichever other formats share the leaf.  A
+line is dropped if its template of any level recurs.
+
 Only leaves that recur are looked into, which loses nothing: a template cannot
 recur where its leaf does not.  Counts are of documents, by partial aggregates.
 
@@ -17,6 +23,7 @@ rows count as one document and lose the same lines.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +43,11 @@ class Tree:
     least_documents: int = 10
     least_constant: float = 0.6
     least_tokens: int = 4
+    widening: int = 0  # 0: the first level only
+
+
+#: What is used where no tree is given.
+RECURRING = Tree(widening=2)
 
 
 def _masked(token: Column) -> Column:
@@ -46,9 +58,28 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"doc": F.coalesce(F.col("doc_id"), F.lit(-1)), "print": F.xxhash64("text")})
 
 
+def _templates(tree: Tree) -> Column:
+    """Hashes of a line's templates (``parts``: at, token, documents of the token there), one a level, if mostly constant."""
+
+    def template(least: Column) -> Column:
+        shown = F.transform("parts", lambda p: F.when(p["n"] >= least, p["token"]).otherwise(F.lit(VARIABLE)))
+        return F.transform(F.array(shown), lambda x: F.when(_constant(x) >= tree.least_constant, F.xxhash64(F.col("leaf"), x)))[0]
+
+    levels = F.array(F.lit(tree.least_documents).cast("long"))
+    if tree.widening > 1:
+        most = F.greatest(F.lit(1.0), F.array_max(F.transform("parts", lambda p: p["n"])) / F.lit(float(tree.least_documents)))
+        steps = F.sequence(F.lit(0), F.floor(F.log2(most) / math.log2(tree.widening)).cast("int"))
+        levels = F.transform(steps, lambda k: (F.lit(tree.least_documents) * F.pow(F.lit(float(tree.widening)), k)).cast("long"))
+    return F.array_distinct(F.array_compact(F.transform(levels, template)))
+
+
+def _constant(shown: Column) -> Column:
+    return F.size(F.filter(shown, lambda x: x != VARIABLE)) / F.size(shown)
+
+
 def dropped_lines(docs: DataFrame, paths: list[str], tree: Tree | None = None) -> DataFrame:
     """Per document that loses lines: doc, print, the numbers of the lines; stored."""
-    tree = tree or Tree()
+    tree = tree or RECURRING
     lines = _identified(docs.select("doc_id", "text")).select(*DOC, F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line", "said"))
     tokens = F.split(F.btrim("said", F.lit(GAP_CHARACTERS)), GAP)
     lines = lines.select(*DOC, "line", F.transform(tokens, _masked).alias("tokens")).where(F.size("tokens") >= tree.least_tokens)
@@ -62,10 +93,9 @@ def dropped_lines(docs: DataFrame, paths: list[str], tree: Tree | None = None) -
     constant = placed.where(F.col("token") != VARIABLE).select(*spot, *DOC).distinct().groupBy(*spot).agg(F.count(F.lit(1)).alias(ROWS))
     constant = stored(constant.where(F.col(ROWS) >= tree.least_documents), paths)
     kept = join_keyed(placed, [F.col(c) for c in spot], constant, spot, BROADCAST, "left", paths)
-    shown = F.when(F.col(ROWS).isNotNull(), F.col("token")).otherwise(F.lit(VARIABLE))
-    whole = kept.groupBy("leaf", *DOC, "line").agg(F.array_sort(F.collect_set(F.struct("at", shown.alias("shown")))).alias("parts"))
-    share = F.size(F.filter("parts", lambda p: p["shown"] != VARIABLE)) / F.size("parts")
-    whole = whole.where(share >= tree.least_constant).select(*DOC, "line", F.xxhash64("leaf", "parts").alias("template"))
+    part = F.struct("at", "token", F.coalesce(F.col(ROWS), F.lit(0)).alias("n"))
+    whole = kept.groupBy("leaf", *DOC, "line").agg(F.array_sort(F.collect_set(part)).alias("parts"))
+    whole = whole.select(*DOC, "line", F.explode(_templates(tree)).alias("template"))
     whole = stored(whole, paths)
     known = whole.select("template", *DOC).distinct().groupBy("template").agg(F.count(F.lit(1)).alias(ROWS))
     known = stored(known.where(F.col(ROWS) >= tree.least_documents), paths)

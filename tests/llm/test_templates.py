@@ -45,3 +45,14 @@ def test_templates(docs_of, documents):
     left = templates.without_recurring_lines(odd, tree=TREE)
     assert left.columns == [*odd.columns, "__gone"] and left.where("doc_id = 7").first()["text"] is None
     assert templates.report(odd.where("false")).count() == 0
+
+
+def test_templates_at_two_sizes(spark):
+    """One format with two fields of 30 values without digits, one line a document, loses all its lines at any size."""
+    word = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:04d}")
+    for size in (300, 9000):
+        said = lambda i: f"session of user {word(i % 30)} was opened from host {word(i // 30 % 30)} again"  # noqa: B023, E731
+        other = lambda i: f"session of user accounts {word(i)} may be kept as {word(7 * i)} said"
+        df = spark.createDataFrame([(i, f"{said(i)}\nOwn {word(i)} line") for i in range(size)] + [(size + i, other(i)) for i in range(20)], "doc_id long, text string")
+        gone = {r["doc_id"]: r["n_dropped_lines"] for r in templates.report(df).collect()}
+        assert all(gone[i] >= 1 for i in range(size))
