@@ -27,7 +27,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,8 +132,8 @@ def links(distinct: DataFrame, paths: list[str], bucket_most: int = BUCKET_MOST)
     return edges
 
 
-def grouped(rows: DataFrame, paths: list[str], bucket_most: int = BUCKET_MOST) -> DataFrame:
-    """From stored rows (doc_id, fingerprint): the same rows with ``component_id``."""
+def rooted(rows: DataFrame, paths: list[str], bucket_most: int = BUCKET_MOST) -> DataFrame:
+    """From stored rows with doc_id and fingerprint: the same rows with ``component_id`` and ``root``, a fingerprint that names the group."""
     distinct = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias(ROWS))
     distinct = stored(distinct, paths)
     edges = stored(links(distinct.select("fingerprint"), paths, bucket_most), paths)
@@ -145,13 +144,18 @@ def grouped(rows: DataFrame, paths: list[str], bucket_most: int = BUCKET_MOST) -
     groups = stored(groups.where(F.col(ROWS) > 1), paths)
     many = join_keyed(placed.drop(ROWS).withColumnRenamed("root", "at"), [F.col("at")], groups, ["root"], BROADCAST, "left", paths)
     component = F.when(F.col(ROWS).isNotNull(), F.col("component_id")).otherwise(F.col("least"))
-    by_print = many.select(F.col("fingerprint").alias("__print"), component.alias("component_id"))
+    by_print = many.select(F.col("fingerprint").alias("__print"), component.alias("component_id"), "root")
     by_print = stored(by_print.join(distinct.select(F.col("fingerprint").alias("__print"), ROWS), "__print"), paths)
     return join_keyed(rows, [F.col("fingerprint")], by_print, ["__print"], BROADCAST, "inner", paths).select(
-        "doc_id", "fingerprint", "component_id"
+        *rows.columns, "component_id", "root"
     )
 
 
+def grouped(rows: DataFrame, paths: list[str], bucket_most: int = BUCKET_MOST) -> DataFrame:
+    """From stored rows (doc_id, fingerprint): the same rows with ``component_id``."""
+    return rooted(rows, paths, bucket_most).select("doc_id", "fingerprint", "component_id")
+
+
 def near_duplicates(docs: DataFrame, paths: list[str] | None = None, bucket_most: int = BUCKET_MOST) -> DataFrame:
     """One row per document: doc_id, fingerprint (a long), component_id."""
     paths = [] if paths is None else paths
@@ -165,14 +169,18 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, paths: list[str] | None = None) -> DataFrame:
-    """One document of each group, the one with the smallest id; columns as given.
+    """One document of each group, the one with the smallest id that is not NULL; columns as given.
 
-    Of repeated rows of that id one stays.
+    A group without ids, or with several texts of that id, keeps one row too: the
+    one of the least hashes of its text and columns.
     """
     paths = [] if paths is None else paths
-    rows = near_duplicates(docs.select("doc_id", "text"), paths)
-    keep = stored(rows.select(F.col("component_id").alias("__keep")).distinct(), paths)
-    left = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    by_text = F.xxhash64("text")
-    turn = F.row_number().over(W.partitionBy("doc_id").orderBy(by_text, *[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
-    return left.withColumn("__turn", turn).where("__turn = 1").drop("__turn")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    by_row = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    rows = docs.select("doc_id", F.xxhash64("text").alias("by_text"), by_row.alias("by_row"), fingerprints(F.col("text")).alias("fingerprint"))
+    rows = rooted(stored(rows, paths), paths)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "by_text", "by_row"))
+    keep = rows.groupBy("root").agg(least.alias("least"))
+    keep = stored(keep.select(F.col("least.doc_id").alias("__id"), F.col("least.by_text").alias("__text"), F.col("least.by_row").alias("__row")), paths)
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")) & (by_row == F.col("__row"))
+    return docs.join(small(keep), same, "left_semi").distinct()  # of equal rows one stays
