@@ -13,8 +13,14 @@ grow with the table as its fixed tokens do, and some level lies between the two,
 whatever the size of the table and whichever other formats share the leaf.  A
 line is dropped if its template of any level recurs.
 
-Only leaves that recur are looked into, which loses nothing: a template cannot
-recur where its leaf does not.  Counts are of documents, by partial aggregates.
+With ``exact`` a line is also dropped if it recurs as it stands, however short
+it is and whatever part of it holds digits.
+
+Lines with equal tokens (a shape) share their templates, which are made once.  A
+shape that recurs in enough documents is its own template of the first level, so
+its lines are settled without looking at tokens; only leaves that hold another
+shape as well as one not settled are looked into, with all their lines.  Counts
+are of documents, by partial aggregates.
 
 Defined results: NULL text stays NULL, lines without a token always stay; ids
 may be NULL or repeated (a document is its id and a hash of its text), repeated
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,10 +51,11 @@ class Tree:
     least_constant: float = 0.6
     least_tokens: int = 4
     widening: int = 0  # 0: the first level only
+    exact: bool = False
 
 
 #: What is used where no tree is given.
-RECURRING = Tree(widening=2)
+RECURRING = Tree(least_documents=2, widening=2, exact=True)
 
 
 def _masked(token: Column) -> Column:
@@ -77,29 +85,56 @@ def _constant(shown: Column) -> Column:
     return F.size(F.filter(shown, lambda x: x != VARIABLE)) / F.size(shown)
 
 
+def _recurring(shaped: DataFrame, tree: Tree, paths: list[str]) -> DataFrame:
+    """From stored rows (doc, print, line, template): the lines whose template recurs."""
+    known = shaped.select("template", *DOC).distinct().groupBy("template").agg(F.count(F.lit(1)).alias(ROWS))
+    known = stored(known.where(F.col(ROWS) >= tree.least_documents), paths)
+    return join_keyed(shaped, [F.col("template")], known, ["template"], BROADCAST, "inner", paths).select(*DOC, "line")
+
+
 def dropped_lines(docs: DataFrame, paths: list[str], tree: Tree | None = None) -> DataFrame:
     """Per document that loses lines: doc, print, the numbers of the lines; stored."""
     tree = tree or RECURRING
+    said = F.btrim("said", F.lit(GAP_CHARACTERS))
     lines = _identified(docs.select("doc_id", "text")).select(*DOC, F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line", "said"))
-    tokens = F.split(F.btrim("said", F.lit(GAP_CHARACTERS)), GAP)
-    lines = lines.select(*DOC, "line", F.transform(tokens, _masked).alias("tokens")).where(F.size("tokens") >= tree.least_tokens)
-    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, tree.depth))
-    lines = stored(lines.select(*DOC, "line", leaf.alias("leaf"), "tokens"), paths)
-    leaves = lines.select("leaf", *DOC).distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias(ROWS))
-    leaves = stored(leaves.where(F.col(ROWS) >= tree.least_documents), paths)
-    recurring = join_keyed(lines, [F.col("leaf")], leaves, ["leaf"], BROADCAST, "inner", paths)
-    placed = recurring.select("leaf", *DOC, "line", F.posexplode("tokens").alias("at", "token"))
+    lines = lines.where(said != "").select(*DOC, "line", F.split(said, GAP).alias("words"))
+    lines = lines.where((F.size("words") >= tree.least_tokens) | F.lit(tree.exact))
+    lines = lines.select(*DOC, "line", F.xxhash64("words").alias("exact"), F.transform("words", _masked).alias("tokens"))
+    long = F.size("tokens") >= tree.least_tokens
+    leaf = F.when(long, F.xxhash64(F.size("tokens"), F.slice("tokens", 1, tree.depth)))
+    lines = lines.select(
+        *DOC, "line", "exact", leaf.alias("leaf"), F.xxhash64("tokens").alias("shape"),
+        (_constant(F.col("tokens")) >= tree.least_constant).alias("open"), F.when(long, F.col("tokens")).alias("tokens"),
+    )
+    lines = stored(lines, paths)
+    gone = []
+    if tree.exact:
+        gone.append(_recurring(lines.select(*DOC, "line", F.col("exact").alias("template")), tree, paths))
+    lines = lines.where("leaf is not null").drop("exact")
+    shapes = lines.select("leaf", "shape", "open", *DOC).distinct().groupBy("leaf", "shape", "open").agg(F.count(F.lit(1)).alias(ROWS))
+    shapes = stored(shapes, paths)
+    enough = F.col(ROWS) >= tree.least_documents
+    settled = stored(shapes.where(F.col("open") & enough).select("shape", ROWS), paths)
+    gone.append(join_keyed(lines.select(*DOC, "line", "shape"), [F.col("shape")], settled, ["shape"], BROADCAST, "inner", paths).select(*DOC, "line"))
+    leaves = shapes.groupBy("leaf").agg(F.sum(ROWS).alias(ROWS), F.max(F.col("open") & ~enough).alias("unsettled"), F.count(F.lit(1)).alias("shapes"))
+    leaves = stored(leaves.where(F.col("unsettled") & (F.col("shapes") > 1) & enough).select("leaf", ROWS), paths)
+    looked = join_keyed(lines, [F.col("leaf")], leaves, ["leaf"], BROADCAST, "inner", paths).drop(ROWS)
+    looked = stored(looked, paths)
+    placed = looked.select("leaf", *DOC, F.posexplode("tokens").alias("at", "token"))
     spot = ["leaf", "at", "token"]
     constant = placed.where(F.col("token") != VARIABLE).select(*spot, *DOC).distinct().groupBy(*spot).agg(F.count(F.lit(1)).alias(ROWS))
     constant = stored(constant.where(F.col(ROWS) >= tree.least_documents), paths)
+    looked = looked.where("open")
+    placed = looked.select("leaf", "shape", "tokens").distinct().select("leaf", "shape", F.posexplode("tokens").alias("at", "token"))
     kept = join_keyed(placed, [F.col(c) for c in spot], constant, spot, BROADCAST, "left", paths)
     part = F.struct("at", "token", F.coalesce(F.col(ROWS), F.lit(0)).alias("n"))
-    whole = kept.groupBy("leaf", *DOC, "line").agg(F.array_sort(F.collect_set(part)).alias("parts"))
-    whole = whole.select(*DOC, "line", F.explode(_templates(tree)).alias("template"))
-    whole = stored(whole, paths)
-    known = whole.select("template", *DOC).distinct().groupBy("template").agg(F.count(F.lit(1)).alias(ROWS))
-    known = stored(known.where(F.col(ROWS) >= tree.least_documents), paths)
-    gone = join_keyed(whole, [F.col("template")], known, ["template"], BROADCAST, "inner", paths)
+    found = kept.groupBy("leaf", "shape").agg(F.array_sort(F.collect_set(part)).alias("parts"))
+    found = found.select("shape", _templates(tree).alias("templates"), F.lit(1).cast("long").alias(ROWS))
+    found = stored(found.where(F.size("templates") > 0), paths)
+    whole = join_keyed(looked.select(*DOC, "line", "shape"), [F.col("shape")], found, ["shape"], BROADCAST, "inner", paths)
+    whole = stored(whole.select(*DOC, "line", F.explode("templates").alias("template")), paths)
+    gone.append(_recurring(whole, tree, paths))
+    gone = reduce(DataFrame.unionByName, gone)
     return stored(gone.groupBy(*DOC).agg(F.collect_set("line").alias("gone")), paths)
 
 

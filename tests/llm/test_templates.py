@@ -56,3 +56,14 @@ def test_templates_at_two_sizes(spark):
         df = spark.createDataFrame([(i, f"{said(i)}\nOwn {word(i)} line") for i in range(size)] + [(size + i, other(i)) for i in range(20)], "doc_id long, text string")
         gone = {r["doc_id"]: r["n_dropped_lines"] for r in templates.report(df).collect()}
         assert all(gone[i] >= 1 for i in range(size))
+
+
+def test_what_recurs_in_two_documents(docs_of):
+    df = docs_of(
+        (1, "Read more\nmine alone\nPosted by anna in the news of today\n2020 11 12 13 14"), (2, " Read  more \nPosted by ben in the news of today\n2020 11 12 13 14"),
+        (3, "Once only\nOnce only\n12"), (4, "\n \n13"), (5, "\n \n"), (6, "Posted in the news by anna of today"), (7, "Posted in the news by ben of today"),
+    )
+    found = {r["doc_id"]: r["n_dropped_lines"] for r in templates.report(df).collect()}
+    assert found == {1: 2, 2: 2, 3: 0, 4: 0, 5: 0, 6: 1, 7: 1}
+    left = {r["doc_id"]: r["text"] for r in templates.without_recurring_lines(df.where("doc_id < 3")).collect()}
+    assert left == {1: "mine alone\nPosted by anna in the news of today", 2: "Posted by ben in the news of today"}
