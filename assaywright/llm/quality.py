@@ -3,6 +3,9 @@
 Two histograms of a document, of its character classes and of common words, are
 compared with the references of every language by Jensen-Shannon distance
 (base 2, 0 to 1).  A document is kept if it is close to some language in both.
+Close in words means closer than a text without any common word, by a margin: the
+limit of a language is ``word_margin`` of that text's distance from its reference,
+and ``word_distance`` at most.
 Texts below the minimum length are not judged by divergence, as their
 histograms say little.
 
@@ -43,6 +46,7 @@ class Limits:
 
     char_distance: float = 0.3
     word_distance: float = 0.6
+    word_margin: float = 0.95
     least_words: int = 50
     least_chars: int = 200
     common_words: int = 50
@@ -152,6 +156,13 @@ def distances(share: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(both, 0.0, 1.0))
 
 
+def word_limits(reference: References, limits: Limits) -> np.ndarray:
+    """Per language, the distance in words up to which a text is close."""
+    without = np.zeros(len(reference.words) + 1)
+    without[-1] = 1.0
+    return np.minimum(limits.word_distance, limits.word_margin * distances(without, reference.shares))
+
+
 def common_words(docs: DataFrame, limits: Limits, text: str = "text", language: str = "lang") -> list[tuple[str, str]]:
     """The words in most documents of each language: at most ``common_words`` rows a language."""
     gaps = F.translate(ascii_lower(F.col(f"`{text}`")), PUNCTUATION, " " * len(PUNCTUATION))
@@ -195,6 +206,7 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", language: st
 def judge(reference: References | None, limits: Limits):
     """A pandas UDF from text to base values, verdict and the distances to the nearest language."""
     slots = {w: i for i, w in enumerate(reference.words)} if reference else {}
+    most = word_limits(reference, limits) if reference else None
 
     @F.pandas_udf(VERDICT)
     def verdict(texts: pd.Series) -> pd.DataFrame:
@@ -206,9 +218,9 @@ def judge(reference: References | None, limits: Limits):
                 classes, shares = histograms(text, slots)
                 chars = distances(classes, reference.classes)
                 words = distances(shares, reference.shares)
-                near = np.argmin(np.maximum(chars / limits.char_distance, words / limits.word_distance))
+                near = np.argmin(np.maximum(chars / limits.char_distance, words / np.maximum(most, 1e-9)))
                 char, word = float(chars[near]), float(words[near])
-                kept = kept and char <= limits.char_distance and word <= limits.word_distance
+                kept = kept and char <= limits.char_distance and word <= float(most[near])
             out.append((*base, kept, char, word))
         return pd.DataFrame(out, columns=[*(c.split()[0] for c in BASE.split(", ")), "kept", "char_distance", "word_distance"])
 
