@@ -34,6 +34,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = "[A-Za-z0-9+/_=-]"
+_PART, _PART_END = "(?<![A-Za-z0-9])", "(?![A-Za-z0-9])"
 _UNIT = 1_000_000
 
 
@@ -47,14 +48,22 @@ class CharacterClass:
 
 @dataclass(frozen=True)
 class Scan:
-    """The first class that a candidate matches decides; one that matches none is left out."""
+    """The first class that a candidate matches decides; the last ones take every candidate.
+
+    Names, prefixes and signs around a value do not hide it: a part between signs
+    that is as long as a window is classed as it would be alone.
+    """
 
     width: int = 20
     classes: Sequence[CharacterClass] = (
         CharacterClass(r"^[0-9+/_=-]+$", math.inf),
         CharacterClass(r"^[0-9a-fA-F]+$", 3.0),
         CharacterClass(r"^(?=(?:[^0-9]*[0-9]){4})(?:[0-9a-z]+|[0-9A-Z]+)$", 3.7),
+        CharacterClass(rf"{_PART}(?=[0-9]*[a-fA-F])[0-9a-fA-F]{{20,}}{_PART_END}", 3.0),
+        CharacterClass(rf"{_PART}(?=(?:[A-Za-z]*[0-9]){{4}})(?:[0-9a-z]{{20,}}|[0-9A-Z]{{20,}}){_PART_END}", 3.7),
         CharacterClass(r"^(?=.*[a-z])(?=.*[A-Z])", 3.9),
+        CharacterClass(r"^(?:[^0-9]*[0-9]){4}", 3.9),
+        CharacterClass(r"^", 4.1),
     )
     allowed: Sequence[str] = (
         r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
