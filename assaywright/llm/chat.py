@@ -61,7 +61,7 @@ class Layout:
     def fingerprints(self) -> list[int]:
         always = self.paths - set(self.optional)
         maybe = sorted(self.paths & set(self.optional))
-        return [hash_of(always | set(more)) for n in range(len(maybe) + 1) for more in combinations(maybe, n) if always or more]
+        return [hash_of(always | set(more)) for n in range(len(maybe) + 1) for more in combinations(maybe, n) if always or more or self.row]
 
     def turns(self) -> Column:
         roles = {old: new for old, new in self.roles}

@@ -34,3 +34,9 @@ def test_layouts(spark):
     want += [(3, 0, "user", "i"), (3, 1, "user", "n"), (3, 2, "assistant", "o"), (4, 0, "user", "q"), (4, 1, "assistant", "a")]
     assert turns(mixed) == want
     assert [r["id"] for r in chat.unmatched(mixed).collect()] == [5]
+
+
+def test_rows_without_any_value_are_turns(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, None, None, None), (2, None, None, None)], "conv_id long, turn long, role string, text string")
+    got = sorted(tuple(r) for r in chat.canonical(df, "conv_id").select("key", "role", "text").collect())
+    assert got == [(1, "", ""), (1, "user", "a"), (2, "", "")]
