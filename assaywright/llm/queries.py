@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, mixing, quality, repeats, secrets, simhash, templates, tokens
+from . import chat, clusters, decontaminate, language, mixing, quality, repeats, secrets, simhash, templates, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_line_templates")
 def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroid_clusters", clusters.report_sql())
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clustered(table(spark, sf_dir, "embeddings")).drop("measured")
