@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, clusters, decontaminate, language, mixing, quality, repeats, secrets, simhash, templates, tokens
+from . import chat, clusters, decontaminate, language, mixing, quality, repeats, secrets, simhash, templates, tokens, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,8 @@ def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_centroid_clusters", clusters.report_sql())
 def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.clustered(table(spark, sf_dir, "embeddings")).drop("measured")
+
+
+@query("op12_toxicity")
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
