@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, clusters, decontaminate, language, mixing, quality, repeats, secrets, simhash, templates, tokens, toxicity
+from . import chat, clusters, decontaminate, language, mixing, negatives, quality, repeats, secrets, simhash, templates, tokens, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,8 @@ def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_toxicity")
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_hard_negatives", negatives.REPORT_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.report(table(spark, sf_dir, "embeddings"))
