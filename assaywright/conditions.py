@@ -148,3 +148,12 @@ def plain_fields(condition) -> set[str] | None:
             return None
         names.add(leaf.field.lower())
     return names
+
+
+def renamed(condition, names: dict[str, str]):
+    """The condition with plain field names (given in lower case) replaced."""
+    if isinstance(condition, Chain):
+        return replace(condition, items=tuple(i if isinstance(i, str) else renamed(i, names) for i in condition.items))
+    if isinstance(condition.field, Sql):
+        return condition
+    return replace(condition, field=names.get(condition.field.lower(), condition.field))

@@ -12,16 +12,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..conditions import Sql
 from ..functions.predicates import holds_or_false
 from ..functions.text import named
 from ..rules import Calculation
 from .joins import ROWS
 
+#: Per lower-case column name, the column that holds the value in its own type, and that type.
+Typed = Mapping[str, tuple[str, str]]
+NUMERIC = ("sum", "avg", "mean", "stddev", "stddev_samp", "stddev_pop", "variance", "var_samp", "var_pop")
 MEMBER_FUNCTIONS = ("collect_list", "collect_set", "array_agg", "listagg", "string_agg")
 
 
-def aggregate_column(calc: Calculation, thresholds: Mapping | None = None) -> Column:
-    """One aggregate as a column.  A conditional aggregate over no matching row is NULL."""
+def aggregate_column(calc: Calculation, thresholds: Mapping | None = None, typed: Typed | None = None) -> Column:
+    """One aggregate as a column.  A conditional aggregate over no matching row is NULL.
+
+    Sums of columns that ``typed`` names as whole or decimal are exact; other numbers are added as doubles.
+    """
+    typed = typed or {}
     function = calc.function.strip().lower()
     if function in MEMBER_FUNCTIONS:
         raise ValueError(
@@ -31,17 +39,32 @@ def aggregate_column(calc: Calculation, thresholds: Mapping | None = None) -> Co
     every = calc.column == "*"
     value = F.lit(1) if every else named(calc.column)
     if calc.where is None:
-        return _plain(function, value, calc).alias(calc.alias)
-    chosen = holds_or_false(calc.where, thresholds)
+        return _plain(function, value, calc, typed).alias(calc.alias)
+    chosen = _chosen(calc, thresholds, typed)
     if function in ("count_distinct", "countdistinct", "approx_count_distinct", "count"):
-        result = _plain(function, F.when(chosen, value), calc)
+        result = _plain(function, F.when(chosen, value), calc, typed)
         return F.when(F.count_if(chosen) > 0, result).alias(calc.alias)
     if function in ("first", "last"):
         return _edge(function, value, calc, chosen).alias(calc.alias)
-    return _plain(function, F.when(chosen, value), calc).alias(calc.alias)
+    return _plain(function, F.when(chosen, value), calc, typed, chosen).alias(calc.alias)
+
+
+def _chosen(calc: Calculation, thresholds: Mapping | None, typed: Typed) -> Column:
+    if isinstance(calc.where, Sql):
+        return F.coalesce(F.expr(calc.where.text), F.lit(False))
+    return holds_or_false(calc.where, thresholds, typed)
+
+
+def number_of(value: Column, function: str, kind: tuple[str, str] | None) -> Column:
+    """What a numeric aggregate reads: exact decimals for sums of exact columns, doubles otherwise."""
+    if function == "sum" and kind is not None and kind[1] == "bigint":
+        return value.try_cast("decimal(28,0)")
+    if function == "sum" and kind is not None and kind[1].startswith("decimal"):
+        return value.try_cast(kind[1])
+    return F.trim(value.cast("string")).try_cast("double")
 
 
-def _plain(function: str, value: Column, calc: Calculation) -> Column:
+def _plain(function: str, value: Column, calc: Calculation, typed: Typed, chosen: Column | None = None) -> Column:
     if function in ("count_distinct", "countdistinct"):
         return F.count_distinct(value)
     if function == "approx_count_distinct":
@@ -50,8 +73,12 @@ def _plain(function: str, value: Column, calc: Calculation) -> Column:
         return _edge(function, value, calc, None)
     if function == "count":
         return F.count(value)
-    if function in ("sum", "avg", "mean", "stddev", "stddev_samp", "stddev_pop", "variance", "var_samp", "var_pop"):
-        value = F.trim(value.cast("string")).try_cast("double")
+    if function in NUMERIC:
+        kind = typed.get(calc.column.lower())
+        if kind is not None and function == "sum" and kind[1] != "double":
+            exact = F.col(kind[0])
+            value = exact if chosen is None else F.when(chosen, exact)
+        value = number_of(value, function, kind)
     return getattr(F, function)(value)
 
 
@@ -71,10 +98,11 @@ def group_facts(
     keys: Mapping[str, Column],
     calculations: Sequence[Calculation],
     thresholds: Mapping | None = None,
+    typed: Typed | None = None,
 ) -> DataFrame:
     """One row per key: the aggregates and ``__n``, the number of rows behind the key."""
     grouped = rows.groupBy(*[value.alias(name) for name, value in keys.items()])
-    columns = [aggregate_column(c, thresholds) for c in calculations]
+    columns = [aggregate_column(c, thresholds, typed) for c in calculations]
     return grouped.agg(F.count(F.lit(1)).alias(ROWS), *columns)
 
 
@@ -97,6 +125,7 @@ def failing_groups(
     calculations: Sequence[Calculation],
     having,
     thresholds: Mapping | None = None,
+    typed: Typed | None = None,
 ) -> DataFrame:
     """Groups whose aggregates satisfy ``having``: keys, slices, ``__n`` and the aggregates.
 
@@ -113,9 +142,9 @@ def failing_groups(
         facts = counts.withColumns({c.alias: total for c in calculations})
         return facts.where(holds_or_false(having, thresholds))
     if not slices:
-        facts = group_facts(rows, keys, calculations, thresholds)
+        facts = group_facts(rows, keys, calculations, thresholds, typed)
         return facts.where(_all_present(keys) & holds_or_false(having, thresholds))
-    facts = group_facts(rows, keys, calculations, thresholds).drop(ROWS)
+    facts = group_facts(rows, keys, calculations, thresholds, typed).drop(ROWS)
     return counts.join(facts.where(holds_or_false(having, thresholds)), list(keys), "inner")
 
 

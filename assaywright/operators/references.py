@@ -11,17 +11,30 @@ from ..rules import Reference
 from .groups import counted_groups
 
 
-def allowed_keys(table: DataFrame, reference: Reference, keys: Sequence[str]) -> DataFrame:
-    """Distinct normalised reference keys, limited to the reference's scope if it has one."""
+def allowed_keys(
+    table: DataFrame, reference: Reference, keys: Sequence[str], kinds: Sequence[str] = ()
+) -> DataFrame:
+    """Distinct normalised reference keys, limited to the reference's scope if it has one.
+
+    Keys of the kind ``bigint`` are compared as the numbers they are, the others as text.
+    """
     for column, value in reference.scope:
         table = table.where(named(column) == value)
-    return table.select(
-        *[lookup_key(named(c)).alias(k) for k, c in zip(keys, reference.columns)]
-    ).distinct()
+    kinds = kinds or ["string"] * len(keys)
+    columns = [
+        (named(c).cast("bigint") if kind == "bigint" else lookup_key(named(c))).alias(k)
+        for k, kind, c in zip(keys, kinds, reference.columns)
+    ]
+    return table.select(*columns).distinct()
 
 
 def failing_groups(
-    rows: DataFrame, keys: Mapping[str, Column], slices: Sequence[str], table: DataFrame, reference: Reference
+    rows: DataFrame,
+    keys: Mapping[str, Column],
+    slices: Sequence[str],
+    table: DataFrame,
+    reference: Reference,
+    kinds: Sequence[str] = (),
 ) -> DataFrame:
     """Key values (with row counts per slice) that the reference table does not hold.
 
@@ -29,4 +42,4 @@ def failing_groups(
     of all rows is one row by the time the join runs.
     """
     counts = counted_groups(rows, keys, slices)
-    return counts.join(allowed_keys(table, reference, list(keys)), list(keys), "left_anti")
+    return counts.join(allowed_keys(table, reference, list(keys), kinds), list(keys), "left_anti")

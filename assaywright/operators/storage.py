@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +27,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, paths: list[str]) -> DataFrame:
+def stored(df: DataFrame, paths: list[str], by: Sequence[str] = ()) -> DataFrame:
     """The frame computed once, written to the shared folder and read back from there from then on.
 
-    ``paths`` collects what was written, for ``release``.
+    ``paths`` collects what was written, for ``release``; ``by`` names columns with a folder per value.
     """
     path = new_path(df.sparkSession, "stored")
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -3,7 +3,8 @@
 * Rules that look at one row only share one scan: the summary is one wide
   aggregate, the detail one filtered projection.  Rows are never repeated per rule.
 * Rules that look at groups or reference tables first reduce the table to its
-  failing keys (partial aggregation before every shuffle).  These keys are
+  failing keys (partial aggregation before every shuffle).  All such rules share
+  one scan and one shuffle (``operators.key_reduction``).  The failing keys are
   stored once and serve both summary and detail.
 * Rules that change the number of rows run on their own branch.
 """
@@ -21,14 +22,17 @@ from ..functions import keys as K
 from ..functions.national_id import national_id_messages
 from ..functions.predicates import holds_or_false, messages
 from ..functions.text import is_missing, lookup_key, missing_message, named, text_columns
-from ..operators import groups, references, reshape
+from ..operators import groups, key_reduction, references, reshape
 from ..operators.joins import ROWS, SizeLimit, join_keyed
 from ..operators.storage import release, stored
 from ..rules import Rule
 
 YEAR, BATCH = "__year", "__batch"
 SLICES = [YEAR, BATCH]
-RULE = "__rule"
+RULE = key_reduction.RULE
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+#: Key rules that share one scan.
+KEY_RULES_PER_PASS = 12
 
 # Types whose text is never blank and never the word NULL.
 NEVER_BLANK = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "boolean", "date", "timestamp")
@@ -77,6 +81,11 @@ class TableCheck:
         self._nulls = {
             name.lower(): f"__null_{i}" for i, (name, kind) in enumerate(df.dtypes) if kind.startswith(NEVER_BLANK)
         }
+        self._typed = {
+            name.lower(): (f"__exact_{i}", "bigint" if kind in WHOLE else kind)
+            for i, (name, kind) in enumerate(df.dtypes)
+            if kind in WHOLE or kind == "double" or kind.startswith("decimal")
+        }
         self.rows = self._with_slices(self._text_view(df), batch_id, year_id)
         self.rules = [self._resolved(rule) for rule in rules]
 
@@ -91,6 +100,7 @@ class TableCheck:
 
     def summary(self, lakehouse_layer: str | None = None) -> DataFrame:
         """One row per rule, year and batch with counts and the pass rate."""
+        self._share_key_rules()
         parts = [self._local_counts(chunk) for chunk in self._chunks()]
         for index, rule in enumerate(self.rules):
             if rule.reshapes_rows:
@@ -117,6 +127,7 @@ class TableCheck:
 
     def detail(self, lakehouse_layer: str | None = None) -> DataFrame:
         """One row per record and rule it fails, with the record's image and keys."""
+        self._share_key_rules()
         parts, left = [], self.limit
         for chunk in self._chunks():
             rows, settled = self.rows, {}
@@ -157,9 +168,12 @@ class TableCheck:
     # -- shared pieces -----------------------------------------------------------
 
     def _text_view(self, df: DataFrame) -> DataFrame:
-        """The table as text, with the NULL test of typed columns beside it: their text is never blank."""
+        """The table as text.  Beside it stand the NULL test of typed columns, whose text is never blank, and numbers
+        in their own type, which comparisons, sums and keys use; what no rule reads is never computed.
+        """
         tests = [named(name).isNull().alias(hidden) for name, hidden in self._nulls.items()]
-        return df.select(*text_columns(df), *tests)
+        exact = [named(name).cast(kind).alias(hidden) for name, (hidden, kind) in self._typed.items()]
+        return df.select(*text_columns(df), *tests, *exact)
 
     def _missing(self, columns: Sequence[str]) -> Column:
         """Any of the columns is missing; typed columns need no look at their text."""
@@ -206,7 +220,7 @@ class TableCheck:
         """The rows a later stage looks at, or the violation itself when there is no later stage."""
         if rule.violation is None:
             return None
-        chosen = holds_or_false(rule.violation, dict(rule.thresholds))
+        chosen = self._holds(rule, rule.violation)
         return chosen if rule.national_id is None else self._bad_id(rule) | chosen
 
     def _bad_id(self, rule: Rule) -> Column:
@@ -216,7 +230,7 @@ class TableCheck:
         """Violation decided by the row alone; None when the rule only checks for missing values."""
         if not rule.is_row_local:
             return None
-        having = None if rule.having is None else holds_or_false(rule.having, dict(rule.thresholds))
+        having = None if rule.having is None else self._holds(rule, rule.having)
         return self._combined(rule, having, None)
 
     def _combined(self, rule: Rule, having: Column | None, absent: Column | None) -> Column | None:
@@ -230,9 +244,19 @@ class TableCheck:
         return reduce(lambda a, b: a | b, later) if later else None
 
     def _local_messages(self, rule: Rule) -> list[Column]:
-        thresholds = dict(rule.thresholds)
         found = self._id_messages(rule) if rule.national_id is not None else []
-        return found + messages(rule.violation, thresholds) + messages(rule.having, thresholds)
+        return found + self._texts(rule, rule.violation) + self._texts(rule, rule.having)
+
+    def _holds(self, rule: Rule, condition) -> Column:
+        return holds_or_false(condition, dict(rule.thresholds), self._typed_beside(rule))
+
+    def _texts(self, rule: Rule, condition) -> list[Column]:
+        return messages(condition, dict(rule.thresholds), self._typed_beside(rule))
+
+    def _typed_beside(self, rule: Rule) -> dict[str, tuple[str, str]]:
+        """Typed columns a rule's conditions may use: an aggregate of the same name hides the column."""
+        made = {c.alias.lower() for spec in rule.aggregations for c in spec.calculations}
+        return {name: kind for name, kind in self._typed.items() if name not in made}
 
     def _id_messages(self, rule: Rule) -> list[Column]:
         spec = rule.national_id
@@ -322,7 +346,7 @@ class TableCheck:
             if index in settled:
                 selected = self._selected(rule)
                 violated = settled[index] if selected is None else settled[index] & selected
-                found = messages(rule.violation, dict(rule.thresholds)) + [F.col(f"__text{index}")]
+                found = self._texts(rule, rule.violation) + [F.col(f"__text{index}")]
                 extra = F.col(f"__extra{index}")
             if rule.aggregations:
                 extra = F.when(missing, F.lit(zero_aggregates(rule))).otherwise(extra)
@@ -362,39 +386,96 @@ class TableCheck:
         rows = rows.where(~self._missing(rule.columns))
         return rows if rule.violation is None else rows.where(self._selected(rule))
 
-    @staticmethod
-    def _group_keys(group_by, digest: bool) -> dict[str, Column]:
-        keys = {}
-        for i, name in enumerate(group_by):
-            value = named(name)
-            keys[f"__k{i}"] = F.unhex(F.sha2(value, 256)) if digest else value
+    def _group_keys(self, group_by, digest: bool) -> list[tuple[str, Column]]:
+        """Type and value of each grouping column: whole numbers as such, digests as bytes, the rest as text."""
+        keys = []
+        for name in group_by:
+            hidden, kind = self._typed.get(name.lower(), ("", ""))
+            if digest:
+                keys.append(("binary", F.unhex(F.sha2(named(name), 256))))
+            else:
+                keys.append(("bigint", F.col(hidden)) if kind == "bigint" else ("string", named(name)))
+        return keys
+
+    def _reference_keys(self, rule: Rule, reference) -> list[tuple[str, Column]]:
+        """As for groups; numbers only where the table and its reference both hold whole numbers."""
+        kinds = {name.lower(): kind for name, kind in self.table(reference.table).dtypes}
+        keys = []
+        for column, other in zip(rule.columns, reference.columns):
+            hidden, kind = self._typed.get(column.lower(), ("", ""))
+            if kind == "bigint" and kinds.get(other.lower()) in WHOLE:
+                keys.append(("bigint", F.col(hidden)))
+            else:
+                keys.append(("string", lookup_key(named(column))))
         return keys
 
     @staticmethod
-    def _reference_keys(rule: Rule, reference) -> dict[str, Column]:
-        pairs = zip(rule.columns, reference.columns)
-        return {f"__k{i}": lookup_key(named(column)) for i, (column, _) in enumerate(pairs)}
+    def _numbered(keys) -> dict[str, Column]:
+        return {f"__k{i}": value for i, (_, value) in enumerate(keys)}
+
+    @staticmethod
+    def _memo(rule: Rule) -> str | None:
+        """What a rule's lookups depend on; None where they depend on more than the table's own rows."""
+        if rule.reshapes_rows:
+            return None
+        stages = (rule.columns, rule.violation, rule.national_id, rule.aggregations, rule.having)
+        return repr((*stages, rule.references, rule.thresholds))
+
+    def _shareable(self, rule: Rule) -> bool:
+        if not self._one_lookup(rule):
+            return False
+        return all(key_reduction.shareable(spec.calculations, bool(self._varying)) for spec in rule.aggregations)
+
+    def _key_task(self, number: int, rule: Rule) -> key_reduction.KeyTask:
+        applicable = ~self._missing(rule.columns)
+        if rule.violation is not None:
+            applicable = applicable & self._selected(rule)
+        thresholds = tuple(rule.thresholds)
+        if rule.aggregations:
+            (spec,) = rule.aggregations
+            keys = tuple(self._group_keys(spec.group_by, spec.digest))
+            return key_reduction.KeyTask(number, keys, applicable, spec.calculations, rule.having, thresholds)
+        (reference,) = rule.references
+        keys = tuple(self._reference_keys(rule, reference))
+        names, kinds = [f"__k{i}" for i in range(len(keys))], [kind for kind, _ in keys]
+        allowed = references.allowed_keys(self.table(reference.table), reference, names, kinds)
+        return key_reduction.KeyTask(number, keys, applicable, allowed=allowed, thresholds=thresholds)
+
+    def _share_key_rules(self) -> None:
+        """Settle all rules decided by one set of keys in one scan, if there are several that are not settled yet."""
+        pending = {self._memo(r): r for r in self.rules if self._shareable(r)}
+        pending = [(memo, rule) for memo, rule in pending.items() if memo not in self._failing]
+        if len(pending) < 2:
+            return
+        for at in range(0, len(pending), KEY_RULES_PER_PASS):
+            part = pending[at : at + KEY_RULES_PER_PASS]
+            tasks = [self._key_task(i, rule) for i, (_, rule) in enumerate(part)]
+            failing = key_reduction.failing_keys(self.rows, tasks, self._varying, self._typed).withColumns(self._fixed)
+            kept = stored(failing, self._paths, [RULE])
+            for task, (memo, rule) in zip(tasks, part):
+                own = key_reduction.of_task(kept, task, SLICES)
+                names = [c.alias for spec in rule.aggregations for c in spec.calculations]
+                self._failing[memo] = [(self._numbered(task.keys), own, names)]
 
     def _lookups(self, rows: DataFrame, rule: Rule):
         """(keys, stored failing groups, aggregate names) of every later stage."""
-        memo = None
-        if not rule.reshapes_rows:
-            stages = (rule.columns, rule.violation, rule.national_id, rule.aggregations, rule.having)
-            memo = repr((*stages, rule.references, rule.thresholds))
+        memo = self._memo(rule)
         if memo in self._failing:
             return self._failing[memo]
         found = []
         applicable, varying = self._applicable(rows, rule), self._varying
         for spec in rule.aggregations:
-            keys = self._group_keys(spec.group_by, spec.digest)
+            keys = self._numbered(self._group_keys(spec.group_by, spec.digest))
             failing = groups.failing_groups(
-                applicable, keys, varying, spec.calculations, rule.having, dict(rule.thresholds)
+                applicable, keys, varying, spec.calculations, rule.having, dict(rule.thresholds), self._typed
             )
             kept = stored(failing.withColumns(self._fixed), self._paths)
             found.append((keys, kept, [c.alias for c in spec.calculations]))
         for reference in rule.references:
-            keys = self._reference_keys(rule, reference)
-            failing = references.failing_groups(applicable, keys, varying, self.table(reference.table), reference)
+            typed = self._reference_keys(rule, reference)
+            keys, kinds = self._numbered(typed), [kind for kind, _ in typed]
+            table = self.table(reference.table)
+            failing = references.failing_groups(applicable, keys, varying, table, reference, kinds)
             found.append((keys, stored(failing.withColumns(self._fixed), self._paths), []))
         if memo is not None:
             self._failing[memo] = found
@@ -430,7 +511,7 @@ class TableCheck:
         """Failing keys, one row each, with ``__n``, the message and the aggregates as JSON text."""
         ((keys, failing, names),) = self._lookups(self.rows, rule)
         keyed = self._one_row_per_key(failing, keys, names)
-        text = messages(rule.having, dict(rule.thresholds)) or [F.lit(reference_message(rule))]
+        text = self._texts(rule, rule.having) or [F.lit(reference_message(rule))]
         extra = aggregates_text(names)
         facts = (F.concat_ws(", ", *text).alias("__text"), extra.alias("__extra"))
         return keys, keyed.select(*keys, ROWS, *facts)
@@ -447,7 +528,7 @@ class TableCheck:
         """Violations of a rule whose failing keys are too many to broadcast."""
         applicable = self._applicable(self.rows, rule)
         hit = join_keyed(applicable, list(keys.values()), verdicts, list(keys), self.limit, "inner", self._paths)
-        found = messages(rule.violation, dict(rule.thresholds)) + [F.col("__text")]
+        found = self._texts(rule, rule.violation) + [F.col("__text")]
         image = K.record_image(self.columns).alias("source_table_attributes")
         failure = self._failure(index, rule, F.lit(VIOLATION), F.concat_ws(", ", *found), F.col("__extra"))
         listed = hit.select(*SLICES, image, failure.alias("__hit"))
@@ -480,9 +561,8 @@ class TableCheck:
 
     def _with_lookups(self, rows: DataFrame, rule: Rule):
         """Stages settled by failing keys: one left join each."""
-        thresholds = dict(rule.thresholds)
         if not rule.aggregations and not rule.references:
-            having = None if rule.having is None else holds_or_false(rule.having, thresholds)
+            having = None if rule.having is None else self._holds(rule, rule.having)
             return rows, having, None
         lookups = self._lookups(rows, rule)
         rows = self._with_hits(rows, lookups)
@@ -494,7 +574,7 @@ class TableCheck:
         """Stages whose condition reads row columns too: group facts are attached to every row."""
         for spec in rule.aggregations:
             rows = self._with_facts(rows, rule, spec)
-        having = None if rule.having is None else holds_or_false(rule.having, dict(rule.thresholds))
+        having = None if rule.having is None else self._holds(rule, rule.having)
         if not rule.references:
             return rows, having, None
         lookups = self._lookups(rows, rule.bind(aggregations=(), having=None))
@@ -509,12 +589,12 @@ class TableCheck:
         applicable = self._applicable(rows, rule)
         thresholds = dict(rule.thresholds)
         if not spec.group_by:
-            whole = applicable.agg(*[groups.aggregate_column(c, thresholds) for c in spec.calculations])
+            whole = applicable.agg(*[groups.aggregate_column(c, thresholds, self._typed) for c in spec.calculations])
             return rows.withColumns(
                 {c.alias: whole.select(named(c.alias)).scalar() for c in spec.calculations}
             )
-        keys = self._group_keys(spec.group_by, spec.digest)
-        facts = stored(groups.group_facts(applicable, keys, spec.calculations, thresholds), self._paths)
+        keys = self._numbered(self._group_keys(spec.group_by, spec.digest))
+        facts = stored(groups.group_facts(applicable, keys, spec.calculations, thresholds, self._typed), self._paths)
         wide = join_keyed(rows, list(keys.values()), facts, list(keys), self.limit, "left", self._paths)
         return wide.drop(ROWS, *keys)
 

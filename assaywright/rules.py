@@ -5,6 +5,9 @@ from __future__ import annotations
 import dataclasses
 import json
 from dataclasses import dataclass, field
+from decimal import Decimal
+
+from . import conditions
 
 
 @dataclass(frozen=True)
@@ -108,15 +111,47 @@ class Rule:
         shown = {}
         for item in dataclasses.fields(self):
             value = getattr(self, item.name)
-            if value not in (None, "", (), False):
+            if item.name == "rule_id" or value != item.default:
                 shown[item.name] = _plain(value)
         return json.dumps(shown, ensure_ascii=False)
 
+    @classmethod
+    def from_json(cls, text: str) -> "Rule":
+        """The rule that ``to_json`` wrote, or one written by hand in that form: rules need no Python code.
+
+        Conditions, aggregates and references are objects with their class as ``kind``; unknown kinds and fields are refused.
+        """
+        given = json.loads(text)
+        if not isinstance(given, dict):
+            raise ValueError("a rule is a JSON object")
+        return _typed({"kind": "Rule", **given})
+
 
 def _plain(value):
     if dataclasses.is_dataclass(value):
         inner = {f.name: _plain(getattr(value, f.name)) for f in dataclasses.fields(value)}
         return {"kind": type(value).__name__, **inner}
+    if isinstance(value, Decimal):
+        return {"kind": "Decimal", "value": str(value)}
     if isinstance(value, (tuple, list)):
         return [_plain(item) for item in value]
     return value
+
+
+def _typed(value):
+    """The inverse of ``_plain``."""
+    if isinstance(value, list):
+        return tuple(_typed(item) for item in value)
+    if not isinstance(value, dict):
+        return value
+    kinds = {c.__name__: c for c in (Rule, NationalId, Enrich, Calculation, GroupAggregate, Reference)}
+    kinds |= {name: c for name, c in vars(conditions).items() if dataclasses.is_dataclass(c)}
+    kind, fields = value.get("kind"), {k: _typed(v) for k, v in value.items() if k != "kind"}
+    if kind == "Decimal":
+        return Decimal(fields["value"])
+    if kind not in kinds:
+        raise ValueError(f"unknown kind {kind!r} in a rule")
+    unknown = set(fields) - {f.name for f in dataclasses.fields(kinds[kind])}
+    if unknown:
+        raise ValueError(f"{kind} has no fields {sorted(unknown)}")
+    return kinds[kind](**fields)

@@ -9,6 +9,7 @@ from assaywright.catalog.builtin import build
 from assaywright.operators.groups import group_facts, group_members
 from assaywright.operators.joins import join_by_name
 from assaywright.operators.reshape import distinct_rows
+from assaywright.plans.table_check import TableCheck
 from assaywright.functions.text import as_text, named
 
 from . import sql as S
@@ -264,3 +265,60 @@ def joined_by_name(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("C_NATIONKEY"), "n_name")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     return join_by_name(customers, nations)
+
+
+# -- many key rules of one table in one scan ---------------------------------------------------
+
+LINE_KEYS = ("l_orderkey", "l_linenumber")
+KEY_RULES = [
+    build("DQ_005", LINE_KEYS, object="lineitem", composite_columns=LINE_KEYS),
+    build("DQ_005", ("l_partkey", "l_suppkey", "l_shipdate"), object="lineitem", composite_columns=LINE_KEYS),
+    Rule("K_sum", ("l_suppkey",), object="lineitem", composite_columns=LINE_KEYS, aggregations=(GroupAggregate(
+        ("l_suppkey",), (Calculation("sum", "l_linenumber", "numbers"), Calculation("count", "*", "lines"))),),
+        having=Compare("numbers", ">", 2500)),
+    Rule("K_returned", ("l_partkey",), object="lineitem", composite_columns=LINE_KEYS, aggregations=(GroupAggregate(
+        ("l_partkey",), (Calculation("count", "*", "returned", where=Compare("l_returnflag", "=", "R")),)),),
+        having=Compare("returned", ">=", 12)),
+    build("DQ_004", "l_orderkey", object="lineitem", composite_columns=LINE_KEYS, reference=Reference("some_orders", ("o_orderkey",))),
+    build("DQ_004", ("l_partkey", "l_suppkey"), object="lineitem", composite_columns=LINE_KEYS, reference=Reference("offers", ("k1", "k2"))),
+]
+# Orders and offers with some keys moved away, so that lines lose their partner.
+SOME_ORDERS = "select case when o_orderkey % 11 = 0 then -o_orderkey else o_orderkey end as o_orderkey from {orders}"
+OFFERS = "select l_partkey + case when l_linenumber = 1 then 1000000 else 0 end as k1, l_suppkey as k2 from {lineitem}"
+KEY_SOURCE = f"""select l.*, cast(null as int) as year_id, {S.BATCH} as batch_id,
+ count(*) over (partition by l_orderkey, l_linenumber) as c0, count(*) over (partition by l_partkey, l_suppkey, l_shipdate) as c1,
+ sum(l_linenumber) over (partition by l_suppkey) as c2, count(*) filter (where l_returnflag = 'R') over (partition by l_partkey) as c3,
+ not exists (select 1 from ({duck(SOME_ORDERS)}) o where o_orderkey = l_orderkey) as c4,
+ not exists (select 1 from ({duck(OFFERS)}) f where k1 = l_partkey and k2 = l_suppkey) as c5 from lineitem l"""
+KEY_TESTS = ["c0 > 1", "c1 > 1", "c2 > 2500", "c3 >= 12", "c4", "c5"]
+
+
+def key_check(spark, sf_dir):
+    known = {"some_orders": from_sql(spark, sf_dir, SOME_ORDERS), "offers": from_sql(spark, sf_dir, OFFERS)}
+    return TableCheck(table(spark, sf_dir, "lineitem"), KEY_RULES, S.RUN_DATE, S.BATCH, tables=known)
+
+
+add(
+    "key_rules_lineitem", lambda s, d: key_check(s, d).summary(),
+    " union all ".join(
+        f"({S.summary_row(KEY_SOURCE, r, S.flag_case(r.columns, t))})" for r, t in zip(KEY_RULES, KEY_TESTS)
+    ),
+)
+KEY_TEXTS = [
+    COUNT_TEXT, COUNT_TEXT, S.quoted("Condition violated: numbers > 2500"), S.quoted("Condition violated: returned >= 12"),
+    absent("l_orderkey"), absent("l_partkey", "l_suppkey"),
+]
+
+
+def key_detail_sql(rule, violated, text) -> str:
+    values = ", ".join(f"cast({c} as varchar)" for c in rule.columns)
+    return f"""select {S.quoted(rule.rule_id)} as rule_id, {S.quoted(",".join(rule.columns))} as attribute_name,
+ cast(l_orderkey as varchar) as value1, cast(l_linenumber as varchar) as value2, concat_ws(',', {values}) as value,
+ {text} as rule_violation_details from ({KEY_SOURCE}) k where {violated}"""
+
+
+add(
+    "key_rules_detail",
+    lambda s, d: key_check(s, d).detail().select("rule_id", "attribute_name", "value1", "value2", "value", "rule_violation_details"),
+    " union all ".join(f"({key_detail_sql(*part)})" for part in zip(KEY_RULES, KEY_TESTS, KEY_TEXTS)),
+)
