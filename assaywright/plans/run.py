@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -30,7 +32,11 @@ STATUS = "object string, rule_id string, passed boolean, error string"
 
 @dataclass(frozen=True)
 class RunSettings:
-    """Everything a run needs to know besides its rules."""
+    """Everything a run needs to know besides its rules.
+
+    ``run_name`` tells runs over one table and batch apart that are to stand side by side; without it, they do if they
+    have rules of other types.
+    """
 
     run_date: str
     summary_target: str
@@ -40,6 +46,7 @@ class RunSettings:
     sub_source: str | None = None
     layer: str = ""
     current_year: int = 0
+    run_name: str = ""
     limit: SizeLimit = field(default_factory=SizeLimit)
 
     @property
@@ -98,31 +105,42 @@ def run_table(
     composite_columns: Sequence[str] = (),
     tables=None,
 ) -> list[RuleStatus]:
-    """Check one table and append to both logs; the returned statuses tell what ran."""
+    """Check one table and publish both logs together; the returned statuses tell what ran.
+
+    A rerun (same table, batch and kind of rules) replaces what it published before, in both logs.
+    """
     sliced = source_tables.slice_table(df, settings.load_date, settings.year_id, settings.sub_source)
     if place is None:
         first = rules[0]
         place = {
             "object": first.object, "system": first.system, "sub_system": first.sub_system, "domain": first.domain,
         }
+    run = run_id(place, rules, settings)
     if sliced.isEmpty():
         about = (dict(place), settings.load_date, settings.run_date, settings.layer)
-        writers.append_log(empty_summary(sliced, *about), settings.summary_target)
         empty = empty_detail(sliced, about[0], composite_columns, *about[1:])
-        writers.append_log(empty, settings.detail_target)
+        writers.publish_run(run, {settings.detail_target: empty, settings.summary_target: empty_summary(sliced, *about)})
         return [RuleStatus(place["object"], "DQ_000", True)]
     kept, statuses = usable_rules(sliced, rules, settings, tables)
     if kept:
         slices = (settings.load_date or None, settings.year_id or None)
         check = TableCheck(sliced, kept, settings.run_date, *slices, tables, settings.limit)
-        try:  # detail first: a summary in the log says that the details are there
-            writers.append_log(check.detail(settings.layer), settings.detail_target)
-            writers.append_log(check.summary(settings.layer), settings.summary_target)
+        try:
+            logs = {settings.detail_target: check.detail(settings.layer), settings.summary_target: check.summary(settings.layer)}
+            writers.publish_run(run, logs)
         finally:
             check.release()
     return statuses + [RuleStatus(rule.object, rule.rule_id, True) for rule in kept]
 
 
+def run_id(place: Mapping[str, str], rules: Sequence[Rule], settings: RunSettings) -> str:
+    """What a rerun has in common with the run before: table, slice, layer, and the name or the rule types."""
+    kinds = settings.run_name or sorted({rule.rule_type for rule in rules})
+    about = [place[k] for k in ("object", "system", "sub_system", "domain")]
+    whole = json.dumps([about, settings.load_date, settings.year_id, settings.sub_source, settings.layer, kinds])
+    return hashlib.sha256(whole.encode()).hexdigest()[:24]
+
+
 def run_bindings(
     spark: SparkSession,
     rules: DataFrame,

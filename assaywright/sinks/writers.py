@@ -1,8 +1,10 @@
 """Writing results and configuration: partitioned appends, staged merges, create-if-absent.
 
 Targets are parquet tables in the catalog, or parquet folders when the name is
-a path.  Parquet has no row-level merge, so a merge that changes existing rows
-writes the new content beside the old, then swaps it in.
+a path.  Parquet has no row-level merge, so a merge finds the files that hold
+affected keys, writes their new content elsewhere, and swaps just these files in
+one committed change (``commit``): a failure before it leaves the old table, one
+after it is made good by the next reader or writer.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import named
 from ..operators.joins import delete_insert, insert_if_absent, upsert
 from ..operators.storage import new_path, release
+from . import commit
 
 # The partitioning of both result logs.
 LOG_PARTITIONS = ("system", "sub_system", "batch_id", "year_id")
@@ -32,9 +36,36 @@ def exists(spark: SparkSession, target: str) -> bool:
 
 
 def read(spark: SparkSession, target: str) -> DataFrame:
+    """The table's rows, once what was committed to it is applied."""
+    settle(spark, target)
     return spark.read.parquet(target) if _is_path(target) else spark.table(target)
 
 
+def location(spark: SparkSession, target: str) -> str:
+    """The folder that holds a target's files."""
+    if _is_path(target):
+        return target.rstrip("/")
+    shown = spark.sql(f"describe formatted {target}").where("col_name = 'Location'").first()
+    return shown["data_type"].rstrip("/")
+
+
+def settle(spark: SparkSession, *targets: str) -> None:
+    """Finish changes that were committed but not applied, say by a driver that was lost."""
+    for target in targets:
+        if exists(spark, target):
+            commit.finish(spark, location(spark, target))
+            _refresh(spark, target)
+
+
+def _refresh(spark: SparkSession, target: str) -> None:
+    if _is_path(target):
+        spark.catalog.refreshByPath(target)
+        return
+    if any(c.isPartition for c in spark.catalog.listColumns(target)):
+        spark.catalog.recoverPartitions(target)
+    spark.catalog.refreshTable(target)
+
+
 def _save(df: DataFrame, target: str, mode: str, partitions: Sequence[str] = ()) -> None:
     writer = df.write.mode(mode).format("parquet")
     if partitions:
@@ -118,8 +149,50 @@ def _insert_dynamic(df: DataFrame, target: str) -> None:
         conf.set(key, before)
 
 
+def publish_run(run: str, frames: dict[str, DataFrame], rows_per_file: int = 2_000_000) -> None:
+    """Write the results of one run to several logs and publish them together.
+
+    Each frame is written to a folder of its own first; one commit then makes all
+    of them visible and takes back what an earlier attempt of the same run left
+    in the logs.  Nothing is in the logs before that, whatever fails.
+    """
+    staged, spark = {}, next(iter(frames.values())).sparkSession
+    try:
+        for target, df in frames.items():
+            _refuse_streamed(spark, target)
+            if not _is_path(target):
+                create_if_absent(df, target, LOG_PARTITIONS)
+                df = df.select(*spark.table(target).columns)
+            folder = new_path(spark, "staged")
+            staged[location(spark, target)] = folder
+            writer = sized_files(df).write.partitionBy(*LOG_PARTITIONS).option("maxRecordsPerFile", rows_per_file)
+            writer.parquet(folder)
+        commit.replace_run(spark, run, staged)
+    finally:
+        release(spark, [folder for root, folder in staged.items() if not _pending(spark, root)])
+    for target in frames:
+        _refresh(spark, target)
+
+
+def _pending(spark: SparkSession, root: str) -> bool:
+    """Whether a committed change still needs staged files."""
+    names = commit.Files(spark).names(f"{root}/{commit.CHANGES}")
+    return any(name.endswith((".json", ".note")) for name in names)
+
+
 def overwrite(df: DataFrame, target: str) -> None:
-    _save(df, target, "overwrite")
+    """Replace the whole content in one committed change; a target of other columns is made anew."""
+    spark = df.sparkSession
+    if create_if_absent(df, target) or _columns(read(spark, target)) != _columns(df):
+        _save(df, target, "overwrite")
+        return
+    root = location(spark, target)
+    files = commit.Files(spark)
+    _swap(df, target, root, commit.version(files, root), files.data_files(root))
+
+
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return sorted(df.dtypes)
 
 
 def append_absent(source: DataFrame, target: str, keys: Sequence[str]) -> None:
@@ -131,23 +204,50 @@ def append_absent(source: DataFrame, target: str, keys: Sequence[str]) -> None:
 
 def merge_upsert(source: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Update matched rows, insert the rest."""
-    _rewrite(source, target, lambda old: upsert(old, source, keys))
+    _rewrite(source, target, keys, lambda old: upsert(old, source, keys))
 
 
 def merge_delete_insert(source: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Replace all target rows of the source's keys by the source rows."""
-    _rewrite(source, target, lambda old: delete_insert(old, source, keys))
+    _rewrite(source, target, keys, lambda old: delete_insert(old, source, keys))
 
 
-def _rewrite(source: DataFrame, target: str, change: Callable[[DataFrame], DataFrame]) -> None:
+def _rewrite(source: DataFrame, target: str, keys: Sequence[str], change: Callable[[DataFrame], DataFrame]) -> None:
+    """New content for the files that hold one of the source's keys; all other files stay as they are."""
     spark = source.sparkSession
     create_if_absent(source, target)
+    old = read(spark, target)
+    root = location(spark, target)
+    made_from = commit.version(commit.Files(spark), root)
+    affected = files_with_keys(old, source, keys)
+    held = old.where(F.col("_metadata.file_path").isin(affected)) if affected else old.limit(0)
+    relative = [commit.Files(spark).relative(root, name) for name in affected]
+    _swap(change(held.select(*old.columns)), target, root, made_from, relative)
+
+
+def files_with_keys(old: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Paths of the files of a table with a row of one of the source's keys (NULL equals NULL): as many as files at most."""
+    marks = [f"__key_{i}" for i in range(len(keys))]
+    wanted = source.select(*[named(k).alias(m) for k, m in zip(keys, marks)]).distinct()
+    placed = old.select(*[named(k) for k in keys], F.col("_metadata.file_path").alias("__file"))
+    held = placed.join(wanted, reduce(lambda a, b: a & b, [named(k).eqNullSafe(F.col(m)) for k, m in zip(keys, marks)]), "left_semi")
+    return [r["__file"] for r in held.select("__file").distinct().collect()]
+
+
+def _swap(content: DataFrame, target: str, root: str, made_from: int, replaced: Sequence[str]) -> None:
+    """Write content elsewhere, then exchange it for the replaced files in one change."""
+    spark, files = content.sparkSession, commit.Files(content.sparkSession)
+    partitions = [] if _is_path(target) else [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    if _is_path(target) and replaced:
+        partitions = [part.split("=", 1)[0] for part in replaced[0].split("/")[:-1]]
     staged = new_path(spark, "staged")
-    change(read(spark, target)).write.parquet(staged)
-    _save(spark.read.parquet(staged), target, "overwrite")
-    if not _is_path(target):
-        spark.catalog.refreshTable(target)
+    writer = content.write.partitionBy(*partitions) if partitions else content.write
+    writer.parquet(staged)
+    change = commit.Change(removes=[f"{root}/{name}" for name in replaced])
+    change.add_written(files, staged, root)
+    commit.publish(spark, [root], change, made_from)
     release(spark, [staged])
+    _refresh(spark, target)
 
 
 def anomalies_only(flagged: DataFrame, only: bool, flag: str = "rule_violation_flag") -> DataFrame:

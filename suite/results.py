@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from assaywright import Compare, Reference, Rule
@@ -15,7 +18,7 @@ from assaywright.plans.empty_table import empty_detail, empty_summary
 from assaywright.plans.table_check import TableCheck
 from assaywright.sinks import writers
 from assaywright.sources import config
-from assaywright.sources.tables import slice_sub_source, text_table
+from assaywright.sources.tables import read_table, slice_sub_source, text_table
 
 from . import sql as S
 from .fixtures import CUSTOMER_DIRTY, ORDERS_DIRTY, duck, from_sql, table
@@ -345,3 +348,94 @@ def multi_table_run(spark, sf_dir):
     if {s.object for s in statuses if not s.passed} != {"no_such_table"}:
         raise ValueError(f"unexpected statuses: {statuses}")
     return spark.read.parquet(settings.summary_target)
+
+
+# -- runs that are repeated or fail -------------------------------------------------------------
+
+RERUN = (SEGMENT, EMAIL)
+RERUN_SQL = LAYERED.format(" union all ".join(f"({S.summary_row(SOURCE, r, S.flag_case((CHECKS[r][0],), CHECKS[r][1]))})" for r in RERUN))
+
+
+def new_settings(spark, run_date=S.RUN_DATE):
+    return R.RunSettings(run_date, new_path(spark, "summary"), new_path(spark, "detail"), load_date=S.BATCH, layer="bronze")
+
+
+def run_again(spark, sf_dir):
+    """Two runs over one batch, the first on another day and with more rules: only the second is in the logs."""
+    first = new_settings(spark, "2026-01-14 23:00:00")
+    second = replace(first, run_date=S.RUN_DATE)
+    rows = from_sql(spark, sf_dir, CUSTOMER_DIRTY)
+    R.run_table(rows, [*RERUN, GENDER], first)
+    R.run_table(rows, list(RERUN), second)
+    return second
+
+
+@query("run_twice", RERUN_SQL)
+def run_twice(spark, sf_dir):
+    return writers.read_log(spark, run_again(spark, sf_dir).summary_target)
+
+
+@query("run_detail", LAYERED.format(detail_sql(RERUN)))
+def run_detail(spark, sf_dir):
+    return writers.read_log(spark, run_again(spark, sf_dir).detail_target)
+
+
+@query("run_after_crash", RERUN_SQL)
+def run_after_crash(spark, sf_dir):
+    """A run, then one that fails once its details are written and before its summary is: both logs are as before."""
+    settings = new_settings(spark)
+    rows = from_sql(spark, sf_dir, CUSTOMER_DIRTY)
+    R.run_table(rows, list(RERUN), settings)
+    before = writers.read_log(spark, settings.detail_target).count()
+    check = customer_check(spark, sf_dir, [GENDER])
+    broken = check.summary("bronze").withColumn("value", F.raise_error(F.lit("lost")).cast("double"))
+    run = R.run_id(ABOUT, list(RERUN), settings)
+    try:
+        writers.publish_run(run, {settings.detail_target: check.detail("bronze"), settings.summary_target: broken})
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    if writers.read_log(spark, settings.detail_target).count() != before:
+        raise ValueError("the failed run left details")
+    return writers.read_log(spark, settings.summary_target)
+
+
+@query("run_isolation", RERUN_SQL)
+def run_isolation(spark, sf_dir):
+    """Rules that cannot run, for a missing column or a missing reference table, do not disturb the others."""
+    settings = new_settings(spark)
+    bad = [build("DQ_001", "no_such_column", **ABOUT), build("DQ_003", "name_raw", reference=Reference("no_such_table", ("c",)), **ABOUT)]
+    statuses = R.run_table(from_sql(spark, sf_dir, CUSTOMER_DIRTY), [bad[0], SEGMENT, bad[1], EMAIL], settings)
+    if [s.passed for s in statuses] != [False, False, True, True]:
+        raise ValueError(f"unexpected statuses: {statuses}")
+    return writers.read_log(spark, settings.summary_target)
+
+
+@query(
+    "job_log",
+    """select 'segment ' || c_mktsegment as Notebook_Name, cast(null as varchar) as Pipeline_Name, 'bronze' as Layer,
+ 'services' as System, '' as Sub_System, '2026-01-15' as Run_Date, timestamp '2026-01-15 08:00:00' as Execution_Start_Time,
+ timestamp '2026-01-15 09:00:00' as Execution_End_Time, case when min(c_acctbal) < 0 then 'Failed' else 'Success' end as Status,
+ 'customers = ' || count(*) as Details, cast(null as varchar) as Error_Message from customer group by c_mktsegment""",
+)
+def job_log(spark, sf_dir):
+    """One logged job per market segment: Running first, then the outcome in the same row."""
+    target = new_path(spark, "jobs")
+    started, ended = datetime(2026, 1, 15, 8), datetime(2026, 1, 15, 9)
+    counts = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.min("c_acctbal").alias("least"))
+    for segment, n, least in counts.collect():
+        job = {"Notebook_Name": f"segment {segment}", "Layer": "bronze", "System": "services", "Run_Date": "2026-01-15"}
+        R.log_job(spark, target, job, "Running", "Execution started.", started)
+        R.log_job(spark, target, job, "Failed" if least < 0 else "Success", f"customers = {n}", started, ended)
+    return writers.read(spark, target)
+
+
+@query("catalog_table", "select l_orderkey, l_linenumber, l_returnflag from lineitem")
+def catalog_table(spark, sf_dir):
+    """A table of the catalog, overwritten in one change, read by its name."""
+    name = f"lines_{new_path(spark, 'x')[-12:]}"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    writers.create_if_absent(lines, name)
+    writers.overwrite(lines.limit(10), name)
+    writers.overwrite(lines, name)
+    return read_table(spark, f"default.{name}")

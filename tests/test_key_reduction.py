@@ -83,8 +83,7 @@ def brute(rows):
     }
 
 
-@pytest.mark.parametrize("limit", [SizeLimit(), NONE])
-@pytest.mark.parametrize("fixed", [True, False])
+@pytest.mark.parametrize("limit,fixed", [(SizeLimit(), False), (NONE, True)])
 def test_shared_rules(world, limit, fixed):
     rows, df, tables = world
     slices = (20240101, 2020) if fixed else (None, None)
