@@ -16,11 +16,14 @@ from ..conditions import Sql
 from ..functions.predicates import holds_or_false
 from ..functions.text import named
 from ..rules import Calculation
+from . import selection
 from .joins import ROWS
 
 #: Per lower-case column name, the column that holds the value in its own type, and that type.
 Typed = Mapping[str, tuple[str, str]]
 NUMERIC = ("sum", "avg", "mean", "stddev", "stddev_samp", "stddev_pop", "variance", "var_samp", "var_pop")
+#: Computed by ranks over counted values (``selection``) and not by an aggregate that would hold a group.
+SELECTED = ("median", "percentile", "mode")
 MEMBER_FUNCTIONS = ("collect_list", "collect_set", "array_agg", "listagg", "string_agg")
 
 
@@ -30,6 +33,8 @@ def aggregate_column(calc: Calculation, thresholds: Mapping | None = None, typed
     Sums of columns that ``typed`` names as whole or decimal are exact; other numbers are added as doubles.
     """
     typed = typed or {}
+    if is_selected(calc):
+        raise ValueError(f"{calc.function} is found by group_facts, not by one aggregate")
     function = calc.function.strip().lower()
     if function in MEMBER_FUNCTIONS:
         raise ValueError(
@@ -100,10 +105,41 @@ def group_facts(
     thresholds: Mapping | None = None,
     typed: Typed | None = None,
 ) -> DataFrame:
-    """One row per key: the aggregates and ``__n``, the number of rows behind the key."""
+    """One row per key: the aggregates and ``__n``, the number of rows behind the key.
+
+    Quantiles and modes are found on their own, without a group in one task, and joined.
+    """
     grouped = rows.groupBy(*[value.alias(name) for name, value in keys.items()])
-    columns = [aggregate_column(c, thresholds, typed) for c in calculations]
-    return grouped.agg(F.count(F.lit(1)).alias(ROWS), *columns)
+    columns = [aggregate_column(c, thresholds, typed) for c in calculations if not is_selected(c)]
+    facts = grouped.agg(F.count(F.lit(1)).alias(ROWS), *columns)
+    for calc in calculations:
+        if is_selected(calc):
+            found = selected_facts(rows, keys, calc, thresholds, typed)
+            other = [f"{k}_s" for k in keys]
+            found = found.withColumnsRenamed(dict(zip(keys, other)))
+            facts = facts.join(found, selection.same_keys(list(keys), other), "left").drop(*other)
+    return facts.select(*keys, ROWS, *[named(c.alias) for c in calculations])
+
+
+def is_selected(calc: Calculation) -> bool:
+    return calc.function.strip().lower() in SELECTED
+
+
+def selected_facts(
+    rows: DataFrame, keys: Mapping[str, Column], calc: Calculation, thresholds: Mapping | None, typed: Typed | None
+) -> DataFrame:
+    """The quantile or mode of each group: the keys and the value under its name."""
+    function, chosen = calc.function.strip().lower(), rows
+    if calc.where is not None:
+        chosen = rows.where(_chosen(calc, thresholds, typed or {}))
+    shown = [value.alias(name) for name, value in keys.items()]
+    if function == "mode":
+        return selection.group_modes(chosen.select(*shown, named(calc.column).alias("__value")), list(keys), "__value", calc.alias)
+    number = F.trim(named(calc.column).cast("string")).try_cast("double").alias("__value")
+    point = 0.5 if function == "median" else calc.at
+    if point is None or not 0 <= point <= 1:
+        raise ValueError(f"{calc.alias}: a percentile needs its place, at=0 to 1")
+    return selection.group_quantiles(chosen.select(*shown, number), list(keys), "__value", {calc.alias: point})
 
 
 def counted_groups(rows: DataFrame, keys: Mapping[str, Column], slices: Sequence[str]) -> DataFrame:

@@ -24,7 +24,7 @@ from ..conditions import Sql, renamed
 from ..functions.predicates import holds_or_false
 from ..functions.text import named
 from ..rules import Calculation
-from .groups import Typed, aggregate_column, number_of
+from .groups import Typed, aggregate_column, is_selected, number_of
 from .joins import ROWS
 
 RULE = "__rule"
@@ -50,7 +50,9 @@ class KeyTask:
 
 
 def shareable(calculations: Sequence[Calculation], sliced: bool) -> bool:
-    """Whether the aggregates can be computed here: any without slices, mergeable ones with them."""
+    """Whether the aggregates can be computed here: any plain ones without slices, mergeable ones with them."""
+    if any(is_selected(c) for c in calculations):
+        return False
     return not sliced or all(c.function.strip().lower() in MERGEABLE for c in calculations)
 
 

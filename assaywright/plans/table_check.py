@@ -589,6 +589,10 @@ class TableCheck:
         applicable = self._applicable(rows, rule)
         thresholds = dict(rule.thresholds)
         if not spec.group_by:
+            if any(groups.is_selected(c) for c in spec.calculations):
+                facts = groups.group_facts(applicable, {"__whole": F.lit(1)}, spec.calculations, thresholds, self._typed)
+                facts = stored(facts, self._paths)
+                return rows.withColumns({c.alias: facts.select(named(c.alias)).scalar() for c in spec.calculations})
             whole = applicable.agg(*[groups.aggregate_column(c, thresholds, self._typed) for c in spec.calculations])
             return rows.withColumns(
                 {c.alias: whole.select(named(c.alias)).scalar() for c in spec.calculations}

@@ -31,7 +31,7 @@ class Enrich:
 class Calculation:
     """One aggregate.  ``where`` limits the rows it sees (a group without any gives NULL).
 
-    ``order_by`` makes ``first`` / ``last`` deterministic.
+    ``order_by`` makes ``first`` / ``last`` deterministic; ``at`` (0 to 1) is the place of a ``percentile``.
     """
 
     function: str
@@ -39,6 +39,7 @@ class Calculation:
     alias: str
     where: object | None = None
     order_by: str | None = None
+    at: float | None = None
 
 
 @dataclass(frozen=True)

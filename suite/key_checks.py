@@ -322,3 +322,47 @@ add(
     lambda s, d: key_check(s, d).detail().select("rule_id", "attribute_name", "value1", "value2", "value", "rule_violation_details"),
     " union all ".join(f"({key_detail_sql(*part)})" for part in zip(KEY_RULES, KEY_TESTS, KEY_TEXTS)),
 )
+
+
+# -- exact quantiles and modes; one group holds a third of all rows ------------------------------
+
+MIXED = "select *, case when l_orderkey % 3 = 0 then 'third' else cast(l_suppkey as string) end as bunch from {lineitem}"
+
+
+def add_selection(name, value, *calculations):
+    """The fact per group, and a rule on it."""
+    def run(spark, sf_dir):
+        return group_facts(as_text(from_sql(spark, sf_dir, MIXED)), {"bunch": named("bunch")}, calculations).withColumnRenamed("__n", "lines")
+
+    add(name, run, f"select bunch, count(*) as lines, {value} from ({duck(MIXED)}) m group by bunch")
+
+
+add_selection(
+    "group_median", "median(l_extendedprice) as middle, median(l_discount) filter (where l_returnflag = 'R') as returned",
+    Calculation("median", "l_extendedprice", "middle"), Calculation("median", "l_discount", "returned", where=Compare("l_returnflag", "=", "R")),
+)
+add_selection(
+    "group_percentile", "quantile_cont(l_quantity, 0.875) as high, quantile_cont(l_extendedprice, 0.25) as low, max(l_shipdate)::varchar as latest",
+    Calculation("percentile", "l_quantity", "high", at=0.875), Calculation("percentile", "l_extendedprice", "low", at=0.25),
+    Calculation("max", "l_shipdate", "latest"),
+)
+
+
+@query(
+    "group_mode",
+    f"""select bunch, lines, v as usual from (select *, row_number() over (partition by bunch order by n desc, v) as rn,
+ cast(sum(n) over (partition by bunch) as bigint) as lines from (select bunch, cast(l_partkey as varchar) as v, count(*) as n
+ from ({duck(MIXED)}) m group by 1, 2) c) r where rn = 1""",
+)
+def group_mode(spark, sf_dir):
+    rows = as_text(from_sql(spark, sf_dir, MIXED))
+    return group_facts(rows, {"bunch": named("bunch")}, (Calculation("mode", "l_partkey", "usual"),)).withColumnRenamed("__n", "lines")
+
+
+add_key_check(
+    "median_having", LINES, "l_orderkey", "l_suppkey",
+    Rule("R_median", ("l_suppkey",), aggregations=(GroupAggregate(("l_suppkey",), (Calculation("median", "l_quantity", "middle"),)),),
+         having=Compare("middle", ">", 25.5)),
+    "middle > 25.5", S.quoted("Condition violated: middle > 25.5"),
+    source="select *, median(l_quantity) over (partition by l_suppkey) as middle from {lineitem}",
+)
