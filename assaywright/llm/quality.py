@@ -3,11 +3,18 @@
 Two histograms of a document, of its character classes and of common words, are
 compared with the references of every language by Jensen-Shannon distance
 (base 2, 0 to 1).  A document is kept if it is close to some language in both.
-Close in words means closer than a text without any common word, by a margin: the
-limit of a language is ``word_margin`` of that text's distance from its reference,
-and ``word_distance`` at most.
-Texts below the minimum length are not judged by divergence, as their
-histograms say little.
+Close means no farther than ordinary documents of the language and of about the
+same length are: the shorter a text, the noisier its word shares.  For every
+language and length band the distances of all its documents to their own
+reference are counted in a histogram, and the limit is the median plus
+``spread`` times the distance from the tenth percentile to the median, which junk
+among the documents hardly moves.  It is not set below ``word_least`` of the
+distance of a text without any common word.  Where it would come near to that
+distance (``word_margin``), words cannot tell such a text from a plain one, and the
+band is not judged by words.  The limit in character classes is likewise, and
+``char_distance`` at least.  Bands with few documents of a language use those of
+all languages; with few of any, words are not judged below ``sure_words`` words.
+Texts below the minimum length are not judged by divergence at all.
 
 References are the mean histograms of all documents of a language that pass the
 base rules; its common words are the most frequent by document count over all
@@ -22,7 +29,7 @@ are judged one by one.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -36,6 +43,8 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 PUNCTUATION = ".,;:!?\"'()-"
 SCALE = 1_000_000
+#: Bins of a histogram of distances from 0 to 1.
+BINS = 1000
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 VERDICT = f"struct<{BASE.replace(' ', ':').replace(',:', ',')},kept:boolean,char_distance:double,word_distance:double>"
 
@@ -47,6 +56,11 @@ class Limits:
     char_distance: float = 0.3
     word_distance: float = 0.6
     word_margin: float = 0.95
+    word_least: float = 0.6
+    spread: float = 4.0
+    bands: tuple[int, ...] = (100, 200, 400, 800, 1600)
+    band_documents: int = 20
+    sure_words: int = 200
     least_words: int = 50
     least_chars: int = 200
     common_words: int = 50
@@ -54,12 +68,17 @@ class Limits:
 
 @dataclass(frozen=True)
 class References:
-    """Languages, the common words of all of them, and one row of class and word shares per language."""
+    """Languages, the common words of all of them, and one row of class and word shares per language.
+
+    ``usual_chars`` and ``usual_words``: per language and length band, how far ordinary documents are (NaN: too few to say).
+    """
 
     languages: tuple[str, ...]
     words: tuple[bytes, ...]
     classes: np.ndarray
     shares: np.ndarray
+    usual_chars: np.ndarray | None = None
+    usual_words: np.ndarray | None = None
 
 
 def _class_table() -> np.ndarray:
@@ -133,15 +152,15 @@ def base_values(text: str | None) -> tuple[int, int, int, int, int, bool]:
     )
 
 
-def histograms(text: str, slots: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the character classes, and of the common words with all other words last."""
+def histograms(text: str, slots: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Shares of the character classes, and of the common words with all other words last; the number of words."""
     raw = text.encode()
     classes = np.bincount(np.frombuffer(raw, dtype=np.uint8), minlength=256) @ CLASSES
     words = raw.lower().translate(_TO_GAP).split()
     rest = len(slots)
     found = np.fromiter((slots.get(w, rest) for w in words), dtype=np.int64, count=len(words))
     counts = np.bincount(found, minlength=rest + 1)
-    return classes / max(1, classes.sum()), counts / max(1, len(words))
+    return classes / max(1, classes.sum()), counts / max(1, len(words)), len(words)
 
 
 def distances(share: np.ndarray, references: np.ndarray) -> np.ndarray:
@@ -156,11 +175,77 @@ def distances(share: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(both, 0.0, 1.0))
 
 
-def word_limits(reference: References, limits: Limits) -> np.ndarray:
-    """Per language, the distance in words up to which a text is close."""
+def band_of(words: int, limits: Limits) -> int:
+    return sum(words >= edge for edge in limits.bands)
+
+
+def _without_common_words(reference: References) -> np.ndarray:
+    """Per language, the distance of a text without any common word."""
     without = np.zeros(len(reference.words) + 1)
     without[-1] = 1.0
-    return np.minimum(limits.word_distance, limits.word_margin * distances(without, reference.shares))
+    return distances(without, reference.shares)
+
+
+def word_limits(reference: References, limits: Limits) -> np.ndarray:
+    """Per language and length band, the distance in words up to which a text is close."""
+    most = np.minimum(limits.word_distance, limits.word_margin * _without_common_words(reference))[:, None]
+    least = np.minimum(most, limits.word_least * _without_common_words(reference)[:, None])
+    usual = np.full((len(most), len(limits.bands) + 1), np.nan) if reference.usual_words is None else reference.usual_words
+    return np.where(np.isnan(usual), most, np.clip(usual, least, most))
+
+
+def words_judged(reference: References, limits: Limits) -> np.ndarray:
+    """Per language and length band, whether words tell a plain text from one without common words."""
+    most = np.minimum(limits.word_distance, limits.word_margin * _without_common_words(reference))[:, None]
+    sure = np.array([edge >= limits.sure_words for edge in (0, *limits.bands)])[None, :]
+    usual = np.full((len(most), len(limits.bands) + 1), np.nan) if reference.usual_words is None else reference.usual_words
+    return np.where(np.isnan(usual), sure, usual <= most)
+
+
+def char_limits(reference: References, limits: Limits) -> np.ndarray:
+    usual = np.full((len(reference.languages), len(limits.bands) + 1), np.nan) if reference.usual_chars is None else reference.usual_chars
+    return np.fmax(limits.char_distance, usual)
+
+
+def usual_distances(rows: DataFrame, reference: References, limits: Limits) -> References:
+    """The references with how far documents of each language and length band are from their own reference.
+
+    Distances are counted in histograms of ``BINS`` bins per task, which add up exactly.
+    """
+    slots = {w: i for i, w in enumerate(reference.words)}
+    at = {lang: i for i, lang in enumerate(reference.languages)}
+    shape = (len(at), len(limits.bands) + 1, 2, BINS)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(shape, dtype=np.int64)
+        for batch in batches:
+            for lang, text in zip(batch["lang"], batch["text"]):
+                if lang not in at or len(text) < limits.least_chars:
+                    continue
+                classes, shares, words = histograms(text, slots)
+                if words < limits.least_words:
+                    continue
+                i, band = at[lang], band_of(words, limits)
+                for kind, share, own in ((0, classes, reference.classes), (1, shares, reference.shares)):
+                    counts[i, band, kind, min(BINS - 1, int(distances(share, own[i : i + 1])[0] * BINS))] += 1
+        found = np.argwhere(counts)
+        yield pd.DataFrame(found, columns=["lang", "band", "kind", "bin"]).assign(n=counts[tuple(found.T)])
+
+    found = rows.mapInPandas(counted, "lang int, band int, kind int, bin int, n long")
+    counts = np.zeros(shape, dtype=np.int64)
+    for r in found.groupBy("lang", "band", "kind", "bin").agg(F.sum("n").alias("n")).collect():
+        counts[r.lang, r.band, r.kind, r.bin] = r.n
+    few = counts.sum(axis=3, keepdims=True) < limits.band_documents
+    counts = np.where(few, counts.sum(axis=0, keepdims=True), counts)
+    total = counts.sum(axis=3)
+    running = counts.cumsum(axis=3)
+
+    def quantile(share: float) -> np.ndarray:
+        return (running < np.ceil(share * total)[..., None]).sum(axis=3) / BINS
+
+    usual = quantile(0.5) + limits.spread * (quantile(0.5) - quantile(0.1)) + 1 / BINS
+    usual = np.where(total < limits.band_documents, np.nan, usual)
+    return replace(reference, usual_chars=usual[:, :, 0], usual_words=usual[:, :, 1])
 
 
 def common_words(docs: DataFrame, limits: Limits, text: str = "text", language: str = "lang") -> list[tuple[str, str]]:
@@ -186,13 +271,14 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", language: st
             for lang, value in zip(batch["lang"], batch["text"]):
                 if base_values(value)[-1]:
                     continue
-                both = np.concatenate([[1.0], *histograms(value, slots)])
+                both = np.concatenate([[1.0], *histograms(value, slots)[:2]])
                 sums[lang] = sums.get(lang, 0) + np.rint(both * SCALE).astype(np.int64)
         for lang, values in sums.items():
             yield pd.DataFrame({"lang": lang, "slot": np.arange(len(values)), "value": values})
 
     rows = docs.select(F.col(f"`{language}`").alias("lang"), F.col(f"`{text}`").alias("text"))
-    rows = rows.where("lang is not null and text is not null").mapInPandas(summed, "lang string, slot int, value long")
+    known = rows.where("lang is not null and text is not null")
+    rows = known.mapInPandas(summed, "lang string, slot int, value long")
     totals = rows.groupBy("lang", "slot").agg(F.sum("value").alias("value")).orderBy("lang", "slot").collect()
     languages = tuple(dict.fromkeys(r.lang for r in totals))
     if not languages:
@@ -200,13 +286,15 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", language: st
     sums = np.array([r.value for r in totals], dtype=np.float64).reshape(len(languages), -1)
     means = sums[:, 1:] / sums[:, :1]
     width = CLASSES.shape[1]
-    return References(languages, words, means[:, :width], means[:, width:])
+    found = References(languages, words, means[:, :width], means[:, width:])
+    return usual_distances(known, found, limits)
 
 
 def judge(reference: References | None, limits: Limits):
     """A pandas UDF from text to base values, verdict and the distances to the nearest language."""
     slots = {w: i for i, w in enumerate(reference.words)} if reference else {}
-    most = word_limits(reference, limits) if reference else None
+    if reference:
+        most_words, most_chars, told = word_limits(reference, limits), char_limits(reference, limits), words_judged(reference, limits)
 
     @F.pandas_udf(VERDICT)
     def verdict(texts: pd.Series) -> pd.DataFrame:
@@ -215,12 +303,15 @@ def judge(reference: References | None, limits: Limits):
             base = base_values(text)
             kept, char, word = not base[-1], None, None
             if reference and base[0] >= limits.least_words and len(text) >= limits.least_chars:
-                classes, shares = histograms(text, slots)
+                classes, shares, n = histograms(text, slots)
+                band = band_of(n, limits)
                 chars = distances(classes, reference.classes)
                 words = distances(shares, reference.shares)
-                near = np.argmin(np.maximum(chars / limits.char_distance, words / np.maximum(most, 1e-9)))
+                beyond = np.where(told[:, band], words / np.maximum(most_words[:, band], 1e-9), 0.0)
+                beyond = np.maximum(beyond, chars / most_chars[:, band])
+                near = np.argmin(beyond)
                 char, word = float(chars[near]), float(words[near])
-                kept = kept and char <= limits.char_distance and word <= float(most[near])
+                kept = kept and bool(beyond[near] <= 1.0)
             out.append((*base, kept, char, word))
         return pd.DataFrame(out, columns=[*(c.split()[0] for c in BASE.split(", ")), "kept", "char_distance", "word_distance"])
 

@@ -57,7 +57,8 @@ def test_simhash(odd, docs_of):
     want = [(d, f"{p:016x}", ids[g]) for (d, _), p, g in zip(texts, prints, group)]
     assert sorted(rows(got), key=key) == sorted(want, key=key)
     left = simhash.without_near_duplicates(odd)
-    assert left.columns == odd.columns and Counter(r["doc_id"] for r in left.collect()) == Counter(set(ids.values()))
+    # One row per group: two groups may share the smallest id.
+    assert left.columns == odd.columns and Counter(r["doc_id"] for r in left.collect()) == Counter(ids.values())
     assert simhash.report(docs_of((1, "a")).where("false")).count() == 0
 
 
