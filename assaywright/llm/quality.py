@@ -6,12 +6,13 @@ compared with the references of every language by Jensen-Shannon distance
 Close means no farther than ordinary documents of the language and of about the
 same length are: the shorter a text, the noisier its word shares.  For every
 language and length band the distances of all its documents to their own
-reference are counted in a histogram, and the limit is the median plus
+reference (within a band brought to the same length by the square root of it) are
+counted in a histogram, and the limit is the median plus
 ``spread`` times the distance from the tenth percentile to the median, which junk
-among the documents hardly moves.  It is not set below ``word_least`` of the
-distance of a text without any common word.  Where it would come near to that
-distance (``word_margin``), words cannot tell such a text from a plain one, and the
-band is not judged by words.  The limit in character classes is likewise, and
+among the documents hardly moves.  In words it is not set below ``word_least`` of
+``word_margin`` of the distance of a text without any common word (by default, it
+is just that margin).  Where ordinary documents reach beyond the margin, words
+cannot tell such a text from a plain one, and the band is not judged by words.  The limit in character classes is likewise, and
 ``char_distance`` at least.  Bands with few documents of a language use those of
 all languages; with few of any, words are not judged below ``sure_words`` words.
 Texts below the minimum length are not judged by divergence at all.
@@ -56,7 +57,7 @@ class Limits:
     char_distance: float = 0.3
     word_distance: float = 0.6
     word_margin: float = 0.95
-    word_least: float = 0.6
+    word_least: float = 1.0
     spread: float = 4.0
     bands: tuple[int, ...] = (100, 200, 400, 800, 1600)
     band_documents: int = 20
@@ -70,7 +71,8 @@ class Limits:
 class References:
     """Languages, the common words of all of them, and one row of class and word shares per language.
 
-    ``usual_chars`` and ``usual_words``: per language and length band, how far ordinary documents are (NaN: too few to say).
+    ``usual_chars`` and ``usual_words``: per language and length band, how far ordinary documents at the band's lower
+    edge are (NaN: too few to say).
     """
 
     languages: tuple[str, ...]
@@ -186,19 +188,30 @@ def _without_common_words(reference: References) -> np.ndarray:
     return distances(without, reference.shares)
 
 
-def word_limits(reference: References, limits: Limits) -> np.ndarray:
+def stretch(words: int, limits: Limits) -> float:
+    """By what a text's word distance is multiplied to be as that of a text at the lower edge of its band.
+
+    Noise in shares falls with the square root of the length; what does not is not stretched beyond one doubling.
+    """
+    edge = (limits.least_words, *limits.bands)[band_of(words, limits)]
+    return float(np.sqrt(min(2.0, max(1.0, words / edge))))
+
+
+def word_limits(reference: References, limits: Limits, stretched: float = 1.0, without: np.ndarray | None = None) -> np.ndarray:
     """Per language and length band, the distance in words up to which a text is close."""
-    most = np.minimum(limits.word_distance, limits.word_margin * _without_common_words(reference))[:, None]
-    least = np.minimum(most, limits.word_least * _without_common_words(reference)[:, None])
-    usual = np.full((len(most), len(limits.bands) + 1), np.nan) if reference.usual_words is None else reference.usual_words
+    without = _without_common_words(reference) if without is None else without
+    most = np.minimum(limits.word_distance, limits.word_margin * without)[:, None]
+    least = limits.word_least * most
+    usual = np.full((len(most), len(limits.bands) + 1), np.nan) if reference.usual_words is None else reference.usual_words / stretched
     return np.where(np.isnan(usual), most, np.clip(usual, least, most))
 
 
-def words_judged(reference: References, limits: Limits) -> np.ndarray:
+def words_judged(reference: References, limits: Limits, stretched: float = 1.0, without: np.ndarray | None = None) -> np.ndarray:
     """Per language and length band, whether words tell a plain text from one without common words."""
-    most = np.minimum(limits.word_distance, limits.word_margin * _without_common_words(reference))[:, None]
+    without = _without_common_words(reference) if without is None else without
+    most = np.minimum(limits.word_distance, limits.word_margin * without)[:, None]
     sure = np.array([edge >= limits.sure_words for edge in (0, *limits.bands)])[None, :]
-    usual = np.full((len(most), len(limits.bands) + 1), np.nan) if reference.usual_words is None else reference.usual_words
+    usual = np.full((len(most), len(limits.bands) + 1), np.nan) if reference.usual_words is None else reference.usual_words / stretched
     return np.where(np.isnan(usual), sure, usual <= most)
 
 
@@ -226,8 +239,9 @@ def usual_distances(rows: DataFrame, reference: References, limits: Limits) -> R
                 if words < limits.least_words:
                     continue
                 i, band = at[lang], band_of(words, limits)
-                for kind, share, own in ((0, classes, reference.classes), (1, shares, reference.shares)):
-                    counts[i, band, kind, min(BINS - 1, int(distances(share, own[i : i + 1])[0] * BINS))] += 1
+                longer = stretch(words, limits)
+                for kind, share, own, by in ((0, classes, reference.classes, 1.0), (1, shares, reference.shares, longer)):
+                    counts[i, band, kind, min(BINS - 1, int(distances(share, own[i : i + 1])[0] * by * BINS))] += 1
         found = np.argwhere(counts)
         yield pd.DataFrame(found, columns=["lang", "band", "kind", "bin"]).assign(n=counts[tuple(found.T)])
 
@@ -294,7 +308,7 @@ def judge(reference: References | None, limits: Limits):
     """A pandas UDF from text to base values, verdict and the distances to the nearest language."""
     slots = {w: i for i, w in enumerate(reference.words)} if reference else {}
     if reference:
-        most_words, most_chars, told = word_limits(reference, limits), char_limits(reference, limits), words_judged(reference, limits)
+        most_chars, without = char_limits(reference, limits), _without_common_words(reference)
 
     @F.pandas_udf(VERDICT)
     def verdict(texts: pd.Series) -> pd.DataFrame:
@@ -307,7 +321,9 @@ def judge(reference: References | None, limits: Limits):
                 band = band_of(n, limits)
                 chars = distances(classes, reference.classes)
                 words = distances(shares, reference.shares)
-                beyond = np.where(told[:, band], words / np.maximum(most_words[:, band], 1e-9), 0.0)
+                longer = stretch(n, limits)
+                most, told = (f(reference, limits, longer, without)[:, band] for f in (word_limits, words_judged))
+                beyond = np.where(told, words / np.maximum(most, 1e-9), 0.0)
                 beyond = np.maximum(beyond, chars / most_chars[:, band])
                 near = np.argmin(beyond)
                 char, word = float(chars[near]), float(words[near])

@@ -40,6 +40,10 @@ def test_kept_against_plain_rules(spark, documents):
         classes, *_ = quality.histograms(text, {})
         return classes, [c / len(words) for c in counts] + [1 - sum(counts) / len(words)], len(words)
 
+    def longer(n):
+        edge = max(e for e in (limits.least_words, *limits.bands) if e <= n)
+        return math.sqrt(min(2, n / edge))
+
     usual: dict = {}
     shapes = {}
     for doc_id, lang, text in rows:
@@ -49,8 +53,8 @@ def test_kept_against_plain_rules(spark, documents):
         classes, shares, n = shapes[doc_id]
         if lang is not None and n >= limits.least_words and len(text) >= limits.least_chars:
             i, band = found.languages.index(lang), sum(n >= e for e in limits.bands)
-            for kind, own, ref in ((0, classes, found.classes), (1, shares, found.shares)):
-                usual.setdefault((kind, i, band), []).append(min(999, int(apart(own, ref[i]) * 1000)))
+            for kind, own, ref, by in ((0, classes, found.classes, 1), (1, shares, found.shares, longer(n))):
+                usual.setdefault((kind, i, band), []).append(min(999, int(apart(own, ref[i]) * by * 1000)))
     for kind, table in ((0, found.usual_chars), (1, found.usual_words)):
         for i in range(len(found.languages)):
             for band in range(len(limits.bands) + 1):
@@ -62,7 +66,7 @@ def test_kept_against_plain_rules(spark, documents):
                     continue
                 at = [values[math.ceil(q * len(values)) - 1] for q in (0.1, 0.5)]
                 assert abs(table[i, band] - (at[1] + limits.spread * (at[1] - at[0]) + 1) / 1000) < 0.012
-    most, chars, told = quality.word_limits(found, limits), quality.char_limits(found, limits), quality.words_judged(found, limits)
+    chars = quality.char_limits(found, limits)
     verdicts = {r["doc_id"]: r["v"] for r in documents.select("doc_id", quality.judge(found, limits)("text").alias("v")).collect()}
     judged = 0
     for doc_id, _, text in rows:
@@ -72,6 +76,7 @@ def test_kept_against_plain_rules(spark, documents):
             judged += 1
             classes, shares, n = shapes[doc_id]
             band = sum(n >= e for e in limits.bands)
+            most, told = quality.word_limits(found, limits, longer(n)), quality.words_judged(found, limits, longer(n))
             beyond = [max(apart(classes, found.classes[i]) / chars[i, band], apart(shares, found.shares[i]) / most[i, band] if told[i, band] else 0)
                       for i in range(len(found.languages))]
             if abs(min(beyond) - 1) < 1e-6:
