@@ -67,8 +67,8 @@ def group_quantiles(
         for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
             holds = (F.col("__first") <= rank) & (rank <= F.col("__last"))
             picks.append(F.max(F.when(holds, F.col(value))).alias(f"__{side}{i}"))
-        share = F.max(place - F.floor(place)).alias(f"__share{i}")
-        picks.append(share)
+        picks.append(F.max(place - F.floor(place)).alias(f"__share{i}"))
         low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
-        shown.append((low + (high - low) * F.col(f"__share{i}")).alias(name))
+        share = F.col(f"__share{i}")
+        shown.append(F.when(low == high, low).otherwise(low * (1 - share) + high * share).alias(name))
     return ranked.groupBy(*keys).agg(*picks).select(*keys, *shown)
