@@ -57,12 +57,24 @@ _STOPS = ".,;:!?"
 _EMPTY = np.zeros(0, dtype="<u4")
 
 
+def _parts(piece: str) -> list[str]:
+    out = []
+    for i, line in enumerate(_LINE_END.split(piece)):
+        if i:
+            out.append("\n")
+        head = line.rstrip(_STOPS)
+        out += [head, line[len(head) :]] if len(head) < len(line) and head[-1:] in _LETTERS else [line]
+    return out
+
+
 class PieceEncoder:
     """The tokenizer's ids of texts, encoding each distinct piece once.
 
     A text is cut before a single space between two plain characters: byte-level pre-tokenisation always starts a piece there, so the
     pieces' ids, one after another, are the text's ids.  So it does at a single line
     end between plain characters and between a letter and closing punctuation.
+    Strings of the tokenizer's special tokens within a text become these tokens, as
+    the library has it; no cut falls within one.
     The memory of pieces is emptied when it holds ``most`` of them.
     """
 
@@ -71,22 +83,14 @@ class PieceEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        for added in self.tokenizer.get_added_tokens_decoder().values():
+            if added.lstrip or added.rstrip or added.single_word or _parts(added.content) != [added.content] or " " in added.content:
+                raise ValueError(f"pieces would cut the added token {added.content!r}")
         self.most = most
         self.known: dict[str, bytes] = {}
 
-    @staticmethod
-    def _parts(piece: str) -> list[str]:
-        out = []
-        for i, line in enumerate(_LINE_END.split(piece)):
-            if i:
-                out.append("\n")
-            head = line.rstrip(_STOPS)
-            out += [head, line[len(head) :]] if len(head) < len(line) and head[-1:] in _LETTERS else [line]
-        return out
-
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        cut = [(p,) if p in self.known else self._parts(p) for p in pieces]
+        cut = [(p,) if p in self.known else _parts(p) for p in pieces]
         new = list({p for parts in cut for p in parts if p not in self.known})
         if len(self.known) + len(new) > self.most:
             self.known.clear()
