@@ -149,7 +149,9 @@ def _insert_dynamic(df: DataFrame, target: str) -> None:
         conf.set(key, before)
 
 
-def publish_run(run: str, frames: dict[str, DataFrame], rows_per_file: int = 2_000_000) -> None:
+def publish_run(
+    run: str, frames: dict[str, DataFrame], rows_per_file: int = 2_000_000, partitions: Sequence[str] = LOG_PARTITIONS
+) -> None:
     """Write the results of one run to several logs and publish them together.
 
     Each frame is written to a folder of its own first; one commit then makes all
@@ -161,12 +163,12 @@ def publish_run(run: str, frames: dict[str, DataFrame], rows_per_file: int = 2_0
         for target, df in frames.items():
             _refuse_streamed(spark, target)
             if not _is_path(target):
-                create_if_absent(df, target, LOG_PARTITIONS)
+                create_if_absent(df, target, partitions)
                 df = df.select(*spark.table(target).columns)
             folder = new_path(spark, "staged")
             staged[location(spark, target)] = folder
-            writer = sized_files(df).write.partitionBy(*LOG_PARTITIONS).option("maxRecordsPerFile", rows_per_file)
-            writer.parquet(folder)
+            writer = sized_files(df).write.partitionBy(*partitions) if partitions else df.coalesce(1).write
+            writer.option("maxRecordsPerFile", rows_per_file).parquet(folder)
         commit.replace_run(spark, run, staged)
     finally:
         release(spark, [folder for root, folder in staged.items() if not _pending(spark, root)])
