@@ -201,10 +201,32 @@ def null_safe_anti(
 
 
 def insert_if_absent(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], limit: SizeLimit | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    limit: SizeLimit | None = None,
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """The source rows to append: one per key, and only keys the target does not hold."""
-    return null_safe_anti(one_per_key(source, keys), target, keys, limit).select(*target.columns)
+    """The source rows to append: one per key, and only keys the target does not hold.
+
+    The target is first reduced to the source's keys by a semi join, so it is
+    neither made distinct nor measured.  Source keys within the limit are
+    broadcast and the target stays where it is; beyond it the target's keys are
+    shuffled as the left side, which adaptive execution may split where a key is
+    hot and Spark may thin by a Bloom filter.  What is left has no more keys than
+    the source.  ``paths``: store the source's keys once instead of reading it again.
+    """
+    limit = limit or SizeLimit()
+    fresh = one_per_key(source, keys)
+    if paths is not None:
+        fresh = stored(fresh, paths)
+    marks = [f"__other_{i}" for i in range(len(keys))]
+    wanted = fresh.select(*[named(k).alias(m) for k, m in zip(keys, marks)])
+    few = limit.admits(wanted)
+    held = target.join(F.broadcast(wanted) if few else wanted, _same(keys, marks, True), "left_semi")
+    held = held.select(*[named(k).alias(m) for k, m in zip(keys, marks)]).distinct()
+    left = fresh.join(F.broadcast(held) if few else held, _same(keys, marks, True), "left_anti")
+    return left.select(*target.columns)
 
 
 def upsert(

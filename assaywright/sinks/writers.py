@@ -201,7 +201,11 @@ def append_absent(source: DataFrame, target: str, keys: Sequence[str]) -> None:
     """Insert rows whose (null-safe) key the target lacks; existing rows are never touched."""
     spark = source.sparkSession
     create_if_absent(source, target)
-    _save(insert_if_absent(read(spark, target), source, keys), target, "append")
+    paths: list[str] = []
+    try:
+        _save(insert_if_absent(read(spark, target), source, keys, paths=paths), target, "append")
+    finally:
+        release(spark, paths)
 
 
 def merge_upsert(source: DataFrame, target: str, keys: Sequence[str]) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaywright.operators import profile as P
+from assaywright.operators import sketches
+from assaywright.operators.storage import new_path
 
 from . import sql as S
 from .fixtures import CUSTOMER_DIRTY, ORDERS_DIRTY, duck, from_sql, table
@@ -33,11 +35,52 @@ def profile_columns(spark, sf_dir):
     return profile.withColumns(rounded).drop("approx_distinct", "quartiles")
 
 
-@query("profile_sketches")
+EXACT_DISTINCT = " union all ".join(
+    f"""select '{c}' as "column", count(distinct case when not {S.missing(c)} then trim(cast({c} as varchar)) end)
+ as distinct_values from ({ORDERS}) o"""
+    for c in PROFILED
+)
+WITHIN = f"""select "column", distinct_values, true as distinct_within_bound, true as quartiles_within_bound
+ from ({EXACT_DISTINCT}) d"""
+
+
+def within(orders, profile, distinct_error, rank_error):
+    """Sketched measures next to exact ones: whether each is within its bound."""
+    estimates = profile.select("column", "approx_distinct", "quartiles")
+    exact = P.distinct_counts(orders, PROFILED)
+    found = estimates.join(exact, "column").join(sketches.rank_errors(orders, estimates), "column")
+    off = F.abs(F.col("approx_distinct") - F.col("distinct_values"))
+    return found.select(
+        "column",
+        "distinct_values",
+        (off <= F.col("distinct_values") * distinct_error).alias("distinct_within_bound"),
+        (F.col("rank_error") <= rank_error).alias("quartiles_within_bound"),
+    )
+
+
+@query("profile_sketches", WITHIN)
 def profile_sketches(spark, sf_dir):
-    """Approximate distinct counts and quartiles: rows only, since sketches differ between engines."""
-    profile = P.column_profile(from_sql(spark, sf_dir, ORDERS_DIRTY), PROFILED)
-    return profile.select("column", "approx_distinct", "quartiles")
+    """Approximate distinct counts within three times their standard error of 5 %, quartiles within 1 / accuracy."""
+    orders = from_sql(spark, sf_dir, ORDERS_DIRTY)
+    return within(orders, P.column_profile(orders, PROFILED), 0.15, 1e-4)
+
+
+@query(
+    "profile_merged",
+    f"""select p."column", rows, missing, min_text, max_text, min_length, max_length, numbers, min_number, max_number,
+ mean, stddev, distinct_values, distinct_within_bound, quartiles_within_bound
+ from ({" union all ".join(f"({profile_sql(c)})" for c in PROFILED)}) p join ({WITHIN}) w on p."column" = w."column\"""",
+)
+def profile_merged(spark, sf_dir):
+    """Profiles of seven batches, stored in two runs, one of them twice, and merged without the rows."""
+    orders, target = from_sql(spark, sf_dir, ORDERS_DIRTY), new_path(spark, "profile")
+    dealt = orders.withColumn("batch", F.col("o_orderkey") % 7)
+    for run, share in (("early", "batch < 3"), ("late", "batch >= 3"), ("late", "batch >= 3")):
+        sketches.store_parts(dealt.where(share), PROFILED, target, run, ["batch"])
+    profile = sketches.stored_profile(spark, target)
+    checked = within(orders, profile, sketches.DISTINCT_ERROR, sketches.RANK_ERROR)
+    rounded = {"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)}
+    return profile.withColumns(rounded).drop("approx_distinct", "quartiles").join(checked, "column")
 
 
 def counted(columns, base, expression="trim(cast({c} as varchar))") -> str:

@@ -179,6 +179,21 @@ def test_merges(frame, limit):
     assert len(replaced) == 6
 
 
+@pytest.mark.parametrize("limit", [SizeLimit(), SizeLimit(rows=1, bytes=10**6)])
+def test_insert_reads_the_target_by_the_source_keys(frame, limit, monkeypatch):
+    target = frame("k string, v int", *[("hot", i) for i in range(300)], *[(f"k{i}", i) for i in range(200)], (None, 1))
+    source = frame("k string, v int", ("hot", 1), (None, 2), ("new", 3), ("new", 4))
+    measured, whole = [], SizeLimit.after
+    monkeypatch.setattr(SizeLimit, "after", lambda self, keyed, *rest: measured.append(keyed) or whole(self, keyed, *rest))
+    inserted = insert_if_absent(target, source, ["k"], limit)
+    assert [tuple(r) for r in inserted.collect()] == [("new", 3)]
+    assert [m.count() for m in measured] == [3]  # the source's keys, not the target
+    plan = inserted._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    semi = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
+    below = plan[semi + 1]
+    assert "Aggregate" not in below  # the target goes into the semi join as it is
+
+
 def test_without_keys_splits_hot_rows(frame):
     rows = frame("k string", *[("hot",)] * 9, *[("kept",)] * 9, ("a",), ("b",), (None,))
     gone = frame("k string", ("hot",), ("a",), ("c",), ("d",))
