@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -115,6 +116,11 @@ def _hot_keys(counted: DataFrame, limit: SizeLimit, paths: list[str] | None) ->
     return kept.where(F.col(ROWS) >= hot_rows), hot_rows
 
 
+_INNER, _LEFT, _RIGHT, _FULL = "inner", "left", "right", "full"
+_KINDS = {"inner": _INNER, "left": _LEFT, "leftouter": _LEFT, "right": _RIGHT, "rightouter": _RIGHT}
+_KINDS |= {"full": _FULL, "outer": _FULL, "fullouter": _FULL}
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -124,34 +130,73 @@ def spread_join(
     shares: int = 64,
     paths: list[str] | None = None,
 ) -> DataFrame:
-    """``join_by_name`` for tables of any size, with the left side's hot keys spread over many tasks.
+    """``join_by_name`` for tables of any size, with hot keys of either side spread over many tasks.
+
+    A side that may be broadcast and is within the limit is.  Otherwise a hot key
+    becomes a grid of cells: the rows of the side on which it is hot are dealt
+    over one axis (by row content and source partition, so a rerun deals alike) and the other side's rows of that
+    key are repeated along it.  Rows with a NULL key match nothing and are dealt too.
 
-    A right side within the limit is broadcast.  Otherwise the left rows of a hot
-    key, and those with a NULL key, are dealt into shares (by row content and source partition, so a rerun
-    deals alike) and the right rows of that key are repeated once per share.
-    Right and full outer joins would repeat unmatched rows and are joined plainly.
+    Outer joins need no second pass: a key that is hot on one side has rows there,
+    so no row of the other side with that key can be without a match.  Where such a
+    row meets an empty cell it is dropped; every other row stands in one cell and is settled there.
     """
     names = {c.lower(): c for c in left.columns}
     theirs = {c.lower(): c for c in right.columns}
     on = [c.strip().lower() for c in columns] or [c for c in names if c in theirs]
-    if not on or how not in ("inner", "left", "left_outer"):
+    kind = _KINDS.get(how.lower().replace("_", ""))
+    if not on or kind is None:
         return join_by_name(left, right, how, on)
-    if limit.after(right, of_table=True) is not None:
+    if kind in (_INNER, _LEFT) and limit.after(right, of_table=True) is not None:
         return join_by_name(left, F.broadcast(right), how, on)
-    counted = left.groupBy(*[named(names[c]).alias(f"__hot_{i}") for i, c in enumerate(on)])
-    counted = counted.agg(F.count(F.lit(1)).alias(ROWS))
-    hot, _ = _hot_keys(counted, limit, paths)
-    hot = hot.withColumn("__is_hot", F.lit(True)).drop(ROWS)
-    marks = [f"__hot_{i}" for i in range(len(on))]
-    share = F.pmod(F.xxhash64(*[named(c) for c in left.columns], F.spark_partition_id()), F.lit(shares)).cast("int")
-    dealt = left.join(F.broadcast(hot), _same([names[c] for c in on], marks, False), "left")
-    unnamed = reduce(or_, [named(names[c]).isNull() for c in on])  # match nothing, so any share will do
-    dealt = dealt.withColumn("__share", F.when(F.col("__is_hot") | unnamed, share).otherwise(F.lit(0)))
-    dealt = dealt.drop("__is_hot", *marks)
-    repeated = right.join(F.broadcast(hot), _same([theirs[c] for c in on], marks, False), "left")
-    copies = F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array(F.lit(0)))
-    repeated = repeated.withColumn("__share", F.explode(copies)).drop("__is_hot", *marks)
-    return join_by_name(dealt, repeated, how, [*on, "__share"]).drop("__share")
+    if kind == _RIGHT and limit.after(left, of_table=True) is not None:
+        return join_by_name(F.broadcast(left), right, how, on)
+    hot = _hot_on_either(left, [names[c] for c in on], right, [theirs[c] for c in on], limit, paths)
+    mine = _in_cells(left, [names[c] for c in on], hot, ("__left_hot", "__i"), ("__right_hot", "__j"), shares)
+    other = _in_cells(right, [theirs[c] for c in on], hot, ("__right_hot", "__j"), ("__left_hot", "__i"), shares)
+    mine = mine.withColumn("__mine", F.lit(True)).withColumnRenamed("__elsewhere", "__mine_met")
+    other = other.withColumn("__other", F.lit(True)).withColumnRenamed("__elsewhere", "__other_met")
+    joined = join_by_name(mine, other, how, [*on, "__i", "__j"])
+    if kind in (_LEFT, _FULL):
+        joined = joined.where(F.col("__other").isNotNull() | ~F.coalesce("__mine_met", F.lit(False)))
+    if kind in (_RIGHT, _FULL):
+        joined = joined.where(F.col("__mine").isNotNull() | ~F.coalesce("__other_met", F.lit(False)))
+    return joined.drop("__i", "__j", "__mine", "__other", "__mine_met", "__other_met")
+
+
+def _hot_on_either(
+    left: DataFrame, left_keys: Sequence[str], right: DataFrame, right_keys: Sequence[str], limit: SizeLimit, paths
+) -> DataFrame:
+    """Keys hot on the left or the right, with a flag for each; each side's keys were measured to fit."""
+    marks, found = [f"__hot_{i}" for i in range(len(left_keys))], []
+    for side, keys, flags in ((left, left_keys, (True, False)), (right, right_keys, (False, True))):
+        whole = reduce(and_, [named(k).isNotNull() for k in keys])
+        counted = side.where(whole).groupBy(*[named(k).alias(m) for k, m in zip(keys, marks)])
+        hot, _ = _hot_keys(counted.agg(F.count(F.lit(1)).alias(ROWS)), limit, paths)
+        found.append(hot.select(*marks, *[F.lit(f).alias(n) for f, n in zip(flags, ("__left_hot", "__right_hot"))]))
+    flags = [F.max(n).alias(n) for n in ("__left_hot", "__right_hot")]
+    return found[0].union(found[1]).groupBy(*marks).agg(*flags)
+
+
+def _in_cells(
+    rows: DataFrame, keys: Sequence[str], hot: DataFrame, own: tuple[str, str], across: tuple[str, str], shares: int
+) -> DataFrame:
+    """Rows with their cell: dealt over the axis on which their key is hot, repeated along the other side's.
+
+    A key hot on both sides has about ``shares`` cells as well, the root of it on
+    each axis.  ``__elsewhere``: the key is hot on the other side, which so has a match.
+    """
+    (own_flag, own_axis), (other_flag, other_axis) = own, across
+    marks = [c for c in hot.columns if c not in (own_flag, other_flag)]
+    share = F.xxhash64(*[named(c) for c in rows.columns], F.spark_partition_id())
+    wide = rows.withColumn("__share", share).join(F.broadcast(hot), _same(keys, marks, False), "left")
+    is_own, is_other = (F.coalesce(F.col(flag), F.lit(False)) for flag in (own_flag, other_flag))
+    unnamed = reduce(or_, [named(k).isNull() for k in keys])
+    width = F.when(is_own & is_other, F.lit(max(1, math.isqrt(shares)))).otherwise(F.lit(shares))
+    dealt = F.when(is_own | unnamed, F.pmod(F.col("__share"), width)).otherwise(F.lit(0)).cast("int")
+    copies = F.when(is_other, F.sequence(F.lit(0), width - 1)).otherwise(F.array(F.lit(0)))
+    wide = wide.withColumns({own_axis: dealt, "__elsewhere": is_other, other_axis: copies})
+    return wide.withColumn(other_axis, F.explode(other_axis)).drop("__share", own_flag, other_flag, *marks)
 
 
 def without_keys(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from assaywright import Calculation, Compare, Enrich, GroupAggregate, OneOf, Reference, Rule, Sql
 from assaywright.catalog.builtin import build
 from assaywright.operators.groups import group_facts, group_members
-from assaywright.operators.joins import join_by_name
+from assaywright.operators.joins import SizeLimit, join_by_name, spread_join
 from assaywright.operators.reshape import distinct_rows
 from assaywright.plans.table_check import TableCheck
 from assaywright.functions.text import as_text, named
@@ -277,6 +277,27 @@ def joined_by_name(spark, sf_dir):
     return join_by_name(customers, nations)
 
 
+SKEWED = """select c_custkey, case when c_custkey % 4 < 3 then 1 when c_custkey % 40 = 3 then null else 100 + c_nationkey end
+ as area from customer"""
+
+
+@query(
+    "enriched_skewed",
+    f"""select s_suppkey, s.area as area, c.area as home, c_custkey from (select s_suppkey,
+ s_nationkey + case when s_suppkey % 2 = 0 then 100 else 0 end as area from supplier) s full join ({SKEWED}) c on s.area = c.area""",
+)
+def enriched_skewed(spark, sf_dir):
+    """Suppliers by area with the customers there, three quarters of whom have one area; both sides keep their unmatched rows."""
+    moved = F.when(F.col("s_suppkey") % 2 == 0, 100).otherwise(0)
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") + moved).alias("area"))
+    number = F.col("c_custkey")
+    area = F.when(number % 4 < 3, 1).when(number % 40 == 3, None).otherwise(100 + F.col("c_nationkey"))
+    area = area.cast(suppliers.schema["area"].dataType)
+    customers = table(spark, sf_dir, "customer").select(number, area.alias("area"), area.alias("home"))
+    met = spread_join(suppliers, customers, ["area"], "full", SizeLimit(rows=20, bytes=1 << 20, hot_rows=40))
+    return met.select("s_suppkey", "area", "home", "c_custkey")
+
+
 # -- many key rules of one table in one scan ---------------------------------------------------
 
 LINE_KEYS = ("l_orderkey", "l_linenumber")

@@ -6,6 +6,7 @@ import pytest
 from assaywright import Calculation, Compare, Enrich, GroupAggregate, Reference, Rule, Sql
 from assaywright.catalog.builtin import build
 from assaywright.operators.groups import aggregate_column, group_members
+from assaywright.operators import joins
 from assaywright.operators.joins import SizeLimit, delete_insert, insert_if_absent, join_by_name, spread_join, upsert, without_keys
 from assaywright.operators.reshape import distinct_rows
 from assaywright.plans.table_check import TableCheck
@@ -219,3 +220,32 @@ def test_spread_join_equals_a_plain_join(frame, how, limit):
     spread = spread_join(left, right, ["k"], how, limit)
     assert spread.columns == plain.columns
     assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_outer", "outer"])
+@pytest.mark.parametrize("shares", [1, 5, 64])
+def test_spread_join_with_hot_keys_on_both_sides(frame, how, shares):
+    limit = SizeLimit(rows=4, bytes=1_000_000, hot_rows=6)
+    left = frame("k string, n int", *[("both", i) for i in range(9)], *[("mine", i % 2) for i in range(8)],
+                 *[("lonely", i) for i in range(7)], ("other", 1), ("a", 2), ("b", 3), (None, 4), (None, 5))
+    right = frame("K string, v int", *[("both", i) for i in range(11)], *[("other", 7)] * 8, ("mine", 1),
+                  *[("alone", i) for i in range(7)], ("a", 3), ("a", 4), ("c", 5), (None, 6))
+    plain = join_by_name(left, right, how, ["k"])
+    spread = spread_join(left, right, ["k"], how, limit, shares)
+    assert spread.columns == plain.columns
+    assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_a_key_of_most_right_rows_is_spread(frame):
+    limit = SizeLimit(rows=4, bytes=1_000_000, hot_rows=50)
+    left = frame("k string, n int", *[("hot", i) for i in range(3)], *[(f"k{i}", i) for i in range(40)])
+    right = frame("k string, v int", *[("hot", i) for i in range(750)], *[(f"k{i}", i) for i in range(250)])
+    hot = joins._hot_on_either(left, ["k"], right, ["k"], limit, None)
+    assert [tuple(r) for r in hot.collect()] == [("hot", False, True)]
+    dealt = joins._in_cells(right, ["k"], hot, ("__right_hot", "__j"), ("__left_hot", "__i"), 16)
+    cells = dealt.where("k = 'hot'").groupBy("__i", "__j").count().collect()
+    assert len(cells) == 16 and sum(c["count"] for c in cells) == 750 and max(c["count"] for c in cells) < 150
+    repeated = joins._in_cells(left, ["k"], hot, ("__left_hot", "__i"), ("__right_hot", "__j"), 16)
+    assert repeated.where("k = 'hot'").count() == 3 * 16 and repeated.where("k <> 'hot'").count() == 40
+    plan = spread_join(left, right, ["k"], "full", limit, 16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join FullOuter" in plan and "Cartesian" not in plan
