@@ -151,7 +151,7 @@ def config_csv(spark, sf_dir):
 # -- merges -----------------------------------------------------------------------------------
 
 OLD = """select c_nationkey as nation, nullif(c_mktsegment, 'BUILDING') as segment, max(c_name) as holder,
- count(*) as customers from {customer} where c_acctbal > 5000 group by 1, 2"""
+ count(*) as customers from {customer} group by 1, 2"""
 NEW = """select s_nationkey as nation, case when s_acctbal > 4000 then 'MACHINERY' when s_acctbal > 0 then 'NEW' end
  as segment, s_name as holder, s_suppkey as customers from {supplier}"""
 NEW_ONE = f"""select nation, segment, holder, customers from (select *, row_number() over

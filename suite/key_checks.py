@@ -194,7 +194,7 @@ add_key_check(
     absent("status_raw"), {"status_master": lambda spark, sf_dir: from_sql(spark, sf_dir, MASTER)},
 )
 
-PAIRS = "select l_orderkey as k1, l_linenumber as k2 from {lineitem} where l_returnflag = 'A'"
+PAIRS = "select l_orderkey as k1, case when l_returnflag = 'A' then l_linenumber else -l_linenumber end as k2 from {lineitem}"
 add_key_check(
     "composite_fk", LINES, "l_orderkey", "l_linenumber",
     build("DQ_004", ("l_orderkey", "l_linenumber"), reference=Reference("pairs", ("k1", "k2"))),
@@ -202,8 +202,8 @@ add_key_check(
     absent("l_orderkey", "l_linenumber"), {"pairs": lambda spark, sf_dir: from_sql(spark, sf_dir, PAIRS)},
 )
 
-CODES = """select distinct 'orders' as ds_table_name, 'status_raw' as ds_column_name, o_orderstatus as code from {orders}
- where o_orderstatus <> 'P' union all
+CODES = """select distinct 'orders' as ds_table_name, 'status_raw' as ds_column_name,
+ case when o_orderstatus = 'P' then 'pending' else o_orderstatus end as code from {orders} union all
  select distinct 'customer', 'segment_raw', 'P' from {customer}"""
 add_key_check(
     "scoped_code_list", ORDERS_DIRTY, "o_orderkey", "status_raw",
@@ -257,12 +257,13 @@ add_key_check(
     source=f"select *, sum(l_quantity) over (partition by o_custkey) as quantity from ({ENRICHED}) e",
 )
 
+FINISHED = """select case when o_orderstatus = 'F' then o_orderkey else -o_orderkey end as o_orderkey from {orders}"""
 add_key_check(
     "distinct_rule", LINES, "l_orderkey", "l_orderkey",
     Rule("R_distinct", ("l_orderkey",), distinct=True, distinct_columns=("l_orderkey",),
          references=(Reference("orders", ("o_orderkey",)),)),
-    "not exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus = 'F')", absent("l_orderkey"),
-    {"orders": lambda spark, sf_dir: table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")},
+    f"not exists (select 1 from ({duck(FINISHED)}) o where o_orderkey = l_orderkey)", absent("l_orderkey"),
+    {"orders": lambda spark, sf_dir: from_sql(spark, sf_dir, FINISHED)},
     source="select distinct l_orderkey from {lineitem}",
 )
 
