@@ -110,7 +110,9 @@ def expanded(bindings: DataFrame) -> DataFrame:
     """One row per rule and column; duplicate rules keep their whole column list.
 
     Reference columns, critical attributes and model integrities pair with the
-    columns by position; a shorter list is padded with the empty text.
+    columns by position; a shorter list is padded with the empty text, and a
+    reference rule without its reference column is refused by ``to_rules``.  In a
+    reference rule ``a+b`` is one key of two columns, paired with ``x+y``.
     Bindings repeated in different letter case are kept once.
     """
     whole = F.col("rule_id") == DUPLICATE_RULE
@@ -153,6 +155,11 @@ def to_rules(rows: Sequence, current_year: int, custom: Mapping[str, Callable[..
     return [_to_rule(row.asDict(), current_year, custom or {}) for row in rows]
 
 
+def _key_parts(entry: str) -> list[str]:
+    """The columns of one key: ``a`` or, for a key of several, ``a+b``."""
+    return [part.strip() for part in (entry or "").split("+") if part.strip()]
+
+
 def _to_rule(row: dict, current_year: int, custom: Mapping[str, Callable[..., Rule]]) -> Rule:
     rule_id = row["rule_id"]
     if rule_id not in TEMPLATES and rule_id not in custom:
@@ -175,7 +182,10 @@ def _to_rule(row: dict, current_year: int, custom: Mapping[str, Callable[..., Ru
     reference = None
     if rule_id in REFERENCE_RULES:
         table = ".".join(p for p in (row["reference_database"], row["reference_table_name"]) if p)
-        column = row["reference_column"] or _listed(row["reference_columns"])[0]
-        reference = Reference(table, (column,))
-    columns = _listed(row["column"]) if rule_id == DUPLICATE_RULE else [row["column"]]
+        columns, theirs = _key_parts(row["column"]), _key_parts(row["reference_column"])
+        if len(columns) != len(theirs):
+            raise ValueError(f"{row['column']} is not paired with as many reference columns of {table}")
+        reference = Reference(table, tuple(theirs))
+    else:
+        columns = _listed(row["column"]) if rule_id == DUPLICATE_RULE else [row["column"]]
     return build(rule_id, columns, current_year=current_year, reference=reference, **about)

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaywright import Calculation, Compare, Enrich, GroupAggregate, OneOf, Reference, Rule, Sql
+from assaywright.catalog import bindings as B
 from assaywright.catalog.builtin import build
 from assaywright.operators.groups import group_facts, group_members
 from assaywright.operators.joins import SizeLimit, join_by_name, spread_join
 from assaywright.operators.reshape import distinct_rows
 from assaywright.plans.table_check import TableCheck
+from assaywright.sources import config
 from assaywright.functions.text import as_text, named
 
 from . import sql as S
 from .fixtures import ORDERS_DIRTY, duck, from_sql, table
-from .registry import add, query
+from .registry import ORACLES, add, query
 from .row_checks import flagged
 
 
@@ -202,6 +204,18 @@ add_key_check(
     absent("l_orderkey", "l_linenumber"), {"pairs": lambda spark, sf_dir: from_sql(spark, sf_dir, PAIRS)},
 )
 
+PAIRS_BINDING = ("DQ_004", "Data Quality", "S", "X", "D", "lake", "lineitem", "l_orderkey+l_linenumber", "", "lake", "pairs",
+                 "k1+k2", None, None, 1, 1)
+
+
+@query("composite_fk_binding", ORACLES["composite_fk"])
+def composite_fk_binding(spark, sf_dir):
+    """The rule of composite_fk, made from a binding instead of code."""
+    rows = B.expanded(spark.createDataFrame([PAIRS_BINDING], config.BINDINGS)).collect()
+    rule = B.to_rules(rows, 2026)[0]
+    return flagged(from_sql(spark, sf_dir, LINES), rule, "l_orderkey", "l_linenumber", {"lake.pairs": from_sql(spark, sf_dir, PAIRS)})
+
+
 CODES = """select distinct 'orders' as ds_table_name, 'status_raw' as ds_column_name,
  case when o_orderstatus = 'P' then 'pending' else o_orderstatus end as code from {orders} union all
  select distinct 'customer', 'segment_raw', 'P' from {customer}"""

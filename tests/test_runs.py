@@ -6,6 +6,7 @@ from assaywright import Compare, Param, Rule
 from assaywright.catalog import bindings as B
 from assaywright.catalog.builtin import build
 from assaywright.plans import run as R
+from assaywright.plans.table_check import TableCheck
 from assaywright.sinks import writers
 from assaywright.sources import config
 from assaywright.sources.tables import slice_table, text_table
@@ -163,6 +164,25 @@ def test_expansion_pairs_and_pads(frame):
     assert typed["DQ_005"].columns == ("a", "b") and typed["DQ_005"].having is not None
 
 
+def test_bindings_with_keys_of_several_columns(frame):
+    row = binding("DQ_004", "t", "a + b,c, d", "k", ("lake", "m", "x+y,z"))
+    rows = {r["column"]: r for r in B.expanded(frame(BINDING, row)).collect()}
+    rules = {r.columns: r for r in B.to_rules([rows["a + b"], rows["c"]], 2026)}
+    assert {c: r.references[0].columns for c, r in rules.items()} == {("a", "b"): ("x", "y"), ("c",): ("z",)}
+    for unpaired in (rows["d"], binding_row(frame, "a+b", "x")):
+        with pytest.raises(ValueError, match="paired"):
+            B.to_rules([unpaired], 2026)
+    facts = frame("k int, a string, b int", (1, "p", 1), (2, "p", 2), (3, None, 1), (4, "q", 1))
+    known = frame("x string, y int", ("p", 1), ("q", 2), ("p", 3))
+    check = TableCheck(facts, [rules["a", "b"]], RUN, 1, tables={"lake.m": known})
+    flags = {r["k"]: r["rule_violation_flag"] for r in check.flags(check.rules[0]).collect()}
+    assert {int(k): f for k, f in flags.items()} == {1: 0, 2: 1, 3: -1, 4: 1}
+
+
+def binding_row(frame, columns, theirs):
+    return B.expanded(frame(BINDING, binding("DQ_004", "t", columns, "k", ("lake", "m", theirs)))).first()
+
+
 def test_thresholds_become_a_map(frame):
     rules = frame("rule_id string, system string, sub_system string, domain string, rule_type string", ("r", "a", "b", "c", "t"),
                   ("q", "a", "b", "c", "t"))
