@@ -120,3 +120,19 @@ def test_all_copies_of_a_flood_equal_the_batch_rule(arrive, spark, tmp_path):
         C.write_available(found, target, state).awaitTermination()
     want = sorted(v for k, _, v in rows if sum(1 for o in (rows if k != "hot" else rows[:7]) if o[0] == k) > 1)
     assert sorted(r["v"] for r in spark.read.schema(found.schema).parquet(target).collect()) == want
+
+
+def test_all_copies_call_python_by_bucket(arrive, spark, tmp_path):
+    """Many keys share a state; each is held, repeated and forgotten on its own."""
+    target, state = str(tmp_path / "copies"), str(tmp_path / "state")
+
+    def go(*rows):
+        found = copies.all_copies(arrive(*rows), ["k", "v"], "ts", "2 days", buckets=2)
+        C.write_available(found, target, state).awaitTermination()
+        return sorted((r["k"] or "", r["ts"].day, r["v"]) for r in spark.read.schema(found.schema).parquet(target).collect())
+
+    assert go(*[(f"k{i}", at(1 + i % 2 * 7), 0) for i in range(100)], ("x", at(1), 1), (None, at(8), 1)) == []
+    want = [("", 8, 1), ("", 9, 1), ("k1", 8, 0), ("k1", 9, 0)]
+    # the watermark is day 6: keys of day 1 end on day 3 and are forgotten beside those of day 8
+    assert go(("k1", at(9), 0), ("k1", at(9), 7), (None, at(9), 1)) == want
+    assert go(("k0", at(9), 0), ("x", at(9), 1), ("k3", at(9), 0)) == want + [("k3", 8, 0), ("k3", 9, 0)]
