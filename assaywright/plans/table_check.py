@@ -542,7 +542,7 @@ class TableCheck:
         if rule.enrich is not None:
             rows = reshape.enrich(rows, self.table(rule.enrich.table), rule.enrich, self.limit, self._paths)
         if rule.distinct:
-            rows = reshape.distinct_rows(rows, rule.distinct_columns)
+            rows = reshape.distinct_rows(rows, self._distinct_columns(rule))
         found = self._local_messages(rule)
         if rule.aggregations and not self._keys_decide(rule):
             rows, having, absent = self._with_row_facts(rows, rule)
@@ -559,6 +559,18 @@ class TableCheck:
             }
         )
 
+    def _distinct_columns(self, rule: Rule) -> list[str]:
+        """The rule's distinct columns with what stands beside them: equal texts have equal values, so the groups are
+        the same, and a rule that reads no other column keeps no record.  Rows made by a join may lack what is beside.
+        """
+        if rule.enrich is not None:
+            return list(rule.distinct_columns)
+        beside = []
+        for name in dict.fromkeys(c.lower() for c in rule.distinct_columns):
+            beside += [self._nulls[name]] if name in self._nulls else []
+            beside += [self._typed[name][0]] if name in self._typed else []
+        return [*rule.distinct_columns, *beside]
+
     def _with_lookups(self, rows: DataFrame, rule: Rule):
         """Stages settled by failing keys: one left join each."""
         if not rule.aggregations and not rule.references:

@@ -249,3 +249,14 @@ def test_a_key_of_most_right_rows_is_spread(frame):
     assert repeated.where("k = 'hot'").count() == 3 * 16 and repeated.where("k <> 'hot'").count() == 40
     plan = spread_join(left, right, ["k"], "full", limit, 16)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join FullOuter" in plan and "Cartesian" not in plan
+
+
+def test_a_distinct_rule_keeps_no_record_it_does_not_read(frame):
+    rows = [(1, "a", 1.0), (1, "b", 2.0), (2, "c", -0.0), (2, "c", 0.0), (None, "d", 1.0), (None, "e", None)]
+    table, known = frame("k bigint, wide string, x double", *rows), frame("n bigint", (1,))
+    for columns, flagged in ((("k",), [-1, 0, 1]), (("x", "k"), [-1, -1, 0, 0, 1, 1])):
+        rule = Rule("R", ("k",), distinct=True, distinct_columns=columns, references=(Reference("known", ("n",)),))
+        flags = TableCheck(table, [rule], "2026-01-01 00:00:00", 1, tables={"known": known}).flags(rule)
+        read = flags.select(*columns, "rule_violation_flag")
+        assert "min(" not in read._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(r["rule_violation_flag"] for r in read.collect()) == flagged
