@@ -22,6 +22,8 @@ from . import commit
 
 # The partitioning of both result logs.
 LOG_PARTITIONS = ("system", "sub_system", "batch_id", "year_id")
+#: Groups that the rows of one log partition are dealt over before they are written.
+SHARES = 64
 
 
 def _is_path(target: str) -> bool:
@@ -85,10 +87,14 @@ def sized_files(df: DataFrame) -> DataFrame:
     """Rows regrouped by log partition into files of the session's advisory size.
 
     A scan of many tasks finds a few failures in each; written as they are, every
-    task would leave a tiny file.  Adaptive execution joins small groups and
-    splits a batch that holds most rows.
+    task would leave a tiny file.  Adaptive execution joins small groups.  It can
+    split a batch that holds most rows only between the tasks that scanned it, so
+    the rows of a log partition are dealt by content over ``SHARES`` groups: one
+    scanning task does not make one writing task, which sorts what it writes.
     """
-    return df.hint("rebalance", *[F.col(c) for c in LOG_PARTITIONS])
+    share = F.pmod(F.xxhash64(*[named(c) for c in df.columns]), F.lit(SHARES))
+    dealt = df.withColumn("__share", share).hint("rebalance", *[F.col(c) for c in (*LOG_PARTITIONS, "__share")])
+    return dealt.drop("__share")
 
 
 def streamed(spark: SparkSession, target: str) -> bool:

@@ -8,6 +8,7 @@ from assaywright.catalog.builtin import build
 from assaywright.plans import table_check
 from assaywright.plans.empty_table import empty_detail, empty_summary
 from assaywright.plans.table_check import DETAIL_COLUMNS, SUMMARY_COLUMNS, TableCheck
+from assaywright.sinks import writers
 
 RUN = "2026-01-15 08:30:00"
 ABOUT = {"object": "t", "system": "s", "sub_system": "ss", "domain": "d"}
@@ -145,3 +146,16 @@ def test_rule_text_is_json():
     shown = json.loads(rule.bind(violation=Matches("a", "é")).to_json())
     assert shown["violation"]["pattern"] == "é" and shown["having"]["kind"] == "Compare"
     assert table_check.reference_message(rule) == "Consistency check failed for columns: a"
+
+
+def test_rows_of_one_scanning_task_are_dealt_to_several_writers(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = spark.range(2000).selectExpr("'s' as system", "'u' as sub_system", "1 as batch_id", "2024 as year_id", "id").coalesce(1)
+    spark.conf.set(key, "false")
+    try:
+        sized = writers.sized_files(rows)
+        assert sized.columns == rows.columns
+        counts = [len(part) for part in sized.rdd.glom().collect()]
+    finally:
+        spark.conf.unset(key)
+    assert sum(counts) == 2000 and max(counts) < 1000
