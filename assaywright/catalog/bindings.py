@@ -136,8 +136,11 @@ def expanded(bindings: DataFrame) -> DataFrame:
     place = ("rule_id", "system", "sub_system", "domain", "database_name", "table_name", "reference_table_name")
     same = [F.lower(F.coalesce(F.col(c), F.lit(""))) for c in (*place, "column", "reference_column")]
     first = F.min_by(F.struct(*[F.col(c) for c in shaped.columns]), F.struct("column", "position")).alias("kept")
-    grouped = shaped.groupBy(*[value.alias(f"same{i}") for i, value in enumerate(same)]).agg(first)
-    return grouped.select("kept.*")
+    marks = {f"__same{i}": value for i, value in enumerate(same)}
+    # the records are sorted to be aggregated: dealt first, so that no task sorts all that one scanning task reads
+    share = F.pmod(F.xxhash64(*[F.col(c) for c in bindings.columns if dict(bindings.dtypes)[c][:3] != "map"]), F.lit(16))
+    dealt = shaped.select("*", *[value.alias(mark) for mark, value in marks.items()]).repartition(*marks, share)
+    return dealt.groupBy(*marks).agg(first).select("kept.*")
 
 
 def target_tables(bindings: DataFrame) -> DataFrame:

@@ -217,3 +217,12 @@ def test_own_rules_and_thresholds_in_a_run(spark, frame, rules, tables, settings
     assert [r["rule_violation_details"] for r in detail] == ["Condition violated: id < 2"] * 2
     row = spark.read.parquet(settings.summary_target).first()
     assert (row["rule_type"], row["applied_rule"], row["no_of_failures"]) == ("Business", "Own", 2)
+
+
+def test_bindings_of_one_scanning_task_are_dealt_before_they_are_sorted(spark):
+    rows = [("DQ_001", "Data Quality", "S", "X", "D", "lake", name, "a, B", "", None, None, None, f"yes{i}", None, 1, 1)
+            for i in range(300) for name in ("t", "T")]
+    found = B.expanded(spark.createDataFrame(rows, config.BINDINGS).coalesce(1))
+    aggregate, _, below = found._jdf.queryExecution().optimizedPlan().toString().partition("RepartitionByExpression")
+    assert "Aggregate" in aggregate and "LogicalRDD" in below
+    assert sorted((r["rule_id"], r["column"]) for r in found.collect()) == [("DQ_001", "B"), ("DQ_001", "a")]
