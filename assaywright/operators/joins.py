@@ -116,6 +116,8 @@ def _hot_keys(counted: DataFrame, limit: SizeLimit, paths: list[str] | None) ->
     return kept.where(F.col(ROWS) >= hot_rows), hot_rows
 
 
+#: Rows of the hashed side of a full join that a partition holds.
+_BUILT_ROWS = 500_000
 _INNER, _LEFT, _RIGHT, _FULL = "inner", "left", "right", "full"
 _KINDS = {"inner": _INNER, "left": _LEFT, "leftouter": _LEFT, "right": _RIGHT, "rightouter": _RIGHT}
 _KINDS |= {"full": _FULL, "outer": _FULL, "fullouter": _FULL}
@@ -140,6 +142,10 @@ def spread_join(
     Outer joins need no second pass: a key that is hot on one side has rows there,
     so no row of the other side with that key can be without a match.  Where such a
     row meets an empty cell it is dropped; every other row stands in one cell and is settled there.
+
+    Few input rows may have many partners, so cells are dealt over a fixed number of partitions: adaptive execution
+    would put small ones together into one task.  A full join by sorting holds all pairs of a key in memory, so it is
+    done by hashing the side with fewer rows, in partitions of about ``_BUILT_ROWS`` of them.
     """
     names = {c.lower(): c for c in left.columns}
     theirs = {c.lower(): c for c in right.columns}
@@ -156,6 +162,14 @@ def spread_join(
     other = _in_cells(right, [theirs[c] for c in on], hot, ("__right_hot", "__j"), ("__left_hot", "__i"), shares)
     mine = mine.withColumn("__mine", F.lit(True)).withColumnRenamed("__elsewhere", "__mine_met")
     other = other.withColumn("__other", F.lit(True)).withColumnRenamed("__elsewhere", "__other_met")
+    parts = max(4 * shares, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if kind == _FULL:
+        counts = mine.count(), other.count()
+        parts = max(parts, min(counts) // _BUILT_ROWS)
+        mine, other = (mine.hint("shuffle_hash"), other) if counts[0] < counts[1] else (mine, other.hint("shuffle_hash"))
+    if kind == _FULL or not hot.isEmpty():
+        mine = mine.repartition(parts, *[named(names[c]) for c in on], "__i", "__j")
+        other = other.repartition(parts, *[named(theirs[c]) for c in on], "__i", "__j")
     joined = join_by_name(mine, other, how, [*on, "__i", "__j"])
     if kind in (_LEFT, _FULL):
         joined = joined.where(F.col("__other").isNotNull() | ~F.coalesce("__mine_met", F.lit(False)))

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from assaywright import Calculation, Compare, Enrich, GroupAggregate, Reference, Rule, Sql
 from assaywright.catalog.builtin import build
@@ -251,6 +252,18 @@ def test_a_key_of_most_right_rows_is_spread(frame):
     assert "Join FullOuter" in plan and "Cartesian" not in plan
 
 
+def test_small_cells_with_many_pairs_stay_apart(frame):
+    limit = SizeLimit(rows=4, bytes=1_000_000, hot_rows=50)
+    left = frame("k string, n int", *[("hot", i) for i in range(3)], ("a", 1))
+    right = frame("k string, v int", *[("hot", i) for i in range(750)], ("b", 2))
+    for how, rows in (("full", 2252), ("right", 2251)):
+        spread = spread_join(left, right, ["k"], how, limit, 16)
+        tasks = spread.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) >= 8 and sum(t["count"] for t in tasks) == rows
+    physical = spread_join(left, right, ["k"], "full", limit, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in physical  # it would hold all pairs of a key
+
+
 def test_a_distinct_rule_keeps_no_record_it_does_not_read(frame):
     rows = [(1, "a", 1.0), (1, "b", 2.0), (2, "c", -0.0), (2, "c", 0.0), (None, "d", 1.0), (None, "e", None)]
     table, known = frame("k bigint, wide string, x double", *rows), frame("n bigint", (1,))
