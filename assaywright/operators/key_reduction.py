@@ -3,8 +3,9 @@
 Every row lists the rules it takes part in, each with the rule's key, so a row is
 read once however many duplicate, group and reference rules look at it.  Counts
 and aggregates per (rule, key, slice) are partial before the shuffle.  Verdicts
-follow on what is left: group conditions on the aggregates, references by one
-join against the allowed keys of all of them, tagged by rule.
+follow on what is left.  Reference rules share a pass of their own, which carries
+no aggregates: allowed keys are dealt and grouped with the rows' keys, tagged by
+rule, so a key that no allowed one fell in with fails and nothing is joined.
 
 Keys of all rules share columns: whole numbers go to numeric slots, text to text
 slots, digests to binary ones; a slot that a rule does not use holds a constant,
@@ -37,7 +38,8 @@ MERGEABLE = ("count", "sum", "min", "max", "avg", "mean")
 class KeyTask:
     """One rule: its key columns with their types, which rows take part, and what makes a key fail.
 
-    Either ``calculations`` and ``having`` (a group rule) or ``allowed``, a frame of the keys ``__k0``, ``__k1``, ... that pass.
+    Either ``calculations`` and ``having`` (a group rule) or ``allowed``, a frame of the keys ``__k0``, ``__k1``, ... that pass
+    (a key may be there several times).
     """
 
     number: int
@@ -80,27 +82,39 @@ def _in_slots(keys, slots) -> list[Column]:
     return [(values.get(name, F.lit("") if kind != "bigint" else F.lit(0))).cast(kind).alias(name) for name, kind in slots]
 
 
-def _value_columns(task: KeyTask, width: int) -> list[Column]:
-    """The columns a rule's aggregates read, by position: value, and whether the row is chosen."""
-    out = []
-    for i in range(width):
-        calc = task.calculations[i] if i < len(task.calculations) else None
-        value = F.lit(None) if calc is None or calc.column == "*" else named(calc.column)
-        order = F.lit(None) if calc is None or calc.order_by is None else named(calc.order_by)
-        chosen = F.lit(True) if calc is None or calc.where is None else holds_or_false(calc.where, dict(task.thresholds))
-        out += [value.cast("string").alias(f"__x{i}"), order.cast("string").alias(f"__o{i}"), chosen.alias(f"__c{i}")]
-    return out
+def _values_read(tasks: Sequence[KeyTask]) -> list[str]:
+    """The columns that some rule's aggregates read, by position: value ``__x``, order ``__o``, whether the row is chosen ``__c``."""
+    names = {}
+    for task in tasks:
+        for i, calc in enumerate(() if _counts_only(task) else task.calculations):
+            used = {f"__x{i}": calc.column != "*", f"__o{i}": calc.order_by is not None, f"__c{i}": calc.where is not None}
+            names |= {name: None for name, read in used.items() if read}
+    return list(names)
+
+
+def _value_columns(task: KeyTask, names: Sequence[str]) -> list[Column]:
+    """Those columns of one rule; what it does not read is NULL, or chosen."""
+    mine = {}
+    for i, calc in enumerate(() if _counts_only(task) else task.calculations):
+        if calc.column != "*":
+            mine[f"__x{i}"] = named(calc.column)
+        if calc.order_by is not None:
+            mine[f"__o{i}"] = named(calc.order_by)
+        if calc.where is not None:
+            mine[f"__c{i}"] = holds_or_false(calc.where, dict(task.thresholds))
+    nothing = {name: F.lit(True) if name.startswith("__c") else F.lit(None).cast("string") for name in names}
+    shown = {name: value if name.startswith("__c") else value.cast("string") for name, value in mine.items()}
+    return [(nothing | shown)[name].alias(name) for name in names]
 
 
 def expanded(rows: DataFrame, tasks: Sequence[KeyTask], slices: Sequence[str]) -> DataFrame:
     """One row per row and rule it takes part in."""
-    slots, width = _slots(tasks), max((len(t.calculations) for t in tasks if not _counts_only(t)), default=0)
+    slots, read = _slots(tasks), _values_read(tasks)
     entries = []
     for task in tasks:
         whole = reduce(lambda a, b: a & b, [value.isNotNull() for _, value in task.keys], task.applicable)
         number = F.when(whole, F.lit(task.number)).alias(RULE)
-        shown = task if not _counts_only(task) else KeyTask(task.number, task.keys, task.applicable)
-        entries.append(F.struct(number, *_in_slots(task.keys, slots), *_value_columns(shown, width)))
+        entries.append(F.struct(number, *_in_slots(task.keys, slots), *_value_columns(task, read)))
     long = rows.select(*slices, F.inline(F.array(*entries)))
     return long.where(F.col(RULE).isNotNull())
 
@@ -113,14 +127,15 @@ def _gated(task: KeyTask, i: int, calc: Calculation) -> Calculation:
     """The calculation over the shared value columns."""
     mine = f"{RULE} = {task.number}"
     column = "*" if calc.column == "*" else f"__x{i}"
-    where = Sql(f"{mine} and __c{i}")
+    where = Sql(mine if calc.where is None else f"{mine} and __c{i}")
     return Calculation(calc.function, column, f"__a{task.number}_{i}", where, f"__o{i}" if calc.order_by else None)
 
 
 def _partials(task: KeyTask, i: int, calc: Calculation, typed: Typed) -> dict[str, tuple[Column, str]]:
     """What a mergeable aggregate needs of each slice: column and how slices merge."""
     name, function = f"__a{task.number}_{i}", calc.function.strip().lower()
-    mine = (F.col(RULE) == task.number) & F.col(f"__c{i}")
+    mine = F.col(RULE) == task.number
+    mine = mine if calc.where is None else mine & F.col(f"__c{i}")
     value = F.when(mine, F.lit(1) if calc.column == "*" else F.col(f"__x{i}"))
     out = {f"{name}_chosen": (F.count_if(mine), "sum")}
     if function == "count":
@@ -142,11 +157,29 @@ def _merged(task: KeyTask, i: int, calc: Calculation) -> Column:
 
 def failing_keys(rows: DataFrame, tasks: Sequence[KeyTask], slices: Sequence[str], typed: Typed | None = None) -> DataFrame:
     """(rule, key slots, slices) of every failing key with ``__n`` rows and the rule's aggregates ``__a{rule}_{i}``."""
-    typed = typed or {}
+    grouped, referring = [t for t in tasks if t.allowed is None], [t for t in tasks if t.allowed is not None]
+    parts = [_failing_groups(rows, grouped, slices, typed or {})] if grouped else []
+    parts += [_absent_keys(rows, referring, slices)] if referring else []
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _absent_keys(rows: DataFrame, tasks: Sequence[KeyTask], slices: Sequence[str]) -> DataFrame:
+    """Keys that the references do not hold; ``__row`` is 1 for a row and 0 for an allowed key, whose slices are NULL."""
+    slots = _slots(tasks)
+    names = [name for name, _ in slots]
+    allowed = reduce(DataFrame.unionByName, [_tagged(t, slots) for t in tasks]).withColumn("__row", F.lit(0))
+    met = expanded(rows, tasks, slices).withColumn("__row", F.lit(1)).unionByName(allowed, allowMissingColumns=True)
+    found = met.groupBy(RULE, *names, *slices).agg(F.sum("__row").alias(ROWS), F.min("__row").alias("__least"))
+    if slices:
+        found = found.withColumn("__least", F.min("__least").over(Window.partitionBy(RULE, *names)))
+    return found.where(F.col("__least") == 1).select(RULE, *names, *slices, ROWS)
+
+
+def _failing_groups(rows: DataFrame, tasks: Sequence[KeyTask], slices: Sequence[str], typed: Typed) -> DataFrame:
     slots = [name for name, _ in _slots(tasks)]
     grouped = expanded(rows, tasks, slices).groupBy(RULE, *slots, *slices)
-    counted = [t for t in tasks if t.having is not None and _counts_only(t)]
-    valued = [(t, i, c) for t in tasks if t.having is not None and not _counts_only(t) for i, c in enumerate(t.calculations)]
+    counted = [t for t in tasks if _counts_only(t)]
+    valued = [(t, i, c) for t in tasks if not _counts_only(t) for i, c in enumerate(t.calculations)]
     rows_of_key = F.count(F.lit(1)).alias(ROWS)
     whole = Window.partitionBy(RULE, *slots)
     if slices:
@@ -173,16 +206,9 @@ def failing_keys(rows: DataFrame, tasks: Sequence[KeyTask], slices: Sequence[str
             aggregates.append(f"__a{task.number}_{i}")
     verdict = F.lit(False)
     for task in tasks:
-        if task.having is not None:
-            names = {c.alias.lower(): f"__a{task.number}_{i}" for i, c in enumerate(task.calculations)}
-            fails = holds_or_false(renamed(task.having, names), dict(task.thresholds))
-            verdict = F.when(F.col(RULE) == task.number, fails).otherwise(verdict)
-    references = [t for t in tasks if t.allowed is not None]
-    if references:
-        allowed = reduce(DataFrame.unionByName, [_tagged(t, _slots(tasks)) for t in references]).withColumn("__known", F.lit(True))
-        found = found.join(allowed, [RULE, *slots], "left")
-        of_reference = F.col(RULE).isin([t.number for t in references])
-        verdict = F.when(of_reference, F.col("__known").isNull()).otherwise(verdict)
+        names = {c.alias.lower(): f"__a{task.number}_{i}" for i, c in enumerate(task.calculations)}
+        fails = holds_or_false(renamed(task.having, names), dict(task.thresholds))
+        verdict = F.when(F.col(RULE) == task.number, fails).otherwise(verdict)
     return found.where(verdict).select(RULE, *slots, *slices, ROWS, *aggregates)
 
 

@@ -11,10 +11,10 @@ from ..rules import Reference
 from .groups import counted_groups
 
 
-def allowed_keys(
+def allowed_rows(
     table: DataFrame, reference: Reference, keys: Sequence[str], kinds: Sequence[str] = ()
 ) -> DataFrame:
-    """Distinct normalised reference keys, limited to the reference's scope if it has one.
+    """Normalised reference keys, one per row of the table, limited to the reference's scope if it has one.
 
     Keys of the kind ``bigint`` are compared as the numbers they are, the others as text.
     """
@@ -25,7 +25,14 @@ def allowed_keys(
         (named(c).cast("bigint") if kind == "bigint" else lookup_key(named(c))).alias(k)
         for k, kind, c in zip(keys, kinds, reference.columns)
     ]
-    return table.select(*columns).distinct()
+    return table.select(*columns)
+
+
+def allowed_keys(
+    table: DataFrame, reference: Reference, keys: Sequence[str], kinds: Sequence[str] = ()
+) -> DataFrame:
+    """The same, each key once."""
+    return allowed_rows(table, reference, keys, kinds).distinct()
 
 
 def failing_groups(

@@ -438,7 +438,7 @@ class TableCheck:
         (reference,) = rule.references
         keys = tuple(self._reference_keys(rule, reference))
         names, kinds = [f"__k{i}" for i in range(len(keys))], [kind for kind, _ in keys]
-        allowed = references.allowed_keys(self.table(reference.table), reference, names, kinds)
+        allowed = references.allowed_rows(self.table(reference.table), reference, names, kinds)
         return key_reduction.KeyTask(number, keys, applicable, allowed=allowed, thresholds=thresholds)
 
     def _share_key_rules(self) -> None:

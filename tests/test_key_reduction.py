@@ -132,6 +132,29 @@ def test_one_scan_and_one_shuffle(world, tmp_path, spark, monkeypatch):
     check.release()
 
 
+@pytest.mark.parametrize("fixed", [True, False])
+def test_references_are_grouped_with_the_rows(world, frame, monkeypatch, fixed):
+    rows, df, tables = world
+    tables = tables | {"numbers": frame("id bigint", *[(i,) for i in (0, 2, 4, 6, None)] * 40)}
+    plans, keep = [], table_check.stored
+
+    def watched(kept, paths, by=()):
+        plans.append(kept._jdf.queryExecution().optimizedPlan().toString())
+        return keep(kept, paths, by)
+
+    monkeypatch.setattr(table_check, "stored", watched)
+    rules = [r for r in RULES if r.references]
+    check = TableCheck(df, rules, RUN, *((1, 1) if fixed else (None, None)), tables=tables)
+    found = defaultdict(list)
+    for r in check.detail().collect():
+        if r["result"] == 1:
+            found[(r["rule_id"], r["attribute_name"])].append(int(r["value1"]))
+    want = {k: sorted(v) for k, v in brute(rows).items() if v and k in {(r.rule_id, ",".join(r.columns)) for r in rules}}
+    assert {k: sorted(v) for k, v in found.items()} == want
+    assert len(plans) == 1 and "Join" not in plans[0]
+    check.release()
+
+
 def test_failing_keys_hold_whole_numbers_as_numbers(world):
     _, df, tables = world
     check = TableCheck(df, RULES, RUN, 1, 1, tables=tables)
