@@ -502,8 +502,10 @@ class TableCheck:
             rows = rows.withColumn(f"__hit{i}", F.col(ROWS).isNotNull()).drop(ROWS, *keys)
         return rows
 
-    @staticmethod
-    def _one_row_per_key(failing: DataFrame, keys, names) -> DataFrame:
+    def _one_row_per_key(self, failing: DataFrame, keys, names) -> DataFrame:
+        """The slices of a key put together; where they are fixed, a key was stored as one row."""
+        if not self._varying:
+            return failing.select(*keys, ROWS, *[named(n) for n in names])
         facts = [F.first(named(n)).alias(n) for n in names]
         return failing.groupBy(*keys).agg(F.sum(ROWS).alias(ROWS), *facts)
 

@@ -155,6 +155,18 @@ def test_references_are_grouped_with_the_rows(world, frame, monkeypatch, fixed):
     check.release()
 
 
+def test_keys_of_fixed_slices_are_not_grouped_again(world):
+    _, df, tables = world
+    for fixed in (True, False):
+        check = TableCheck(df, RULES, RUN, *((1, 1) if fixed else (None, None)), tables=tables)
+        check._share_key_rules()
+        for rule in RULES:
+            keys, verdicts = check._verdicts(rule)
+            assert ("Aggregate" in verdicts._jdf.queryExecution().optimizedPlan().toString()) == (not fixed)
+            assert verdicts.count() == verdicts.select(*keys).distinct().count()
+        check.release()
+
+
 def test_failing_keys_hold_whole_numbers_as_numbers(world):
     _, df, tables = world
     check = TableCheck(df, RULES, RUN, 1, 1, tables=tables)
