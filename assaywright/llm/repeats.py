@@ -14,9 +14,9 @@ document with a smaller id.  Four steps, each over all documents:
 3. Texts that meet are put in a run-length index (``runindex``): earlier
    documents are indexed, later ones streamed, and matching statistics of the
    full length mark repeats.  Every earlier and later document of a key meet in
-   exactly one of log2(documents) rounds.  Keys of more than ``CROWD`` texts are
-   instead cut into single strings of the full length, whose first document is a
-   partial aggregate.
+   exactly one of log2(documents) rounds.  Of keys of more than ``CROWD`` texts, equal
+   ones are settled by their first document, a partial aggregate, and the others
+   cut into single strings of the full length, settled in the same way.
 4. Marks are merged per document and cut out of its text.
 
 Memory of a task is a bucket of anchors, a batch of texts, or about
@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.storage import stored
@@ -52,6 +52,7 @@ BUCKET_ANCHORS = 1 << 17
 INDEX_SYMBOLS = 1 << 19
 CROWD = 4096
 ROWS_AT_ONCE = 1 << 15  # of a Python task's output
+SPAN_BITS = 12  # of a packed span, for its length
 DOC = ["doc", "print"]
 _P = [np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
@@ -100,8 +101,11 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pack(ids, prints, which, place, h, around) -> bytes:
-    names, local = np.unique(which, return_inverse=True)
-    parts = [ids[names].astype("<i8"), prints[names].astype("<i8"), np.diff(local, prepend=0).astype("<i4"), place.astype("<u8")]
+    """Anchors with those of a document next to each other."""
+    new = np.append(True, which[1:] != which[:-1])
+    names = which[new]
+    new[0] = False
+    parts = [ids[names].astype("<i8"), prints[names].astype("<i8"), new.astype("<i4"), place.astype("<u8")]
     small_ones = zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
     return struct.pack("<QQQ", len(names), len(h), len(small_ones)) + small_ones + h.tobytes() + around.tobytes()
 
@@ -116,6 +120,14 @@ def _unpack(blob: bytes):
     return ids[local], prints[local], place, h, around
 
 
+def _shared(values: np.ndarray) -> np.ndarray:
+    """Places of the values that come more than once."""
+    order = np.argsort(values)
+    ordered = values[order]
+    same = ordered[1:] == ordered[:-1]
+    return order[np.append(same, False) | np.append(False, same)] if len(values) else order
+
+
 def _later(h: np.ndarray, around: np.ndarray, doc: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """In an order by anchor and surroundings with ascending documents: starts of equal runs; rows after the run's first document."""
     first = np.flatnonzero(np.append(True, (h[order[1:]] != h[order[:-1]]) | (around[order[1:]] != around[order[:-1]])))
@@ -138,13 +150,15 @@ def _anchored(buckets: int):
             which = np.repeat(np.arange(len(ids)), sizes)
             by_doc = np.argsort(ids[which], kind="stable")
             at, h, around, which = at[by_doc], h[by_doc], around[by_doc], which[by_doc]
-            order = np.argsort(_mixed(h, around, 3), kind="stable")
-            _, later = _later(h, around, ids[which], order)
             settled = np.zeros(len(at), dtype=bool)
-            settled[order] = later
+            both = _mixed(h, around, 3)
+            order = np.sort(_shared(both))
+            if len(order):
+                order = order[np.argsort(both[order], kind="stable")]
+                settled[order] = _later(h, around, ids[which], order)[1]
             bucket = np.where(settled, _mixed(h, (which * 1009 + at).astype(np.uint64), 1), h) >> shift
             place = at.astype(np.uint64) * np.uint64(2) + settled
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(bucket.astype(np.uint16) if shift >= 48 else bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange((1 << (64 - int(shift))) + 1, dtype=np.uint64))
             out = []
             for b in np.flatnonzero(np.diff(cuts)).tolist():
@@ -162,6 +176,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, prints, place, h, around = (np.concatenate(x) for x in zip(*map(_unpack, blobs)))
         done = (place & np.uint64(1)).astype(bool)
         rest = np.flatnonzero(~done)
+        rest = rest[_shared(h[rest])]
         order = rest[np.lexsort((doc[rest], around[rest], h[rest]))]
         asked = np.zeros(0, dtype=np.int64)
         if len(order):
@@ -190,7 +205,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 TEXTS = "key long, doc long, print long, base long, mark int, piece binary"
 _TEXTS = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("print", pa.int64()), ("base", pa.int64()), ("mark", pa.int32()), ("piece", pa.binary())])
-MARKS = "doc long, print long, start long, end long"
+MARKS = "doc long, print long, span long"
 
 
 def _signed(value: int) -> int:
@@ -203,24 +218,36 @@ def _table_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text around each anchor asked about, keyed by the anchor with its left or its right context."""
-    rows = []
-    for batch in batches:
-        for doc, mark, text, asked in zip(*(batch.column(c) for c in ("doc", "print", "text", "asked"))):
-            doc, mark, raw = doc.as_py(), mark.as_py(), text.as_py().encode()
-            for p in asked.as_py():
-                if p >= SPLIT:
-                    key = _signed(xxhash.xxh64_intdigest(raw[p - SPLIT : p + CORE], 1))
-                    a = max(0, p - SIDE)
-                    rows.append((key, doc, mark, a, p - a, raw[a : p - SPLIT + LENGTH]))
-                if p + LENGTH - SPLIT + 1 <= len(raw):
-                    key = _signed(xxhash.xxh64_intdigest(raw[p : p + LENGTH - SPLIT + 1], 2))
-                    a = max(0, p - SPLIT + 1)
-                    rows.append((key, doc, mark, a, p - a, raw[a : p + LENGTH]))
-                if len(rows) >= ROWS_AT_ONCE:
-                    yield _table_of(rows, _TEXTS)
-                    rows = []
-    if rows:
-        yield _table_of(rows, _TEXTS)
+    for batch in (part for whole in batches for part in slices(whole, "text", 4 << 20)):
+        texts = [t.encode() for t in batch.column("text").to_pylist()]
+        raw = np.frombuffer(b"".join(texts) + bytes(8), dtype=np.uint8)
+        loads = np.ndarray((len(raw) - 7,), dtype="<u8", buffer=raw, strides=(1,))
+        sizes = np.array([len(t) for t in texts])
+        heads = np.cumsum(sizes) - sizes
+        asked = batch.column("asked")
+        places = asked.flatten().to_numpy()
+        owners = np.repeat(np.arange(len(texts)), np.diff(asked.offsets.to_numpy()))
+        doc, mark = (batch.column(c).to_numpy() for c in DOC)
+        for i in range(0, len(places), ROWS_AT_ONCE // 2):
+            p, own = places[i : i + ROWS_AT_ONCE // 2], owners[i : i + ROWS_AT_ONCE // 2]
+            out = []
+            # first and last start of the strings in a piece, before the anchor
+            for side, most, least in ((0, SIDE, SPLIT), (1, SPLIT - 1, 0)):
+                ok = (p >= least) & (p - most + LENGTH <= sizes[own])
+                q, of = p[ok], own[ok]
+                length = LENGTH - most + least
+                key = np.full(len(q), _P[side])
+                for n, step in enumerate([*range(0, length - 8, 8), length - 8]):
+                    key = _mixed(key, loads[heads[of] + q - least + step], n)
+                start, end = np.maximum(q - most, 0), np.minimum(q - least + LENGTH, sizes[of])
+                out.append((key.view(np.int64), of, q, start, end))
+            key, of, q, start, end = (np.concatenate(x) for x in zip(*out))
+            ends = np.cumsum(end - start)
+            at = np.repeat(heads[of] + start - ends + end - start, end - start) + np.arange(ends[-1] if len(ends) else 0)
+            offsets = np.append(0, ends).astype(np.int32)
+            piece = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw[at].tobytes())])
+            columns = [key, doc[of], mark[of], start, (q - start).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), piece], schema=_TEXTS)
 
 
 def _repeat_starts(groups: list[list[tuple[int, int, bytes]]]) -> dict[tuple[int, int], np.ndarray]:
@@ -291,7 +318,7 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc, mark_of, base, mark, piece in group:
                 if first.setdefault((mark, piece), doc) < doc:
                     if len(piece) >= LENGTH:
-                        marks.append((doc, mark_of, base, base + len(piece)))
+                        marks.append((doc, mark_of, base << SPAN_BITS | len(piece)))
                 else:
                     ones.setdefault((doc, mark, piece), []).append((mark_of, base))
             if len({doc for doc, _, _ in ones}) > 1:
@@ -300,9 +327,10 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if kept:
             for (g, i), starts in _repeat_starts(kept).items():
                 doc = kept[g][i][0]
+                first, last = int(starts[0]), int(starts[-1])  # less than LENGTH apart, so their strings cover one span
                 for mark_of, base in owners[g][kept[g][i]]:
-                    marks.extend((doc, mark_of, base + s, base + s + LENGTH) for s in starts.tolist())
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*marks)], names=["doc", "print", "start", "end"]) if marks else None
+                    marks.append((doc, mark_of, base + first << SPAN_BITS | last - first + LENGTH))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*marks)], names=["doc", "print", "span"]) if marks else None
 
     now, group, groups, symbols = None, [], [], 0
     for batch in batches:
@@ -339,12 +367,22 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table_of(rows, kinds)
 
 
+def _span(start: Column, length: Column | int) -> Column:
+    return F.shiftleft(start, SPAN_BITS).bitwiseOR(length if isinstance(length, Column) else F.lit(length)).cast("long").alias("span")
+
+
 def _crowded(pieces: DataFrame, paths: list[str]) -> DataFrame:
-    """Marks of keys with very many texts, string by string."""
-    strings = stored(pieces.mapInArrow(_strings, "h1 long, h2 long, doc long, print long, start long"), paths)
+    """Marks of keys with very many texts: equal ones by their first document, the others string by string."""
+    spot = ["key", "mark", "piece"]
+    first = stored(pieces.groupBy(*spot).agg(F.min("doc").alias("first")), paths)
+    met = stored(pieces.join(small(first), spot), paths)
+    size = F.octet_length("piece")
+    whole = met.where((F.col("doc") > F.col("first")) & (size >= LENGTH)).select(*DOC, _span(F.col("base"), size))
+    ones = met.where("doc = first").drop("first")
+    strings = stored(ones.mapInArrow(_strings, "h1 long, h2 long, doc long, print long, start long"), paths)
     first = strings.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
     hit = strings.join(small(stored(first, paths)), ["h1", "h2"]).where("doc > first")
-    return hit.select(*DOC, "start", (F.col("start") + LENGTH).alias("end"))
+    return whole.unionByName(hit.select(*DOC, _span(F.col("start"), LENGTH)))
 
 
 def repeats(docs: DataFrame, paths: list[str], crowd: int = CROWD, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
@@ -358,17 +396,19 @@ def repeats(docs: DataFrame, paths: list[str], crowd: int = CROWD, bucket_anchor
     packed = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     judged = stored(packed.mapInArrow(_judged, "doc long, print long, at long, whole boolean"), paths)
     asked = judged.where("not whole").groupBy(*DOC).agg(F.sort_array(F.collect_set("at")).alias("asked"))
-    pieces = rows.join(small(stored(asked, paths)), DOC).dropDuplicates(DOC) if _repeated(rows) else rows.join(small(stored(asked, paths)), DOC)
+    pieces = rows.join(stored(asked, paths), DOC)
+    pieces = pieces.dropDuplicates(DOC) if _repeated(rows) else pieces
     pieces = stored(pieces.mapInArrow(_pieces, TEXTS), paths)
     counts = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("a"), F.max("doc").alias("b"))
     counts = stored(counts.where("a <> b").select("key", "n"), paths)
-    meeting = pieces.join(small(counts), "key")
-    few = meeting.where(F.col("n") <= crowd).drop("n").repartition("key").sortWithinPartitions("key", "doc")
-    marks = few.mapInArrow(_matched, MARKS)
-    if not counts.where(F.col("n") > crowd).isEmpty():
-        marks = marks.unionByName(_crowded(stored(meeting.where(F.col("n") > crowd).drop("n"), paths), paths))
-    whole = judged.where("whole").select(*DOC, F.greatest(F.col("at") - SIDE, F.lit(0)).alias("start"), (F.col("at") + LENGTH).alias("end"))
-    spans = whole.unionByName(marks).groupBy(*DOC).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    few = pieces.join(counts.where(F.col("n") <= crowd).select("key"), "key")
+    marks = few.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_matched, MARKS)
+    crowds = stored(counts.where(F.col("n") > crowd).select("key"), paths)  # at most all pieces / crowd
+    if not crowds.isEmpty():
+        marks = marks.unionByName(_crowded(stored(pieces.join(small(crowds), "key"), paths), paths))
+    at = F.greatest(F.col("at") - SIDE, F.lit(0))
+    whole = judged.where("whole").select(*DOC, _span(at, F.col("at") + LENGTH - at))
+    spans = whole.unionByName(marks).groupBy(*DOC).agg(F.collect_list("span").alias("spans"))
     return stored(spans.mapInArrow(_merged, "doc long, print long, starts array<long>, ends array<long>"), paths)
 
 
@@ -378,20 +418,22 @@ def _repeated(rows: DataFrame) -> bool:
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
-        starts, ends = [], []
-        for spans in batch.column("spans").to_pylist():
-            a, b = [], []
-            for start, end in sorted((s["start"], s["end"]) for s in spans):
-                if b and start <= b[-1]:
-                    b[-1] = max(b[-1], end)
-                else:
-                    a.append(start)
-                    b.append(end)
-            starts.append(a)
-            ends.append(b)
-        kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("print"), pa.array(starts, kind), pa.array(ends, kind)], names=["doc", "print", "starts", "ends"])
+    """Packed spans of a document to its maximal runs."""
+    for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
+        spans = batch.column("spans")
+        packed = spans.flatten().to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
+        start = packed >> SPAN_BITS
+        end = start + (packed & ((1 << SPAN_BITS) - 1))
+        apart = row * (int(end.max(initial=0)) + 1)  # rows one after another, none touching the next
+        order = np.argsort(start + apart)
+        reach = np.maximum.accumulate((end + apart)[order])
+        row, apart, start = row[order], apart[order], start[order]
+        first = np.flatnonzero(np.append(True, (start + apart)[1:] > reach[:-1])) if len(order) else order
+        last = np.append(first[1:], len(order))[: len(first)] - 1
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(row[first], minlength=batch.num_rows))), pa.int32())
+        runs = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (start[first], (reach - apart)[last])]
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("print"), *runs], names=["doc", "print", "starts", "ends"])
 
 
 def kept_bytes(text: str, starts: list[int] | None, ends: list[int] | None) -> tuple[bytes, list[bytes]]:
@@ -419,7 +461,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def report(docs: DataFrame, crowd: int = CROWD, bucket_anchors: int = BUCKET_ANCHORS) -> DataFrame:
     paths: list[str] = []
-    marks = small(repeats(docs.select("doc_id", "text"), paths, crowd, bucket_anchors))
+    marks = repeats(docs.select("doc_id", "text"), paths, crowd, bucket_anchors)
     rows = docs.select("doc_id", text_or_empty("text").alias("text"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("print"))
     rows = rows.join(marks, DOC, "left").select("doc_id", "text", "starts", "ends")
     return rows.mapInArrow(_digested, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

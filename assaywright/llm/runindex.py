@@ -17,20 +17,33 @@ STEP = 8
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix order by prefix doubling; the last symbol must be unique and the least."""
+    """Suffix order by prefix doubling; the last symbol must be unique and the least.
+
+    The first sort takes as many symbols as a word holds, later ones only the suffixes not yet alone in their rank.
+    """
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    width = 1
+    low = int(text.min())
+    bits = max(1, (int(text.max()) - low).bit_length())
+    width = max(1, 62 // bits)
+    padded = np.append(text - low, np.zeros(width, dtype=np.int64))
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(width):
+        key = (key << bits) | padded[i : i + n]
+    order = np.argsort(key)
+    rank = np.empty(n, dtype=np.int64)  # the first row of a suffix's group
+    rows = np.arange(n)
+    key = key[order]
     while True:
-        after = np.zeros(n, dtype=np.int64)
-        after[: n - width] = rank[width:] + 1 if width < n else 0
-        key = rank * (n + 1) + after
-        order = np.argsort(key)
-        new = np.cumsum(np.append(0, key[order[1:]] != key[order[:-1]]))
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
+        new = np.append(True, key[1:] != key[:-1])
+        rank[order[rows]] = rows[np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))]
+        rows = rows[~(new & np.append(new[1:], True))]
+        if not len(rows):
             return order
+        at = order[rows]
+        after = np.where(at + width < n, rank[np.minimum(at + width, n - 1)] + 1, 0)
+        key = rank[at] * (n + 1) + after
+        by_key = np.argsort(key)
+        order[rows], key = at[by_key], key[by_key]
         width *= 2
 
 
