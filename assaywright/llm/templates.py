@@ -58,8 +58,9 @@ class Tree:
 RECURRING = Tree(least_documents=2, widening=2, exact=True)
 
 
-def _masked(token: Column) -> Column:
-    return F.when(token.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(token)
+def _masked(said: Column) -> Column:
+    """The tokens, joined by spaces, with those that hold a digit as variable; a token is looked at from its start only."""
+    return F.when(said.rlike("[0-9]"), F.regexp_replace(said, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE)).otherwise(said)
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -81,6 +82,10 @@ def _templates(tree: Tree) -> Column:
     return F.array_distinct(F.array_compact(F.transform(levels, template)))
 
 
+def _tokens(said: Column | str) -> Column:
+    return F.split(said, " ")
+
+
 def _constant(shown: Column) -> Column:
     return F.size(F.filter(shown, lambda x: x != VARIABLE)) / F.size(shown)
 
@@ -99,12 +104,15 @@ def dropped_lines(docs: DataFrame, paths: list[str], tree: Tree | None = None) -
     lines = _identified(docs.select("doc_id", "text")).select(*DOC, F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line", "said"))
     lines = lines.where(said != "").select(*DOC, "line", F.split(said, GAP).alias("words"))
     lines = lines.where((F.size("words") >= tree.least_tokens) | F.lit(tree.exact))
-    lines = lines.select(*DOC, "line", F.xxhash64("words").alias("exact"), F.transform("words", _masked).alias("tokens"))
-    long = F.size("tokens") >= tree.least_tokens
-    leaf = F.when(long, F.xxhash64(F.size("tokens"), F.slice("tokens", 1, tree.depth)))
+    lines = lines.select(*DOC, "line", F.size("words").alias("size"), F.array_join("words", " ").alias("said"))
+    lines = lines.select(*DOC, "line", "size", F.xxhash64("said").alias("exact"), _masked(F.col("said")).alias("tokens"))
+    long = F.col("size") >= tree.least_tokens
+    leaf = F.when(long, F.xxhash64("size", F.substring_index("tokens", " ", tree.depth)))
+    some = F.col("tokens").contains(VARIABLE)
     lines = lines.select(
         *DOC, "line", "exact", leaf.alias("leaf"), F.xxhash64("tokens").alias("shape"),
-        (_constant(F.col("tokens")) >= tree.least_constant).alias("open"), F.when(long, F.col("tokens")).alias("tokens"),
+        F.when(some, _constant(_tokens("tokens")) >= tree.least_constant).otherwise(tree.least_constant <= 1).alias("open"),
+        F.when(long, F.col("tokens")).alias("tokens"),
     )
     lines = stored(lines, paths)
     gone = []
@@ -120,15 +128,16 @@ def dropped_lines(docs: DataFrame, paths: list[str], tree: Tree | None = None) -
     leaves = stored(leaves.where(F.col("unsettled") & (F.col("shapes") > 1) & enough).select("leaf", ROWS), paths)
     looked = join_keyed(lines, [F.col("leaf")], leaves, ["leaf"], BROADCAST, "inner", paths).drop(ROWS)
     looked = stored(looked, paths)
-    placed = looked.select("leaf", *DOC, F.posexplode("tokens").alias("at", "token"))
-    spot = ["leaf", "at", "token"]
-    constant = placed.where(F.col("token") != VARIABLE).select(*spot, *DOC).distinct().groupBy(*spot).agg(F.count(F.lit(1)).alias(ROWS))
+    spot = F.xxhash64("leaf", "at", "token").alias("spot")
+    placed = looked.select("leaf", *DOC, F.posexplode(_tokens("tokens")).alias("at", "token")).where(F.col("token") != VARIABLE)
+    constant = placed.select(spot, *DOC).distinct().groupBy("spot").agg(F.count(F.lit(1)).alias(ROWS))
     constant = stored(constant.where(F.col(ROWS) >= tree.least_documents), paths)
     looked = looked.where("open")
-    placed = looked.select("leaf", "shape", "tokens").distinct().select("leaf", "shape", F.posexplode("tokens").alias("at", "token"))
-    kept = join_keyed(placed, [F.col(c) for c in spot], constant, spot, BROADCAST, "left", paths)
+    asked = stored(looked.groupBy("leaf", "shape").agg(F.min("tokens").alias("tokens")), paths)  # a shape has one text
+    placed = asked.select("leaf", "shape", F.posexplode(_tokens("tokens")).alias("at", "token"))
+    kept = join_keyed(placed, [spot], constant, ["spot"], BROADCAST, "left", paths)
     part = F.struct("at", "token", F.coalesce(F.col(ROWS), F.lit(0)).alias("n"))
-    found = kept.groupBy("leaf", "shape").agg(F.array_sort(F.collect_set(part)).alias("parts"))
+    found = kept.groupBy("leaf", "shape").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     found = found.select("shape", _templates(tree).alias("templates"), F.lit(1).cast("long").alias(ROWS))
     found = stored(found.where(F.size("templates") > 0), paths)
     whole = join_keyed(looked.select(*DOC, "line", "shape"), [F.col("shape")], found, ["shape"], BROADCAST, "inner", paths)
