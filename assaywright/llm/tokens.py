@@ -20,6 +20,7 @@ text; an empty table gives an empty manifest.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import struct
@@ -49,22 +50,33 @@ SKIPPABLE_SEEK, SEEK_MAGIC, CHECKSUM_FLAG = 0x184D2A5E, 0x8F92EAB1, 0x80
 SKIPPABLE_INDEX = 0x184D2A50
 FRAME_TOKENS = 1 << 16
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
-#: Printable ASCII and Latin letters: never white space by any version of Unicode.
-PLAIN = frozenset(c for c in map(chr, range(0x250)) if "!" <= c <= "~" or c.isalpha())
-_LETTERS = frozenset(c for c in PLAIN if c.isalpha())
-_LINE_END = re.compile(r"(?<=[!-~])\n(?=[!-~])")
-_STOPS = ".,;:!?"
 _EMPTY = np.zeros(0, dtype="<u4")
 
 
-def _parts(piece: str) -> list[str]:
-    out = []
-    for i, line in enumerate(_LINE_END.split(piece)):
-        if i:
-            out.append("\n")
-        head = line.rstrip(_STOPS)
-        out += [head, line[len(head) :]] if len(head) < len(line) and head[-1:] in _LETTERS else [line]
-    return out
+def _cuts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where pieces of texts begin, in UTF-8 bytes from offset to offset; for each byte, whether a piece that begins or ends with it is plain there.
+
+    Plain are printable ASCII and the letters U+00C0 to U+023F: never white space by any version of Unicode.
+    """
+    n = len(raw)
+    after = np.append(raw[1:], np.uint8(0))
+    ascii_ = raw - np.uint8(0x21) < 0x5E
+    letter = (raw | np.uint8(0x20)) - np.uint8(0x61) < 26
+    two = (raw - np.uint8(0xC3) < 6) & ~((raw == 0xC3) & ((after == 0x97) | (after == 0xB7)))  # the first byte of a letter; not of the two signs among them
+    begins = ascii_ | two
+    tail = np.append(False, two[:-1])
+    ends, letter = ascii_ | tail, letter | tail
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    plain_next, plain_before, letter_before = np.append(begins[1:], False), np.append(False, ends[:-1]), np.append(False, letter[:-1])
+    plain_next[inner - 1] = plain_before[inner] = letter_before[inner] = False
+    space, line_end = raw == 0x20, raw == 0x0A
+    between = plain_next & plain_before
+    stop = (raw == 0x2C) | (raw == 0x2E) | (raw == 0x3A) | (raw == 0x3B) | (raw == 0x21) | (raw == 0x3F)
+    line_end &= between
+    cut = (space & between) | line_end | (stop & letter_before)
+    cut[1:] |= line_end[:-1]
+    cut[offsets[offsets < n]] = True
+    return np.flatnonzero(cut), begins | (space & plain_next), ends
 
 
 class PieceEncoder:
@@ -72,75 +84,94 @@ class PieceEncoder:
 
     A text is cut before a single space between two plain characters: byte-level pre-tokenisation always starts a piece there, so the
     pieces' ids, one after another, are the text's ids.  So it does at a single line
-    end between plain characters and between a letter and closing punctuation.
+    end between plain characters and between a letter and punctuation.
     Strings of the tokenizer's special tokens within a text become these tokens, as
     the library has it; no cut falls within one.
-    The memory of pieces is emptied when it holds ``most`` of them.
+    New pieces that begin and end plainly are given to the tokenizer as lines of one
+    text: a line end between them is a token of its own and tells them apart.
+    Of ``most`` remembered pieces the half that was not met lately is forgotten.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    LINES = 64
+
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        for added in self.tokenizer.get_added_tokens_decoder().values():
-            if added.lstrip or added.rstrip or added.single_word or _parts(added.content) != [added.content] or " " in added.content:
+        added_tokens = self.tokenizer.get_added_tokens_decoder().values()
+        for added in added_tokens:
+            raw = np.frombuffer(added.content.encode(), dtype=np.uint8)
+            if added.lstrip or added.rstrip or added.single_word or len(_cuts(raw, np.array([0, len(raw)]))[0]) > 1 or " " in added.content:
                 raise ValueError(f"pieces would cut the added token {added.content!r}")
+        self.no_line = re.compile(b"|".join([b"\n", *(re.escape(added.content.encode()) for added in added_tokens)]))
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.most = most
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        cut = [(p,) if p in self.known else _parts(p) for p in pieces]
-        new = list({p for parts in cut for p in parts if p not in self.known})
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = list({p for parts in cut for p in parts})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
-        known = self.known
-        return [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in cut]
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _each(self, pieces: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _lines(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids of pieces, encoded as lines of texts."""
+        parts = [pieces[i : i + self.LINES] for i in range(0, len(pieces), self.LINES)]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast([b"\n".join(part).decode() for part in parts], add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            at = np.flatnonzero(ids == self.line_end[0])
+            if len(self.line_end) == 1 and len(at) == len(part) - 1:
+                raw, start = ids.tobytes(), 0
+                for end in [*(4 * at).tolist(), len(raw)]:
+                    yield raw[start:end]
+                    start = end + 4
+            else:  # a tokenizer that joins line ends with something else
+                yield from self._each(part)
+
+    def _ids(self, pieces: list[bytes], plain: np.ndarray) -> list[bytes]:
+        ids = list(map(self.known.get, pieces))
+        lines, others = [], []
+        for i in [i for i, x in enumerate(ids) if x is None]:
+            p = pieces[i]
+            if p in self.before:
+                ids[i] = self.known[p] = self.before[p]
+            else:
+                (lines if plain[i] and not self.no_line.search(p) else others).append(i)
+        for many, encoded in ((lines, self._lines), (others, self._each)):
+            for i, found in zip(many, encoded([pieces[i] for i in many])):
+                ids[i] = self.known[pieces[i]] = found
+        if 2 * len(self.known) > self.most:
+            self.known, self.before = {}, self.known
+        return ids
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and the number of each text's ids."""
-        if len(texts) == 0:
-            return _EMPTY, np.zeros(0, dtype=np.int64)
-        parts = pc.split_pattern(pc.fill_null(texts, ""), " ")
-        coded = parts.flatten().dictionary_encode()
-        code = coded.indices.to_numpy()
-        names = coded.dictionary.to_pylist()
-        offsets = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        starts_ok = np.fromiter((n[:1] in PLAIN for n in names), dtype=bool, count=len(names))
-        ends_ok = np.fromiter((n[-1:] in PLAIN for n in names), dtype=bool, count=len(names))
-        first = np.zeros(len(code), dtype=bool)
-        first[offsets[:-1]] = True
-        cut = first.copy()
-        cut[1:] |= ends_ok[code[:-1]] & starts_ok[code[1:]]
-        begins = np.flatnonzero(cut)
-        ends = np.append(begins[1:], len(code))
-        several = np.flatnonzero(ends - begins > 1)
-        key = 2 * code[begins] + ~first[begins]
-        key[several] = 0
-        present = np.zeros(2 * len(names), dtype=bool)
-        present[key] = True
-        alone = np.flatnonzero(present)
-        place = (np.cumsum(present) - 1)[key]
-        pieces = [(" " if k & 1 else "") + names[k >> 1] for k in alone.tolist()]
-        if len(several):
-            text_of = {}
-            for at, a, b in zip(several.tolist(), begins[several].tolist(), ends[several].tolist()):
-                text = ("" if first[a] else " ") + " ".join([names[c] for c in code[a:b].tolist()])
-                place[at] = text_of.setdefault(text, len(pieces) + len(text_of))
-            pieces += text_of
-        ids = self._ids(pieces)
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1, offset=8 * texts.offset) if len(texts) else np.zeros(1, dtype=np.int64)
+        size = int(offsets[-1] - offsets[0])
+        if size == 0:
+            return _EMPTY, np.zeros(len(texts), dtype=np.int64)
+        raw = np.frombuffer(texts.buffers()[2], dtype=np.uint8, count=size, offset=int(offsets[0]))
+        offsets = offsets - offsets[0]
+        at, begins, ends = _cuts(raw, offsets)
+        bounds = np.append(at, size)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
+        code = pieces.indices.to_numpy()
+        some = np.zeros(len(pieces.dictionary), dtype=np.int64)
+        some[code] = np.arange(len(code))  # a place where the piece stands
+        ids = self._ids(pieces.dictionary.to_pylist(), begins[at[some]] & ends[bounds[some + 1] - 1])
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
-        heads = np.cumsum(sizes) - sizes
-        each = sizes[place]
-        before = np.cumsum(each) - each
-        out = flat[np.repeat(heads[place] - before, each) + np.arange(int(each.sum()))]
+        heads, each = (np.cumsum(sizes) - sizes)[code], sizes[code]
         totals = np.append(0, np.cumsum(each))
-        text_starts = np.searchsorted(begins, offsets)
-        return out, np.diff(totals[text_starts])
+        out = flat[np.repeat(heads - totals[:-1], each) + np.arange(totals[-1])]
+        return out, np.diff(totals[np.searchsorted(at, offsets)])
+
+
+@functools.lru_cache(maxsize=1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """One encoder a Python worker: its pieces serve the tasks that come after."""
+    return PieceEncoder(path)
 
 
 def open_folder(uri: str) -> tuple[pfs.FileSystem, str]:
@@ -273,11 +304,11 @@ def written(docs: DataFrame, tokenizer: str, end_id: int, folder: str, shards: i
         context = TaskContext.get()
         encoder = writer = None
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 if part.num_rows == 0:
                     continue
                 if writer is None:
-                    encoder = PieceEncoder(tokenizer)
+                    encoder = piece_encoder(tokenizer)
                     files, where = open_folder(folder)
                     files.create_dir(where, recursive=True)
                     name = f"shard-{context.partitionId():06d}-{context.taskAttemptId()}.zst"
