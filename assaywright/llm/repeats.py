@@ -50,7 +50,7 @@ CORE = 20  # bytes of an anchor
 SIDE = LENGTH - CORE
 SPLIT = 16  # strings with so many bytes before the anchor are found by their left context
 BUCKET_ANCHORS = 1 << 19
-BATCH_ANCHORS = 1 << 20  # of a Python task, packed at a time: a piece for every bucket
+BATCH_ANCHORS = 1 << 19  # of a Python task, packed at a time: a piece for every bucket
 COMMON = 64  # times that an anchor comes in a batch
 SLICE = 1 << 17  # bytes of texts hashed at a time
 INDEX_SYMBOLS = 1 << 20
@@ -116,25 +116,41 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return which, at, h[place], around
 
 
+_HEAD = struct.Struct("<QQQqBBB")
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    return values.astype("<u4" if values.min() >= 0 and values.max() < 1 << 32 else "<i8")
+
+
 def _pack(zstd: zstandard.ZstdCompressor, ids, prints, which, place, *hashes) -> bytes:
     """Anchors of documents in order, those of a document next to each other."""
-    new = np.append(True, which[1:] != which[:-1])
+    new = np.ones(len(which), dtype=bool)
+    np.not_equal(which[1:], which[:-1], out=new[1:])
     names = which[new]
     new[0] = False
-    own = ids[names].astype("<i8")
-    own[1:] -= own[:-1].copy()
-    parts = [own, prints[names].astype("<i8"), place.astype("<u8"), new]
-    small_ones = zstd.compress(b"".join([p.tobytes() for p in parts]))
-    return b"".join([struct.pack("<QQQ", len(names), len(which), len(small_ones)), small_ones, *[h.tobytes() for h in hashes]])
-
-
-def _unpack(blob: bytes):
-    names, n, size = struct.unpack_from("<QQQ", blob)
-    raw = zstandard.ZstdDecompressor().decompress(blob[24 : 24 + size])
-    ids, prints = np.cumsum(np.frombuffer(raw, "<i8", names)), np.frombuffer(raw, "<i8", names, 8 * names)
-    place = np.frombuffer(raw, "<u8", n, 16 * names)
-    local = np.cumsum(np.frombuffer(raw, "i1", n, 16 * names + 8 * n))
-    hashes = [np.frombuffer(blob, "<u8", n, at) for at in range(24 + size, len(blob), 8 * n)]
+    own = ids[names].astype(np.int64)
+    steps = own.copy()
+    steps[1:] -= own[:-1]
+    steps[0] = 0
+    steps, prints, place = _narrow(steps), prints[names].astype("<i8"), _narrow(place)
+    prints = prints if prints.any() else prints[:0]
+    small_ones = zstd.compress(b"".join([steps, prints, place, new]))
+    head = _HEAD.pack(len(names), len(which), len(small_ones), int(own[0]), steps.itemsize, 8 * (len(prints) > 0), place.itemsize)
+    return b"".join([head, small_ones, *hashes])
+
+
+def _unpack(blob: bytes, zstd: zstandard.ZstdDecompressor):
+    names, n, size, first, *widths = _HEAD.unpack_from(blob)
+    raw, kinds, at = zstd.decompress(blob[_HEAD.size : _HEAD.size + size]), {4: "<u4", 8: "<i8"}, 0
+    steps = np.frombuffer(raw, kinds[widths[0]], names)
+    at += steps.nbytes
+    prints = np.frombuffer(raw, "<i8", names, at) if widths[1] else np.zeros(names, dtype=np.int64)
+    at += names * widths[1]
+    place = np.frombuffer(raw, kinds[widths[2]], n, at).astype(np.int64)
+    local = np.cumsum(np.frombuffer(raw, "?", n, at + n * widths[2]))
+    ids = np.cumsum(steps, dtype=np.int64) + np.int64(first)
+    hashes = [np.frombuffer(blob, "<u8", n, at) for at in range(_HEAD.size + size, len(blob), 8 * n)]
     return ids[local], prints[local], place, *hashes
 
 
@@ -200,10 +216,10 @@ def _anchored(buckets: int, most: int = COMMON):
             own, span = _spans(which[settled], at[settled])
             out.append((-1 - int(both[0] >> shift), _pack(zstd, ids, prints, own, span)))
         rest = np.flatnonzero(~settled)
-        place = at[rest].astype(np.uint64) * np.uint64(2)
+        place = at[rest] * 2
         which, h, around, both = which[rest], h[rest], around[rest], both[rest]
         common, ends = _common_anchors(h, ids[which], most)
-        place[common] += np.uint64(1)
+        place[common] += 1
         bucket = h * _P[0] >> shift  # anchors have low hashes
         own = bucket[ends]
         bucket[common] = both[common] >> shift
@@ -240,8 +256,8 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict({"doc": doc, "print": prints, "at": at.astype(np.int64), "whole": whole})
 
     def judge(blobs: list[bytes]) -> pa.RecordBatch:
-        doc, prints, place, h, around = (np.concatenate(x) for x in zip(*map(_unpack, blobs)))
-        common = (place & np.uint64(1)).astype(bool)
+        doc, prints, place, h, around = (np.concatenate(x) for x in zip(*(_unpack(blob, zstd) for blob in blobs)))
+        common = (place & 1).astype(bool)
         shared = common.copy()
         shared[_shared(h)] = True
         rest = np.flatnonzero(shared)
@@ -255,15 +271,15 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ask = (low != high) | np.logical_or.reduceat(common[order], group)
             done, asked = order[later], order[~later & np.repeat(ask, np.diff(np.append(group, len(order))))]
         own = np.concatenate([done, asked])
-        at = (place[own] >> np.uint64(1)).astype(np.int64)
+        at = place[own] >> 1
         at[: len(done)] = _spans(np.arange(len(done)), at[: len(done)])[1]
         return said(doc[own], prints[own], at, np.arange(len(own)) < len(done))
 
-    now, blobs = None, []
+    zstd, now, blobs = zstandard.ZstdDecompressor(), None, []
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed")):
             if bucket < 0:  # settled
-                doc, prints, span = _unpack(blob.as_py())
+                doc, prints, span = _unpack(blob.as_py(), zstd)
                 yield said(doc, prints, span, np.ones(len(span), dtype=bool))
                 continue
             if bucket != now and blobs:

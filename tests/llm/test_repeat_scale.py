@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from assaywright.llm import repeats
 
@@ -24,7 +25,7 @@ def sizes_of(packed):
     for batch in packed:
         for b, blob in zip(*(c.to_pylist() for c in batch.columns)):
             if b >= 0:
-                found.setdefault(b, []).append(len(repeats._unpack(blob)[0]))
+                found.setdefault(b, []).append(len(repeats._unpack(blob, zstandard.ZstdDecompressor())[0]))
     return found
 
 
@@ -123,6 +124,17 @@ def test_texts_of_a_key_are_narrowed_before_they_are_indexed(monkeypatch):
     assert sum(symbols) < 600 * 66  # before: half of them in each of ten rounds
 
 
+def test_packed_anchors():
+    big = 1 << 63
+    for ids, prints, place in (([5, 7, 9], [0, 0, 0], [3, 4, 0, 9]), ([-big, 0, big - 1], [0, -1, big - 1], [1 << 40, 0, 1, 2]), ([3], [0], [8])):
+        ids, prints, place = (np.array(x, dtype=np.int64) for x in (ids, prints, place))
+        which = np.array([0, 1, 1, 2][: len(place)])
+        h, around = place.astype(np.uint64) + np.uint64(big), place.astype(np.uint64)
+        blob = repeats._pack(zstandard.ZstdCompressor(), ids, prints, which, place, h, around)
+        for got, want in zip(repeats._unpack(blob, zstandard.ZstdDecompressor()), (ids[which], prints[which], place, h, around), strict=True):
+            assert got.tolist() == want.tolist()
+
+
 def test_key_of_different_cores():
     rng = random.Random(5)
     one, other = noise(rng, 64), noise(rng, 64)
