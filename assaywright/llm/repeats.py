@@ -5,23 +5,28 @@ document with a smaller id.  Four steps, each over all documents:
 
 1. Every string of that length holds an anchor, a short string whose hash is the
    least in its neighbourhood, wherever the string occurs.  Anchors are dealt by
-   hash, as packed arrays.  Equal surroundings of an anchor in an earlier
-   document settle it (at once for documents of one batch, so a passage that a
-   third of all documents share is sent once per batch).
+   hash, as packed arrays, one for each bucket and ``BATCH_ANCHORS`` anchors of a
+   task.  Equal surroundings of an anchor in an earlier document settle it (at
+   once for documents of one batch, so a passage that a third of all documents
+   share is sent once per batch).  Of an anchor that comes very often in a batch
+   all but two are dealt by their surroundings, and asked about if not settled.
 2. Anchors left in two or more documents with different surroundings are read
    from the text again, each with its left or right context as a longer key, so
    only true common parts meet.
 3. Texts that meet are put in a run-length index (``runindex``): earlier
    documents are indexed, later ones streamed, and matching statistics of the
-   full length mark repeats.  Every earlier and later document of a key meet in
-   exactly one of log2(documents) rounds.  Of keys of more than ``CROWD`` texts, equal
-   ones are settled by their first document, a partial aggregate, and the others
-   halved, each half with what all its strings have in common as a longer key, until
-   they are few as well; what is crowded after ``HALVINGS`` rounds is single strings.
+   full length mark repeats.  What the texts of a key have in common is compared
+   once and stands as one symbol, so only the up to 15 bytes on either side of it
+   are indexed.  Every earlier and later document of a key meet in exactly one of
+   log2(documents) rounds.  Of keys of more than ``INDEXED`` texts, equal ones are
+   settled by their first document and the others halved, each half with what all
+   its strings have in common as a longer key, until they are few as well.  Keys
+   of more than ``CROWD`` texts are halved so across tasks, their equal texts by a
+   partial aggregate; what is crowded after ``HALVINGS`` rounds is single strings.
 4. Marks are merged per document and cut out of its text.
 
-Memory of a task is a bucket of anchors, a batch of texts, or about
-``INDEX_SYMBOLS`` symbols of index, whatever the size of the corpus.
+Memory of a task is a bucket of anchors, a batch of them, a batch of texts, or
+about ``INDEX_SYMBOLS`` bytes of texts that meet, whatever the size of the corpus.
 
 Defined results: NULL and empty text is empty; a document with a NULL id is
 smaller than none and loses nothing; repeated ids are not smaller than each
@@ -464,7 +469,7 @@ def _repeat_starts(texts: _Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         symbol = 2 + 256 + np.cumsum(both)[block]
         earlier, asked = np.flatnonzero(both[block] & ~later), np.flatnonzero(both[block] & later)
         rows[np.arange(len(rows)), marked] = symbol
-        for start in range(0, len(earlier), INDEX_TEXTS):  # one part, but for very short texts
+        for start in range(0, len(earlier), INDEX_TEXTS):
             index = RunIndex(_coded(rows[earlier[start : start + INDEX_TEXTS]]))
             for i in range(0, len(asked), 1 << 14):
                 part = asked[i : i + (1 << 14)]
